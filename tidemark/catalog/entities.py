@@ -52,10 +52,10 @@ def a1_envelope(spark, folder):
     return enveloped(spark, folder).withColumn("Codes", F.array_join("Codes", "|"))
 
 
-@query("a2_apply_types", """SELECT event_id, CAST(value AS DECIMAL(18,2)) AS amount,
+@query("a2_apply_types", """SELECT event_id, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS amount,
   CAST(floor(value) AS INTEGER) AS whole, value > 10 AS large, ts AS at,
   CAST(event_id % 200 AS SMALLINT) AS small, event_type AS label,
-  CASE WHEN event_id % 2 = 0 THEN event_id END AS number
+  CASE WHEN event_id % 2 = 0 THEN event_id ELSE -1 END AS number
   FROM events""")
 def a2_apply_types(spark, folder):
     """Typed columns from text, as declared by property; text that is no number becomes null."""
@@ -75,7 +75,9 @@ def a2_apply_types(spark, folder):
         "amount": "decimal(18,2)", "whole": "Nullable<int>", "large": "bool?", "at": "DateTime",
         "small": "byte", "label": "Uri", "number": "long",
     }
-    return env.apply_types(text, declared)
+    return env.apply_types(text, declared).fillna({"number": -1}).withColumn(
+        "amount", F.col("amount").cast("string")
+    )
 
 
 @query("a3_event_time", f"""SELECT {ORDER_ID} AS id,

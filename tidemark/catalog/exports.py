@@ -1 +1,347 @@
-"""Placeholder."""
+"""Store, sink and export queries (groups A10, B7, B8, D7, D11, E and K).
+
+Each writes to a fresh folder under the shared root and returns what it reads back.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tidemark.catalog import query
+from tidemark.catalog.entities import ORDER_ID, ORDER_STREAM, PROPERTIES_SQL, enveloped
+from tidemark.catalog.history import EV_COLS, LI_COLS, LI_LAST, LI_T, _LAST, _version_sql, period_text
+from tidemark.catalog.sql import (
+    EVENTS,
+    EVENTS_PAYLOAD,
+    LINEITEM,
+    LINEITEM_PAYLOAD,
+    hard_versions,
+    soft_versions,
+    stream,
+)
+from tidemark.functions.text import instant
+from tidemark.operators import shape
+from tidemark.operators.batches import event_batches, idle_batches
+from tidemark.operators.envelope import serialize_cells
+from tidemark.plans.export import Stream, load_table, run_delta, run_export
+from tidemark.plans.profiles import ExportProfile
+from tidemark.plans.store import ChangeStore
+from tidemark.session import scratch_path
+from tidemark.sinks import documents, writers
+from tidemark.sinks.publish import publish
+from tidemark.sources import files
+from tidemark.sources.change_logs import events_log, lineitem_log, table
+from tidemark.sources.entities import order_entities
+
+HOUR_MILLIS = 3_600_000
+
+
+def _utc(text: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(text)
+
+
+def _store(spark, log, batches: int = 3) -> ChangeStore:
+    """A store filled in several batches."""
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    for batch_id in range(batches):
+        part = F.pmod(F.xxhash64("stream_id", "id", "seq"), F.lit(batches)) == batch_id
+        store.append(log.where(part), batch_id)
+    return store
+
+
+@query("a10_list_outputs")
+def a10_list_outputs(spark, folder):
+    """The files of a fresh Parquet output, listed without reading them."""
+    path = scratch_path(spark, "listed")
+    lineitem_log(spark, folder).write.parquet(path)
+    return files.list_outputs(spark, path).where(F.col("name").startswith("part-")).select("name", "length")
+
+
+@query("b7_append_changes", f"WITH {LINEITEM}, {soft_versions('li', LINEITEM_PAYLOAD)} {_version_sql(LI_COLS)}")
+def b7_append_changes(spark, folder):
+    """Three batches, one of them delivered twice, then the history of the whole store."""
+    log = lineitem_log(spark, folder)
+    store = _store(spark, log)
+    store.append(log.where(F.pmod(F.xxhash64("stream_id", "id", "seq"), F.lit(3)) == 1), 1)
+    return period_text(store.versions(soft=True))
+
+
+@query("b7_compacted_versions", f"WITH {EVENTS}, {hard_versions('ev')} {_version_sql(EV_COLS)}")
+def b7_compacted_versions(spark, folder):
+    """The materialised history of a store whose batches were merged."""
+    store = _store(spark, events_log(spark, folder))
+    store.compact(2)
+    store.materialise_versions()
+    return period_text(store.materialised_versions())
+
+
+_ARCHIVED = stream("7")
+
+
+@query("b8_archive", f"""WITH {EVENTS} SELECT stream_id, stream_id = {_ARCHIVED} AS archived, count(*) AS changes
+    FROM ev GROUP BY stream_id""")
+def b8_archive(spark, folder):
+    """Changes per stream, in the store or archived."""
+    log = events_log(spark, folder)
+    name = F.lit(7).cast("bigint")
+    from tidemark.sources.change_logs import stream_guid
+
+    stream_id = spark.range(1).select(stream_guid(name)).first()[0]
+    store = _store(spark, log, batches=2)
+    store.archive(stream_id, "20240821031600")
+    kept = store.log().withColumn("archived", F.lit(False))
+    moved = store.archived(stream_id, "20240821031600").withColumn("archived", F.lit(True))
+    rows = kept.unionByName(moved)
+    return rows.groupBy("stream_id", "archived").agg(F.count("*").alias("changes"))
+
+
+_ORDER_ROWS = f"""SELECT {ORDER_ID} AS "Id", {PROPERTIES_SQL}, o_orderkey AS number FROM orders"""
+_ORDER_COLUMNS = ("Name", "order.totalPrice", "order.priority", "order.placed", "order.flag")
+
+
+def _order_rows(spark, folder):
+    rows = enveloped(spark, folder)
+    return rows.select(F.col("id").alias("Id"), *(f"`{c}`" for c in _ORDER_COLUMNS), F.col("seq").alias("number"))
+
+
+@query("d7_nullable_schema", _ORDER_ROWS)
+def d7_nullable_schema(spark, folder):
+    return shape.nullable_schema(_order_rows(spark, folder))
+
+
+@query("d11_null_cells", """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type END AS label,
+    CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS absent FROM events""")
+def d11_null_cells(spark, folder):
+    """Nulls survive a CSV round trip: an empty cell reads as null."""
+    rows = table(spark, folder, "events").select(
+        "event_id",
+        F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("label"),
+        F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("amount"),
+    )
+    profile = ExportProfile(output_format="csv")
+    path = scratch_path(spark, "nulls")
+    writers.write(writers.prepare(rows, profile), path, profile)
+    back = spark.read.csv(path, header=True, schema="event_id bigint, label string, amount double")
+    return back.select("event_id", "label", F.col("amount").isNull().cast("int").alias("absent"))
+
+
+def _csv(spark, path, schema):
+    return spark.read.csv(path, schema=schema, header=True, quote='"', escape='"', multiLine=True)
+
+
+@query("e1_csv", _ORDER_ROWS)
+def e1_csv(spark, folder):
+    rows, profile = _order_rows(spark, folder), ExportProfile.azure(output_format="CSV")
+    path = scratch_path(spark, "csv")
+    writers.write(writers.prepare(rows, profile), path, profile)
+    return _csv(spark, path, rows.schema)
+
+
+@query("e1_csv_mirror_dialect", "SELECT doc_id, md5(text) AS digest, length(text) AS size FROM documents")
+def e1_csv_mirror_dialect(spark, folder):
+    """Whole texts with quotes, commas and line feeds through the CRLF dialect."""
+    rows = table(spark, folder, "documents").select("doc_id", "text")
+    profile = ExportProfile.mirrored(output_format="csv")
+    path = scratch_path(spark, "crlf")
+    writers.write(writers.prepare(rows, profile), path, profile)
+    back = spark.read.csv(
+        path, schema=rows.schema, header=True, quote='"', escape='"', multiLine=True, lineSep="\r\n",
+        maxCharsPerColumn=-1,
+    )
+    return back.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("size"))
+
+
+@query("e2_json", _ORDER_ROWS)
+def e2_json(spark, folder):
+    """A JSON array per part file; names keep their dots."""
+    rows, profile = _order_rows(spark, folder), ExportProfile.azure()
+    path = scratch_path(spark, "json")
+    writers.write(writers.prepare(rows, profile), path, profile)
+    return spark.read.schema(rows.schema).json(path, multiLine=True)
+
+
+@query("e2_json_nested", f"""SELECT {ORDER_ID} AS "Id", CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 2 END AS edges,
+    CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END AS codes FROM orders""")
+def e2_json_nested(spark, folder):
+    """JSON text cells become nested arrays in the output."""
+    stored = serialize_cells(enveloped(spark, folder, outgoing_edges=True))
+    rows = stored.select(F.col("id").alias("Id"), "OutgoingEdges", "Codes")
+    profile = ExportProfile.azure(json_lines=True)
+    path = scratch_path(spark, "nested")
+    writers.write(writers.prepare(rows, profile), path, profile)
+    back = spark.read.schema("Id string, OutgoingEdges array<struct<EdgeType: struct<Code: string>>>, Codes array<string>").json(path)
+    return back.select("Id", F.size("OutgoingEdges").alias("edges"), F.size("Codes").alias("codes"))
+
+
+@query("e3_parquet", f"""SELECT {ORDER_ID} AS "Id", 'Order ' || o_orderkey AS "Name",
+    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS "order_totalPrice",
+    '/Order#SALES:' || o_orderkey || CASE WHEN o_orderkey % 2 = 0 THEN '|/Customer#CRM:' || o_custkey ELSE '' END AS "Codes",
+    CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 2 END AS edges FROM orders""")
+def e3_parquet(spark, folder):
+    """Escaped names and array columns, read back from Parquet."""
+    stored = serialize_cells(enveloped(spark, folder, outgoing_edges=True))
+    rows = stored.select(F.col("id").alias("Id"), "Name", "`order.totalPrice`", "Codes", "OutgoingEdges")
+    profile = ExportProfile.databricks(output_format="Parquet", array_columns=True, max_records_per_file=10_000)
+    path = scratch_path(spark, "parquet")
+    writers.write(writers.prepare(rows, profile), path, profile)
+    back = spark.read.parquet(path)
+    return back.select(
+        "Id", "Name", "order_totalPrice", F.array_join("Codes", "|").alias("Codes"),
+        F.size("OutgoingEdges").alias("edges"),
+    )
+
+
+@query("e4_format_dispatch", """SELECT f AS format, count(*) AS row_count, CAST(sum(event_id) AS BIGINT) AS ids
+    FROM events, (VALUES ('csv'), ('json'), ('parquet')) x(f) GROUP BY f""")
+def e4_format_dispatch(spark, folder):
+    """The same rows in every format, whatever the case of its name."""
+    rows = table(spark, folder, "events").select("event_id", "event_type")
+    totals = None
+    for name in ("CSV", "Json", "parquet"):
+        profile = ExportProfile(output_format=name)
+        path = scratch_path(spark, name)
+        writers.write(writers.prepare(rows, profile), path, profile)
+        reader = spark.read.schema(rows.schema)
+        back = {
+            "csv": lambda: reader.csv(path, header=True),
+            "json": lambda: reader.json(path, multiLine=True),
+            "parquet": lambda: reader.parquet(path),
+        }[profile.format]()
+        total = back.agg(
+            F.lit(profile.format).alias("format"), F.count("*").alias("row_count"), F.sum("event_id").alias("ids")
+        )
+        totals = total if totals is None else totals.unionByName(total)
+    return totals
+
+
+def _write_parquet(df, path):
+    df.write.parquet(path)
+
+
+@query("e5_publish", "SELECT event_id, event_type FROM events WHERE event_type <> 'view'")
+def e5_publish(spark, folder):
+    """The second publication replaces the first."""
+    rows = table(spark, folder, "events").select("event_id", "event_type")
+    path = scratch_path(spark, "published")
+    publish(rows, path, _write_parquet, {"run": "1"})
+    publish(rows.where("event_type <> 'view'"), path, _write_parquet, {"run": "2"})
+    return spark.read.parquet(path)
+
+
+@query("e6_empty_suppressed", """SELECT 'kept' AS policy, true AS published, 0 AS row_count
+    UNION ALL SELECT 'suppressed', false, 0
+    UNION ALL SELECT 'full', true, CAST(count(*) AS INTEGER) FROM events""")
+def e6_empty_suppressed(spark, folder):
+    rows = table(spark, folder, "events").select("event_id")
+    none = rows.where("event_id < 0")
+    out = []
+    for policy, df, keep in (("kept", none, True), ("suppressed", none, False), ("full", rows, False)):
+        path = scratch_path(spark, policy)
+        count = publish(df, path, _write_parquet, {}, keep_empty=keep)
+        out.append((policy, files.exists(spark, path), count))
+    return spark.createDataFrame(out, "policy string, published boolean, row_count int")
+
+
+@query("e7_append", """SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_type = 'view'""")
+def e7_append(spark, folder):
+    """Without overwriting, a second publication joins the first."""
+    rows = table(spark, folder, "events")
+    path = scratch_path(spark, "appended")
+    publish(rows.select("event_id"), path, _write_parquet, {}, overwrite=False)
+    publish(rows.where("event_type = 'view'").select("event_id"), path, _write_parquet, {}, overwrite=False)
+    return spark.read.parquet(path)
+
+
+@query("e8_load_table", """SELECT CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS "order_totalPrice",
+    o_orderkey AS number FROM orders""")
+def e8_load_table(spark, folder):
+    """Escaped rows as a table; its files lie in a fresh folder."""
+    rows = shape.escape_columns(_order_rows(spark, folder).select("`order.totalPrice`", "number"))
+    path = scratch_path(spark, "table")
+    name = "tidemark_" + path.split("/")[-2].split("-")[-1]
+    load_table(rows, name, path)
+    return spark.table(name)
+
+
+@query("e11_entity_docs", f"""WITH {LINEITEM}, keyed AS (
+    SELECT * REPLACE (md5(id) AS id) FROM li), last AS (SELECT * FROM keyed QUALIFY {_LAST})
+    SELECT id, substr(id, 1, 2) AS shard1, substr(id, 3, 2) AS shard2,
+      substr(id, 1, 2) || '/' || substr(id, 3, 2) || '/' || id || '.json' AS path, linestatus
+    FROM last WHERE change_type <> 'Removed'""")
+def e11_entity_docs(spark, folder):
+    log = lineitem_log(spark, folder).withColumn("id", F.md5("id"))
+    docs = documents.entity_docs(log)
+    status = F.get_json_object("doc", "$.linestatus").alias("linestatus")
+    return docs.select("id", "shard1", "shard2", "path", status)
+
+
+IDLE_SQL = f"""gaps AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 1 HOUR
+      THEN 1 ELSE 0 END AS starts FROM ev WINDOW w AS (PARTITION BY event_type ORDER BY ts, seq)),
+  sessions AS (SELECT *, CAST(sum(starts) OVER (PARTITION BY event_type ORDER BY ts, seq) AS BIGINT) AS session FROM gaps),
+  batched AS (SELECT *, (row_number() OVER (PARTITION BY event_type, session ORDER BY ts, seq) - 1) // 50 AS batch
+    FROM sessions)"""
+
+
+def batched_events(spark, folder):
+    return idle_batches(events_log(spark, folder), ["event_type"], 50, HOUR_MILLIS)
+
+
+@query("i1_idle_batches", f"WITH {EVENTS}, {IDLE_SQL} SELECT id, seq, event_type, session, batch FROM batched")
+def i1_idle_batches(spark, folder):
+    return batched_events(spark, folder).select("id", "seq", "event_type", "session", "batch")
+
+
+_BATCH_FILES = """SELECT event_type || '.' || strftime(max(ts), '%Y-%m-%d %H-%M-%S.%f') || '0.json' AS file_name,
+    count(*) AS items, CAST(sum(seq) AS BIGINT) AS total FROM batched GROUP BY event_type, session, batch"""
+
+
+def batch_summary(batches):
+    """Size and check sum of each batch, parsed from its JSON array."""
+    items = F.from_json("content", "array<struct<seq: bigint>>")
+    total = F.aggregate(items, F.lit(0).cast("bigint"), lambda acc, item: acc + item["seq"])
+    return batches.select("file_name", F.size(items).cast("bigint").alias("items"), total.alias("total"))
+
+
+@query("e12_event_batches", f"WITH {EVENTS}, {IDLE_SQL} {_BATCH_FILES}")
+def e12_event_batches(spark, folder):
+    batches = event_batches(batched_events(spark, folder), ["event_type"], F.col("event_type"))
+    return batch_summary(batches)
+
+
+def _first_stream(spark, folder):
+    """The stream of the lineitem log with number 3."""
+    from tidemark.sources.change_logs import stream_guid
+
+    stream_id = spark.range(1).select(stream_guid(F.lit(3).cast("bigint"))).first()[0]
+    return Stream(stream_id, "orders")
+
+
+_STREAM_3 = stream("3")
+_DELTA_ROWS = f"""valid_from <= TIMESTAMP '{LI_T}' AND TIMESTAMP '{LI_T}' < valid_to
+    AND valid_from > TIMESTAMP '{LI_LAST}' AND stream_id = {_STREAM_3}"""
+
+
+@query("k2_run_export", f"""WITH {LINEITEM}, last AS (SELECT * FROM li WHERE ts <= TIMESTAMP '{LI_T}' QUALIFY {_LAST})
+    SELECT id AS "Id", {LI_COLS} FROM last WHERE change_type <> 'Removed' AND stream_id = {_STREAM_3}""")
+def k2_run_export(spark, folder):
+    """A manual export of one stream of a store, read back from Parquet."""
+    store = _store(spark, lineitem_log(spark, folder))
+    root = scratch_path(spark, "out")
+    profile = ExportProfile.azure(output_format="parquet")
+    result = run_export(store, root, profile, _first_stream(spark, folder), _utc(LI_T), manual=True)
+    return spark.read.parquet(result.path)
+
+
+@query("i5_run_delta", f"""WITH {LINEITEM}, {soft_versions('li', LINEITEM_PAYLOAD)}
+    SELECT id AS "Id", {LI_COLS}, CASE change_type WHEN 'Removed' THEN '2' ELSE '4' END AS "__rowMarker__"
+    FROM ver WHERE {_DELTA_ROWS}""")
+def i5_run_delta(spark, folder):
+    """The second export of a mirrored stream carries what changed since the first."""
+    store = _store(spark, lineitem_log(spark, folder))
+    root = scratch_path(spark, "mirror")
+    profile, source = ExportProfile.mirrored(), _first_stream(spark, folder)
+    run_delta(store, root, profile, source, _utc(LI_LAST))
+    result = run_delta(store, root, profile, source, _utc(LI_T))
+    return spark.read.parquet(result.path)

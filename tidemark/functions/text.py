@@ -32,18 +32,21 @@ def guid_from(text: Column) -> Column:
 
 
 def guid_text(guid: Column, form: str = "D") -> Column:
-    """A GUID in one of the forms D (hyphens), N (bare), B (braces), P (parentheses)."""
-    plain = F.lower(F.regexp_replace(guid.cast("string"), "[^0-9a-fA-F]", ""))
-    if form.upper() == "N":
-        return plain
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    hyphened = F.concat_ws("-", *(F.substring(plain, start, length) for start, length in cuts))
-    hyphened = F.when(plain.isNotNull(), hyphened)
-    match form.upper():
-        case "D":
-            return hyphened
-        case "B":
-            return F.concat(F.lit("{"), hyphened, F.lit("}"))
-        case "P":
-            return F.concat(F.lit("("), hyphened, F.lit(")"))
-    raise ValueError(f"GUID form '{form}' is not supported")
+    """A GUID in one of the forms D (hyphens), N (bare), B (braces), P (parentheses).
+
+    Text that is no GUID stays as it is.
+    """
+    text = guid.cast("string")
+    plain = F.lower(F.regexp_replace(text, "[-{}()]", ""))
+    hyphened = F.regexp_replace(
+        plain, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
+    )
+    forms = {
+        "N": plain,
+        "D": hyphened,
+        "B": F.concat(F.lit("{"), hyphened, F.lit("}")),
+        "P": F.concat(F.lit("("), hyphened, F.lit(")")),
+    }
+    if form.upper() not in forms:
+        raise ValueError(f"GUID form '{form}' is not supported")
+    return F.when(plain.rlike("^[0-9a-f]{32}$"), forms[form.upper()]).otherwise(text)

@@ -31,7 +31,8 @@ SAMPLE_ROWS = 1 << 20
 MAX_CUTS = 1 << 16
 
 SLICE = "_slice"
-HOT = "_hot"
+#: Slice number of all rows of a key that is not cut.
+UNCUT = -1
 
 
 @dataclass(frozen=True)
@@ -110,13 +111,12 @@ def with_slices(
     found = F.aggregate(steps, F.lit(0), step)
     return df.join(F.broadcast(cuts), list(keys), "left").select(
         *df.columns,
-        F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(found).alias(SLICE),
-        F.col("_cuts").isNotNull().alias(HOT),
+        F.when(F.col("_cuts").isNull(), F.lit(UNCUT)).otherwise(found).alias(SLICE),
     )
 
 
 def drop_slices(df: DataFrame) -> DataFrame:
-    return df.drop(SLICE, HOT)
+    return df.drop(SLICE)
 
 
 def running(
@@ -129,7 +129,7 @@ def running(
     if not sliced:
         return df.select("*", *(value.alias(name) for name, value in local.items()))
 
-    carried = _between(df.where(F.col(HOT)), keys, order, specs)
+    carried = _between(df.where(F.col(SLICE) != UNCUT), keys, order, specs)
     rows = df.select(
         "*",
         *(value.alias(name) for name, value in local.items()),

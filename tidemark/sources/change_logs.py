@@ -24,7 +24,7 @@ def is_removed() -> Column:
 
 
 def payload_columns(log: DataFrame) -> list[str]:
-    return [c for c in log.columns if c not in LOG_COLUMNS and not c.startswith("_slice") and c != "_hot"]
+    return [c for c in log.columns if c not in LOG_COLUMNS]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

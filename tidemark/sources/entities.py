@@ -48,6 +48,10 @@ def code_text(kind: Column, origin: Column, value: Column) -> Column:
 
 
 def order_entities(spark: SparkSession, folder: str) -> DataFrame:
+    return as_order_entities(table(spark, folder, "orders"))
+
+
+def as_order_entities(orders: DataFrame) -> DataFrame:
     """Orders as entities, linked to their customers and priorities.
 
     Every third order carries the key ``order.flag``, every fifth brings its own
@@ -70,7 +74,7 @@ def order_entities(spark: SparkSession, folder: str) -> DataFrame:
         ),
         lambda _, value: value.isNotNull(),
     )
-    return table(spark, folder, "orders").select(
+    return orders.select(
         stream_guid(F.col("o_custkey") % 20).alias("stream_id"),
         guid_from(F.concat(F.lit("order-"), key.cast("string"))).alias("id"),
         F.when(F.col("o_orderstatus") == "O", ADDED)
