@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import quoted
 from tidemark.sources.entities import EDGE_TYPE
 
 #: Declared property type to column type. TINYINT is signed, so a byte widens.
@@ -47,7 +48,7 @@ def json_time(ts: Column) -> Column:
 def cell_text(field: T.StructField) -> Column | None:
     """JSON text of a nested column; None where the column passes as it is."""
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(F.col(f"`{field.name}`"), {"ignoreNullFields": "false"})
+        return F.to_json(F.col(quoted(field.name)), {"ignoreNullFields": "false"})
     return None
 
 

@@ -14,9 +14,12 @@ def instant(value: str) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{value}'")
 
 
-def iso_text(ts: Column) -> Column:
-    """A UTC instant as ISO text with seven fraction digits and ``+00:00``."""
-    return F.date_format(ts.cast("timestamp"), ISO_ROUND_TRIP)
+def iso_text(ts: Column, offset: str = "+00:00") -> Column:
+    """A UTC instant as ISO text with seven fraction digits, at an offset."""
+    if offset == "+00:00":
+        return F.date_format(ts.cast("timestamp"), ISO_ROUND_TRIP)
+    local = F.from_utc_timestamp(ts.cast("timestamp"), offset)
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSS"), F.lit(offset))
 
 
 def epoch_millis(ts: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import cols
 from tidemark.operators.ordered import (
     SLICE_ROWS,
     Latest,
@@ -47,7 +48,7 @@ def idle_batches(
     first = Latest(F.when(F.col("_starts") == 1, F.col("_row")))
     rows = running(rows, target, ORDER, {"_first": first})
     batch = F.floor((F.col("_row") - F.col("_first")) / F.lit(n)).alias("batch")
-    return drop_slices(rows).select(*log.columns, "session", batch)
+    return drop_slices(rows).select(*cols(log.columns), "session", batch)
 
 
 def event_batches(batched: DataFrame, target: Sequence[str], container: Column) -> DataFrame:
@@ -58,7 +59,7 @@ def event_batches(batched: DataFrame, target: Sequence[str], container: Column)
     hidden = {"session", "batch"}
     document = F.to_json(
         F.struct(
-            *(c for c in batched.columns if c not in hidden and c != "change_type"),
+            *cols(c for c in batched.columns if c not in hidden and c != "change_type"),
             F.col("change_type").alias("ChangeType"),
         ),
         {"ignoreNullFields": "false"},

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cells import cell_text, column_type, json_time
+from tidemark.functions.columns import cols, quoted
 from tidemark.functions.text import epoch_millis, iso_text
 from tidemark.operators.joins import join_lookup
 from tidemark.sources.entities import EDGE_TYPE, code_text
@@ -20,10 +21,6 @@ RAW_COLUMNS = (
 )
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def codes(entities: DataFrame) -> Column:
     """Entity codes as an array of text, empty when there are none."""
     text = F.transform("codes", lambda c: code_text(c["type"], c["origin"], c["value"]))
@@ -40,10 +37,12 @@ def apply_types(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
     )
 
 
-def with_event_time(df: DataFrame, now: Column, properties: str = "properties") -> DataFrame:
+def with_event_time(
+    df: DataFrame, now: Column, properties: str = "properties", offset: str = "+00:00"
+) -> DataFrame:
     """``Timestamp`` (ISO text) and ``Epoch`` (ms), where the change brings none itself."""
     columns = {}
-    for name, default in (("Timestamp", iso_text(now)), ("Epoch", epoch_millis(now))):
+    for name, default in (("Timestamp", iso_text(now, offset)), ("Epoch", epoch_millis(now))):
         if name in df.columns:
             given = F.map_contains_key(properties, name)
             columns[name] = F.when(given, F.col(name)).otherwise(default.cast(df.schema[name].dataType))
@@ -79,13 +78,14 @@ def envelope(
     event_mode: bool = False,
     outgoing_edges: bool = False,
     incoming_edges: bool = False,
+    offset: str = "+00:00",
 ) -> DataFrame:
     """The wide row of a change: log columns, declared properties, system columns.
 
     The entity id stays in the log column ``id`` until the row is exported.
     """
     wide = entities.select(
-        *(c for c in entities.columns if c != "codes"),
+        *cols(c for c in entities.columns if c != "codes"),
         *(F.col("properties")[name].alias(name) for name in declared),
         F.col("persist_hash").alias("PersistHash"),
         F.col("persist_version").alias("PersistVersion"),
@@ -96,7 +96,7 @@ def envelope(
         F.lit(container_name).alias("ContainerName"),
     )
     wide = apply_types(wide, declared)
-    wide = with_event_time(wide, now)
+    wide = with_event_time(wide, now, offset=offset)
     wide = with_change_type(wide, delta_mode, event_mode)
     wide = attach_edges(wide, outgoing_edges, incoming_edges)
     return wide.drop(*(c for c in RAW_COLUMNS if c != "codes"))
@@ -116,7 +116,7 @@ def serialize_cells(df: DataFrame, text_times: Collection[str] = ()) -> DataFram
 def order_columns(df: DataFrame) -> DataFrame:
     """``Id`` first, the rest by name."""
     names = sorted(c for c in df.columns if c != "Id")
-    return df.select(*(["Id"] if "Id" in df.columns else []), *(quoted(c) for c in names))
+    return df.select(*(["Id"] if "Id" in df.columns else []), *cols(names))
 
 
 def known_keys(log: DataFrame, properties: str = "properties") -> DataFrame:
@@ -138,7 +138,7 @@ def schema_guard(
     unknown = F.array_except(F.map_keys(properties), "known_keys")
     rows = rows.withColumn("unknown_keys", F.coalesce(unknown, F.array().cast("array<string>")))
     fits = F.size("unknown_keys") == 0
-    columns = log.columns
+    columns = cols(log.columns)
     return (
         rows.where(fits).select(*columns),
         rows.where(~fits).select(*columns, "unknown_keys"),

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions.columns import cols
 from tidemark.session import settle
 
 #: Rows a key may hold before it is cut.
@@ -110,7 +111,7 @@ def with_slices(
 
     found = F.aggregate(steps, F.lit(0), step)
     return df.join(F.broadcast(cuts), list(keys), "left").select(
-        *df.columns,
+        *cols(df.columns),
         F.when(F.col("_cuts").isNull(), F.lit(UNCUT)).otherwise(found).alias(SLICE),
     )
 
@@ -138,7 +139,7 @@ def running(
     )
     joined = rows.join(carried, [*keys, SLICE], "left")
     return joined.select(
-        *df.columns,
+        *cols(df.columns),
         *(_combine(name, spec).alias(name) for name, spec in specs.items()),
     )
 

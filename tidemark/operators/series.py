@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import cols
 from tidemark.functions.schedule import seconds
 from tidemark.functions.text import instant
 from tidemark.operators.temporal import PERIOD
@@ -38,7 +39,7 @@ def snapshot_series(ver: DataFrame, step: int, lo: str, hi: str) -> DataFrame:
     each = numbered.withColumn("_n", F.explode(F.sequence("_first", "_last")))
     return each.select(
         _instant_number(F.col("_n"), lo, step).alias("instant"),
-        *(c for c in ver.columns if c not in PERIOD),
+        *cols(c for c in ver.columns if c not in PERIOD),
     )
 
 
@@ -52,7 +53,7 @@ def delta_series(ver: DataFrame, step: int, lo: str, hi: str) -> DataFrame:
     placed = placed.where(F.col("_n") <= _steps(lo, hi, step))
     placed = placed.withColumn("instant", _instant_number(F.col("_n"), lo, step))
     return placed.where(F.col("instant") < F.col("valid_to")).select(
-        "instant", *(c for c in ver.columns if c not in PERIOD)
+        "instant", *cols(c for c in ver.columns if c not in PERIOD)
     )
 
 

@@ -15,8 +15,9 @@ from tidemark.functions.cells import (
     edges_from_json,
     nested_or_text,
 )
+from tidemark.functions.columns import cols, quoted
 from tidemark.functions.text import guid_text, iso_text
-from tidemark.operators.envelope import CHANGE_TYPE, quoted
+from tidemark.operators.envelope import CHANGE_TYPE
 from tidemark.operators.temporal import PERIOD
 from tidemark.sources.change_logs import LOG_COLUMNS, REMOVED
 
@@ -29,7 +30,7 @@ def entity_columns(df: DataFrame) -> DataFrame:
     """The columns of a target: ``Id`` and the payload, without log and period columns."""
     hidden = {*LOG_COLUMNS, *PERIOD}
     return df.select(
-        F.col("id").alias("Id"), *(quoted(c) for c in df.columns if c not in hidden)
+        F.col("id").alias("Id"), *cols(c for c in df.columns if c not in hidden)
     )
 
 
@@ -50,7 +51,7 @@ def row_marker(df: DataFrame, first: bool) -> DataFrame:
 
     The first file has no marker.
     """
-    rest = [quoted(c) for c in df.columns if c != CHANGE_TYPE]
+    rest = cols(c for c in df.columns if c != CHANGE_TYPE)
     if first or CHANGE_TYPE not in df.columns:
         return df.select(*rest)
     marker = F.when(F.col(CHANGE_TYPE) == REMOVED, "2").otherwise("4")

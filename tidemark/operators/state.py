@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import cols, field
 from tidemark.operators.ordered import (
     SLICE_ROWS,
     Latest,
@@ -31,7 +32,7 @@ def current_state(log: DataFrame, soft: bool = False) -> DataFrame:
     """The last change of each entity; removed entities are gone, or marked when ``soft``."""
     payload = payload_columns(log)
     if not soft:
-        last = F.max_by(F.struct("change_type", *ORDER, *payload), position())
+        last = F.max_by(F.struct("change_type", *ORDER, *cols(payload)), position())
         return (
             log.groupBy(*KEY)
             .agg(last.alias("last"))
@@ -44,15 +45,15 @@ def current_state(log: DataFrame, soft: bool = False) -> DataFrame:
     return (
         log.groupBy(*KEY)
         .agg(
-            F.max_by(F.struct("change_type", *ORDER, *stamped), position()).alias("last"),
-            F.max_by(F.struct(F.lit(1).alias("_"), *kept), F.when(live, position())).alias("body"),
+            F.max_by(F.struct("change_type", *ORDER, *cols(stamped)), position()).alias("last"),
+            F.max_by(F.struct(F.lit(1).alias("_"), *cols(kept)), F.when(live, position())).alias("body"),
         )
         .where(F.col("body").isNotNull())
         .select(
             *KEY,
             "last.change_type",
             *(f"last.{c}" for c in ORDER),
-            *(f"last.{c}" if c in STAMPED else f"body.{c}" for c in payload),
+            *(field("last" if c in STAMPED else "body", c) for c in payload),
         )
     )
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import cols, field
 from tidemark.operators.ordered import SLICE_ROWS, Latest, running, with_slices
 from tidemark.operators.state import STAMPED, current_state, position
 from tidemark.sources.change_logs import KEY, LOG_COLUMNS, ORDER, REMOVED, is_removed, payload_columns
@@ -47,9 +48,9 @@ def changes_since(log: DataFrame, t: Column, last: Column, soft: bool = False) -
         return current_state(recent)
     payload = payload_columns(log)
     live = ~is_removed()
-    body = F.max_by(F.struct(F.lit(1).alias("_"), *payload), F.when(live, position()))
+    body = F.max_by(F.struct(F.lit(1).alias("_"), *cols(payload)), F.when(live, position()))
     window = recent.groupBy(*KEY).agg(
-        F.max_by(F.struct(*LOG_COLUMNS[2:], *payload), position()).alias("last"), body.alias("body")
+        F.max_by(F.struct(*LOG_COLUMNS[2:], *cols(payload)), position()).alias("last"), body.alias("body")
     )
     bare = window.where(F.col("body").isNull()).select(*KEY)
     older = (
@@ -65,7 +66,7 @@ def changes_since(log: DataFrame, t: Column, last: Column, soft: bool = False) -
         .select(
             *KEY,
             *(f"last.{c}" for c in LOG_COLUMNS[2:]),
-            *(f"last.{c}" if c in STAMPED else f"body.{c}" for c in payload),
+            *(field("last" if c in STAMPED else "body", c) for c in payload),
         )
     )
 
@@ -99,7 +100,7 @@ def lookup_as_of(
     """
     payload = payload_columns(log)
     asked = [c for c in requests.columns if c not in (*KEY, "t")]
-    change = F.struct("change_type", *ORDER, *payload)
+    change = F.struct("change_type", *ORDER, *cols(payload))
     changes = log.select(
         *KEY,
         "ts",
@@ -112,8 +113,8 @@ def lookup_as_of(
         *KEY,
         F.col("t").alias("ts"),
         F.lit(1).alias("_kind"),
-        F.xxhash64(*requests.columns).alias("seq"),
-        F.struct(F.lit(1).alias("_"), *asked).alias("_asked"),
+        F.xxhash64(*cols(requests.columns)).alias("seq"),
+        F.struct(F.lit(1).alias("_"), *cols(asked)).alias("_asked"),
     )
     rows = changes.unionByName(questions, allowMissingColumns=True)
     order = ("ts", "_kind", "seq")
@@ -123,11 +124,11 @@ def lookup_as_of(
     if not soft:
         answers = answers.where(F.col("_change.change_type") != REMOVED)
     return answers.select(
-        *(f"_asked.{c}" for c in asked),
+        *(field("_asked", c) for c in asked),
         *KEY,
         F.col("ts").alias("t"),
         "_change.change_type",
         F.col("_change.ts").alias("valid_from"),
         F.col("_change.seq").alias("seq"),
-        *(f"_found.{c}" for c in payload),
+        *(field("_found", c) for c in payload),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import quoted
 from tidemark.functions.text import instant
 from tidemark.operators.ordered import SLICE_ROWS, Following, Latest, running, with_slices
 from tidemark.operators.state import STAMPED
@@ -26,8 +27,8 @@ def versions(log: DataFrame, soft: bool = False, slice_rows: int = SLICE_ROWS) -
     specs = {"_next": Following(F.col("ts"))}
     if soft:
         specs["_live"] = Latest(F.when(~is_removed(), F.lit(True)))
-        for c in kept:
-            specs[f"_kept_{c}"] = Latest(F.when(~is_removed(), F.struct(F.col(c).alias("v"))))
+        for n, c in enumerate(kept):
+            specs[f"_kept_{n}"] = Latest(F.when(~is_removed(), F.struct(F.col(quoted(c)).alias("v"))))
     rows = running(with_slices(log, KEY, ORDER, slice_rows), KEY, ORDER, specs)
     rows = rows.where(F.col("_live") if soft else ~is_removed())
     return rows.select(
@@ -36,7 +37,10 @@ def versions(log: DataFrame, soft: bool = False, slice_rows: int = SLICE_ROWS) -
         F.col("ts").alias("valid_from"),
         F.coalesce("_next", instant(OPEN_END)).alias("valid_to"),
         "seq",
-        *(F.col(f"_kept_{c}.v").alias(c) if c in kept else F.col(c) for c in payload),
+        *(
+            F.col(f"_kept_{kept.index(c)}.v").alias(c) if c in kept else F.col(quoted(c))
+            for c in payload
+        ),
     )
 
 

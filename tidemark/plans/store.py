@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import cols, quoted
 from tidemark.operators.envelope import known_keys, schema_guard
 from tidemark.operators.ledger import LEDGER_COLUMNS, LEDGER_SCHEMA, ledger_state
 from tidemark.operators.versions import OPEN_END, versions
@@ -96,7 +97,7 @@ class ChangeStore:
             return
         present = {c.lower() for c in batch.columns}
         columns = [
-            F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+            F.col(quoted(f.name)).cast(f.dataType).alias(f.name)
             if f.name.lower() in present
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in state.schema.fields
@@ -124,7 +125,7 @@ class ChangeStore:
         if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], state.schema)
         schema = T.StructType([*state.schema.fields, T.StructField("batch_id", T.LongType())])
-        log = self.spark.read.schema(schema).parquet(path).select(*(f"`{n}`" for n in names))
+        log = self.spark.read.schema(schema).parquet(path).select(*cols(names))
         return log if streams is None else log.where(F.col("stream_id").isin(list(streams)))
 
     def compact(self, batch_id: int) -> None:
@@ -170,7 +171,7 @@ class ChangeStore:
             f"{self.path}/archive/{stream_id}_{now}"
         )
         rows = rows.withColumn("stream_id", F.lit(stream_id))
-        return rows.select(*(f"`{f.name}`" for f in state.schema.fields))
+        return rows.select(*cols(f.name for f in state.schema.fields))
 
     # Schema guard ------------------------------------------------------------
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.envelope import quoted
+from tidemark.functions.columns import cols
 from tidemark.operators.state import current_state
 from tidemark.sources.change_logs import KEY, LOG_COLUMNS, ORDER, REMOVED, is_removed, payload_columns
 
@@ -24,7 +24,7 @@ def document_paths(rows: DataFrame) -> DataFrame:
 
 def as_documents(rows: DataFrame) -> DataFrame:
     payload = [c for c in rows.columns if c not in LOG_COLUMNS]
-    body = F.struct(F.col("id").alias("Id"), *(quoted(c) for c in payload))
+    body = F.struct(F.col("id").alias("Id"), *cols(payload))
     doc = F.to_json(body, {"ignoreNullFields": "false"})
     return rows.select(*LOG_COLUMNS, doc.alias("doc"))
 
@@ -47,7 +47,7 @@ def append_documents(batch: DataFrame, path: str, batch_id: int) -> None:
     A batch that is delivered twice replaces itself.
     """
     payload = payload_columns(batch)
-    last = F.max_by(F.struct("change_type", *ORDER, *payload), F.struct(*ORDER))
+    last = F.max_by(F.struct("change_type", *ORDER, *cols(payload)), F.struct(*ORDER))
     newest = batch.groupBy(*KEY).agg(last.alias("last")).select(*KEY, "last.*")
     docs = as_documents(newest).withColumn("doc", F.when(~is_removed(), F.col("doc")))
     docs.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import cols, quoted
 from tidemark.operators import shape
-from tidemark.operators.envelope import quoted, serialize_cells
+from tidemark.operators.envelope import serialize_cells
 from tidemark.plans.profiles import ExportProfile
 
 
@@ -22,14 +23,9 @@ def prepare(df: DataFrame, profile: ExportProfile) -> DataFrame:
         df = shape.guid_as_string(df, ["Id"])
     if profile.format == "json":
         return shape.rehydrate_json(serialize_cells(df))
+    df = serialize_cells(df)
     if profile.format == "parquet" and profile.array_columns:
-        nested = {*shape.CODE_COLUMNS, *shape.EDGE_COLUMNS}
-        kept = [c for c in df.columns if c in nested]
-        df = shape.edges_to_text(shape.codes_to_array(serialize_cells(df)))
-        rest = [f.name for f in df.schema.fields if f.name not in kept]
-        df = df.select(*(quoted(c) for c in df.columns if c in rest or c in kept))
-    else:
-        df = serialize_cells(df)
+        df = shape.edges_to_text(shape.codes_to_array(df))
     return shape.escape_columns(df) if profile.escape_names else df
 
 
@@ -63,7 +59,7 @@ def write_csv(df: DataFrame, path: str, profile: ExportProfile, mode: str = "ove
             .csv(path)
         )
         return
-    line = F.concat_ws(",", *(_csv_cell(F.col(quoted(c))) for c in df.columns))
+    line = F.concat_ws(",", *(_csv_cell(c) for c in cols(df.columns)))
     header = ",".join(_quote(c) for c in df.columns)
     lines = _framed(df.select(line.alias("value")), head=header)
     lines.write.mode(mode).option("lineSep", profile.csv_line_end).text(path)
@@ -71,7 +67,7 @@ def write_csv(df: DataFrame, path: str, profile: ExportProfile, mode: str = "ove
 
 def write_json(df: DataFrame, path: str, profile: ExportProfile, mode: str = "overwrite") -> None:
     """One JSON array per part file, or JSON lines; nulls are kept."""
-    row = F.to_json(F.struct(*(quoted(c) for c in df.columns)), {"ignoreNullFields": "false"})
+    row = F.to_json(F.struct(*cols(df.columns)), {"ignoreNullFields": "false"})
     lines = df.select(row.alias("value"))
     if not profile.json_lines:
         lines = _framed(lines, head="[", between=",", tail="]")
@@ -111,25 +107,28 @@ def _framed(lines: DataFrame, head: str, between: str = "", tail: str | None = N
     gives one well-formed file.
     """
 
-    def frame(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch(values: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"value": pa.array(values, pa.string())})
+
+    def frame(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: str | None = None
         started = TaskContext.get().partitionId() == 0
         if started:
-            yield pd.DataFrame({"value": [head]})
+            yield batch([head])
         for part in parts:
-            if part.empty:
+            values = part.column(0).to_pylist()
+            if not values:
                 continue
             out = [] if started else [head]
             started = True
-            values = part["value"].tolist()
             if held is not None:
                 out.append(held + between)
             out.extend(v + between for v in values[:-1])
             held = values[-1]
-            yield pd.DataFrame({"value": out})
+            yield batch(out)
         if held is not None:
-            yield pd.DataFrame({"value": [held]})
+            yield batch([held])
         if tail is not None and started:
-            yield pd.DataFrame({"value": [tail]})
+            yield batch([tail])
 
-    return lines.mapInPandas(frame, "value string")
+    return lines.mapInArrow(frame, "value string")

@@ -53,7 +53,11 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
     """A small JSON file, None when it does not exist."""
     if not exists(spark, path):
         return None
-    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+    stream = file_system(spark, path).open(_path(spark, path))
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def list_outputs(spark: SparkSession, path: str) -> DataFrame:
