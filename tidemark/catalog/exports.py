@@ -32,8 +32,7 @@ from tidemark.session import scratch_path
 from tidemark.sinks import documents, writers
 from tidemark.sinks.publish import publish
 from tidemark.sources import files
-from tidemark.sources.change_logs import events_log, lineitem_log, table
-from tidemark.sources.entities import order_entities
+from tidemark.sources.change_logs import events_log, lineitem_log, stream_id, table
 
 HOUR_MILLIS = 3_600_000
 
@@ -85,14 +84,10 @@ _ARCHIVED = stream("7")
 def b8_archive(spark, folder):
     """Changes per stream, in the store or archived."""
     log = events_log(spark, folder)
-    name = F.lit(7).cast("bigint")
-    from tidemark.sources.change_logs import stream_guid
-
-    stream_id = spark.range(1).select(stream_guid(name)).first()[0]
     store = _store(spark, log, batches=2)
-    store.archive(stream_id, "20240821031600")
+    store.archive(stream_id(7), "20240821031600")
     kept = store.log().withColumn("archived", F.lit(False))
-    moved = store.archived(stream_id, "20240821031600").withColumn("archived", F.lit(True))
+    moved = store.archived(stream_id(7), "20240821031600").withColumn("archived", F.lit(True))
     rows = kept.unionByName(moved)
     return rows.groupBy("stream_id", "archived").agg(F.count("*").alias("changes"))
 
@@ -181,8 +176,8 @@ def e2_json_nested(spark, folder):
     CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 2 END AS edges FROM orders""")
 def e3_parquet(spark, folder):
     """Escaped names and array columns, read back from Parquet."""
-    stored = serialize_cells(enveloped(spark, folder, outgoing_edges=True))
-    rows = stored.select(F.col("id").alias("Id"), "Name", "`order.totalPrice`", "Codes", "OutgoingEdges")
+    rows = enveloped(spark, folder, outgoing_edges=True)
+    rows = rows.select(F.col("id").alias("Id"), "Name", "`order.totalPrice`", "Codes", "OutgoingEdges")
     profile = ExportProfile.databricks(output_format="Parquet", array_columns=True, max_records_per_file=10_000)
     path = scratch_path(spark, "parquet")
     writers.write(writers.prepare(rows, profile), path, profile)
@@ -310,12 +305,8 @@ def e12_event_batches(spark, folder):
     return batch_summary(batches)
 
 
-def _first_stream(spark, folder):
-    """The stream of the lineitem log with number 3."""
-    from tidemark.sources.change_logs import stream_guid
-
-    stream_id = spark.range(1).select(stream_guid(F.lit(3).cast("bigint"))).first()[0]
-    return Stream(stream_id, "orders")
+#: One stream of the lineitem log.
+SOURCE = Stream(stream_id(3), "orders")
 
 
 _STREAM_3 = stream("3")
@@ -330,7 +321,7 @@ def k2_run_export(spark, folder):
     store = _store(spark, lineitem_log(spark, folder))
     root = scratch_path(spark, "out")
     profile = ExportProfile.azure(output_format="parquet")
-    result = run_export(store, root, profile, _first_stream(spark, folder), _utc(LI_T), manual=True)
+    result = run_export(store, root, profile, SOURCE, _utc(LI_T), manual=True)
     return spark.read.parquet(result.path)
 
 
@@ -341,7 +332,7 @@ def i5_run_delta(spark, folder):
     """The second export of a mirrored stream carries what changed since the first."""
     store = _store(spark, lineitem_log(spark, folder))
     root = scratch_path(spark, "mirror")
-    profile, source = ExportProfile.mirrored(), _first_stream(spark, folder)
-    run_delta(store, root, profile, source, _utc(LI_LAST))
-    result = run_delta(store, root, profile, source, _utc(LI_T))
+    profile = ExportProfile.mirrored()
+    run_delta(store, root, profile, SOURCE, _utc(LI_LAST))
+    result = run_delta(store, root, profile, SOURCE, _utc(LI_T))
     return spark.read.parquet(result.path)

@@ -273,8 +273,7 @@ def c7_snapshot_series(spark, folder):
     FROM instants JOIN ver ON {_SEEN} GROUP BY instant, stream_id""")
 def c7_weekly_snapshot_counts(spark, folder):
     ver = versions(lineitem_log(spark, folder))
-    rows = series.snapshot_series(ver, 604_800, LI_LO, LI_HI)
-    return rows.groupBy("instant", "stream_id").agg(F.count("*").alias("row_count"))
+    return series.snapshot_counts(ver, 604_800, LI_LO, LI_HI)
 
 
 def _delta_series_sql(lo: str, step: str) -> str:

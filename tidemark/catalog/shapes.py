@@ -13,7 +13,7 @@ from tidemark.functions.text import instant
 from tidemark.operators import shape, temporal
 from tidemark.operators.envelope import serialize_cells
 from tidemark.operators.versions import versions
-from tidemark.sources.change_logs import events_log, table
+from tidemark.sources.change_logs import events_log, log_stream, table
 from tidemark.sources.entities import order_entities
 
 _SOFT = f"WITH {EVENTS}, {soft_versions('ev', EVENTS_PAYLOAD)}"
@@ -141,18 +141,12 @@ def _runs(spark, folder):
     return table(spark, folder, "orders").select(
         "o_orderkey",
         F.col("o_orderdate").alias("data_time"),
-        order_stream().alias("stream_id"),
+        log_stream("o_custkey").alias("stream_id"),
         F.concat(F.lit("target-"), F.col("o_orderstatus")).alias("container"),
         F.when(kind == 0, "csv").when(kind == 1, "json").otherwise("parquet").alias("format"),
     )
 
 
-def order_stream():
-    from tidemark.sources.change_logs import stream_guid
-
-    return stream_guid(F.col("o_custkey") % 20)
-
-
 _FORMAT_SQL = "CASE o_orderkey % 3 WHEN 0 THEN 'csv' WHEN 1 THEN 'json' ELSE 'parquet' END"
 
 

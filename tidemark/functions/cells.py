@@ -76,19 +76,20 @@ def edge_text(edge: Column) -> Column:
     )
 
 
+def _parsed(text: Column) -> Column:
+    """The JSON array or object in a text, else null; other text is not parsed at all."""
+    return F.when(text.rlike(r"^\s*[\[{]"), F.try_parse_json(text))
+
+
 def json_kind(text: Column) -> Column:
     """``array`` or ``object`` when the text is such JSON, else ``text``; null for null."""
-    kind = F.schema_of_variant(F.try_parse_json(text))
     return (
         F.when(text.isNull(), None)
-        .when(kind.startswith("ARRAY"), "array")
-        .when(kind.startswith("OBJECT"), "object")
-        .otherwise("text")
+        .when(_parsed(text).isNull(), "text")
+        .otherwise(F.when(text.rlike(r"^\s*\["), "array").otherwise("object"))
     )
 
 
 def nested_or_text(text: Column) -> Column:
     """A variant: nested for JSON arrays and objects, the text itself otherwise."""
-    return F.when(json_kind(text).isin("array", "object"), F.try_parse_json(text)).otherwise(
-        text.cast(T.VariantType())
-    )
+    return F.coalesce(_parsed(text), text.cast(T.VariantType()))

@@ -102,11 +102,16 @@ def envelope(
     return wide.drop(*(c for c in RAW_COLUMNS if c != "codes"))
 
 
-def serialize_cells(df: DataFrame, text_times: Collection[str] = ()) -> DataFrame:
-    """Cells as a table keeps them: nested values as compact JSON, times in text columns as ISO."""
+def serialize_cells(
+    df: DataFrame, text_times: Collection[str] = (), keep: Collection[str] = ()
+) -> DataFrame:
+    """Cells as a table keeps them: nested values as compact JSON, times in text columns as ISO.
+
+    Columns named in ``keep`` stay nested.
+    """
     columns = []
     for field in df.schema.fields:
-        text = cell_text(field)
+        text = None if field.name in keep else cell_text(field)
         if field.name in text_times:
             text = json_time(F.col(quoted(field.name)))
         columns.append((F.col(quoted(field.name)) if text is None else text).alias(field.name))

@@ -91,16 +91,23 @@ def nullable_schema(df: DataFrame) -> DataFrame:
     )
 
 
+def _is_array(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.ArrayType)
+
+
 def codes_to_array(df: DataFrame) -> DataFrame:
-    """Code columns from JSON text to an array of text."""
-    present = [c for c in CODE_COLUMNS if c in df.columns]
-    return df.withColumns({c: codes_from_json(F.col(c)) for c in present}) if present else df
+    """Code columns as an array of text, from JSON text unless they are one already."""
+    stored = [c for c in CODE_COLUMNS if c in df.columns and not _is_array(df, c)]
+    return df.withColumns({c: codes_from_json(F.col(c)) for c in stored}) if stored else df
 
 
 def edges_to_text(df: DataFrame) -> DataFrame:
-    """Edge columns from JSON text to an array of one line per edge."""
-    present = [c for c in EDGE_COLUMNS if c in df.columns]
-    lines = {c: F.transform(edges_from_json(F.col(c)), edge_text) for c in present}
+    """Edge columns as an array of one line per edge, from an array of edges or JSON text."""
+    lines = {
+        c: F.transform(F.col(c) if _is_array(df, c) else edges_from_json(F.col(c)), edge_text)
+        for c in EDGE_COLUMNS
+        if c in df.columns
+    }
     return df.withColumns(lines) if lines else df
 
 

@@ -22,10 +22,13 @@ def prepare(df: DataFrame, profile: ExportProfile) -> DataFrame:
     if profile.guid_as_text and "Id" in df.columns:
         df = shape.guid_as_string(df, ["Id"])
     if profile.format == "json":
-        return shape.rehydrate_json(serialize_cells(df))
-    df = serialize_cells(df)
+        return shape.rehydrate_json(df)
     if profile.format == "parquet" and profile.array_columns:
+        lines = {*shape.CODE_COLUMNS, *shape.EDGE_COLUMNS}
         df = shape.edges_to_text(shape.codes_to_array(df))
+        df = serialize_cells(df, keep=lines)
+    else:
+        df = serialize_cells(df)
     return shape.escape_columns(df) if profile.escape_names else df
 
 

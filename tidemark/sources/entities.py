@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import guid_from, iso_text
-from tidemark.sources.change_logs import ADDED, CHANGED, REMOVED, stream_guid, table
+from tidemark.sources.change_logs import ADDED, CHANGED, REMOVED, log_stream, table
 
 REFERENCE_TYPE = "struct<Name: string, Code: struct<Key: string>>"
 EDGE_TYPE = (
@@ -75,7 +75,7 @@ def as_order_entities(orders: DataFrame) -> DataFrame:
         lambda _, value: value.isNotNull(),
     )
     return orders.select(
-        stream_guid(F.col("o_custkey") % 20).alias("stream_id"),
+        log_stream("o_custkey").alias("stream_id"),
         guid_from(F.concat(F.lit("order-"), key.cast("string"))).alias("id"),
         F.when(F.col("o_orderstatus") == "O", ADDED)
         .when(F.col("o_orderstatus") == "P", REMOVED)
