@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.logs import LOG_SCHEMA, START, histories, model_versions, random_log
 from tidemark.functions.text import instant
 from tidemark.operators import ordered, series, state, temporal
+from tidemark.operators.versions import patch_versions as versions_of
 from tidemark.operators.versions import versions
 from tidemark.sources.change_logs import KEY, ORDER
 
@@ -178,6 +179,17 @@ def test_patch_state(spark):
     }
 
 
+@pytest.mark.parametrize("slice_rows", [3, 1_000_000])
+def test_patch_versions(spark, slice_rows):
+    def at_end(soft):
+        ver = versions_of(patch_log(spark), ("x", "y", "z"), soft, slice_rows=slice_rows)
+        open_end = ver.where("valid_to > timestamp_ntz '2030-01-01 00:00:00'")
+        return {r["id"]: (r["x"], r["y"], r["z"]) for r in open_end.collect()}
+
+    assert at_end(False) == {"a": (None, None, "9"), "d": (None, None, None)}
+    assert at_end(True) == {"a": (None, "2", "9"), "b": ("1", None, None), "d": (None, None, None)}
+
+
 def test_golden_counts(spark):
     """Counts of versions, rejected deletes, snapshot and delta at sf0.001."""
     from tidemark.sources.change_logs import events_log, lineitem_log

@@ -305,20 +305,23 @@ def e12_event_batches(spark, folder):
     return batch_summary(batches)
 
 
-#: One stream of the lineitem log.
-SOURCE = Stream(stream_id(3), "orders")
+#: The whole lineitem log as one stream.
+SOURCE = Stream(stream_id(0), "orders")
+
+
+def _one_stream(log):
+    return log.withColumn("stream_id", F.lit(SOURCE.stream_id))
 
 
-_STREAM_3 = stream("3")
 _DELTA_ROWS = f"""valid_from <= TIMESTAMP '{LI_T}' AND TIMESTAMP '{LI_T}' < valid_to
-    AND valid_from > TIMESTAMP '{LI_LAST}' AND stream_id = {_STREAM_3}"""
+    AND valid_from > TIMESTAMP '{LI_LAST}'"""
 
 
 @query("k2_run_export", f"""WITH {LINEITEM}, last AS (SELECT * FROM li WHERE ts <= TIMESTAMP '{LI_T}' QUALIFY {_LAST})
-    SELECT id AS "Id", {LI_COLS} FROM last WHERE change_type <> 'Removed' AND stream_id = {_STREAM_3}""")
+    SELECT id AS "Id", {LI_COLS} FROM last WHERE change_type <> 'Removed'""")
 def k2_run_export(spark, folder):
-    """A manual export of one stream of a store, read back from Parquet."""
-    store = _store(spark, lineitem_log(spark, folder))
+    """A manual export of a stream of a store, read back from Parquet."""
+    store = _store(spark, _one_stream(lineitem_log(spark, folder)))
     root = scratch_path(spark, "out")
     profile = ExportProfile.azure(output_format="parquet")
     result = run_export(store, root, profile, SOURCE, _utc(LI_T), manual=True)
@@ -330,7 +333,7 @@ def k2_run_export(spark, folder):
     FROM ver WHERE {_DELTA_ROWS}""")
 def i5_run_delta(spark, folder):
     """The second export of a mirrored stream carries what changed since the first."""
-    store = _store(spark, lineitem_log(spark, folder))
+    store = _store(spark, _one_stream(lineitem_log(spark, folder)))
     root = scratch_path(spark, "mirror")
     profile = ExportProfile.mirrored()
     run_delta(store, root, profile, SOURCE, _utc(LI_LAST))

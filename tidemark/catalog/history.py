@@ -17,7 +17,7 @@ from tidemark.catalog.sql import (
 )
 from tidemark.functions.text import instant
 from tidemark.operators import series, state, temporal
-from tidemark.operators.versions import current_versions, versions
+from tidemark.operators.versions import current_versions, patch_versions, versions
 from tidemark.sources.change_logs import events_log, lineitem_log, table
 
 EV_T, EV_LAST = "2024-01-20 00:00:00", "2024-01-10 00:00:00"
@@ -106,6 +106,37 @@ def b4_versions_soft(spark, folder):
     return period_text(versions(lineitem_log(spark, folder), soft=True))
 
 
+_KINDS = ("click", "purchase", "signup", "view")
+
+
+def _patched_sql(reset: int) -> str:
+    cells = ", ".join(
+        f"""last_value(CASE WHEN event_type = '{k}' AND change_type <> 'Removed'
+          THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END IGNORE NULLS) OVER (
+          PARTITION BY stream_id, id, life ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS {k}"""
+        for k in _KINDS
+    )
+    gone = "change_type = 'Removed'" if reset else "writes = 0"
+    return f"""WITH {EVENTS}, lives AS (SELECT *,
+      sum(CASE WHEN change_type = 'Removed' THEN {reset} ELSE 0 END) OVER w AS life,
+      sum(CASE WHEN change_type <> 'Removed' THEN 1 ELSE 0 END) OVER w AS writes,
+      coalesce(lead(ts) OVER (PARTITION BY stream_id, id ORDER BY ts, seq), TIMESTAMP '9999-12-31') AS valid_to
+    FROM ev WINDOW w AS (PARTITION BY stream_id, id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)),
+    cells AS (SELECT *, ts AS valid_from, {cells} FROM lives)
+    SELECT stream_id, id, change_type, {micros('valid_from')} AS valid_from, {micros('valid_to')} AS valid_to,
+      seq, {", ".join(_KINDS)} FROM cells WHERE NOT ({gone})"""
+
+
+@query("b2_patch_versions_hard", _patched_sql(1))
+def b2_patch_versions_hard(spark, folder):
+    return period_text(patch_versions(property_log(spark, folder), _KINDS))
+
+
+@query("b2_patch_versions_soft", _patched_sql(0))
+def b2_patch_versions_soft(spark, folder):
+    return period_text(patch_versions(property_log(spark, folder), _KINDS, soft=True))
+
+
 _REJECTED = """WITH {log}, before AS (SELECT *,
       lag(change_type) OVER (PARTITION BY stream_id, id ORDER BY ts, seq) AS previous,
       sum(CASE WHEN change_type <> 'Removed' THEN 1 ELSE 0 END) OVER (

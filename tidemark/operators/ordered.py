@@ -32,8 +32,9 @@ SAMPLE_ROWS = 1 << 20
 MAX_CUTS = 1 << 16
 
 SLICE = "_slice"
-#: Slice number of all rows of a key that is not cut.
-UNCUT = -1
+#: Whether the key is cut. Windows and joins carry it, so that a filter on it can
+#: pass below them to the scan; a filter on the slice would copy its search there.
+HOT = "_hot"
 
 
 @dataclass(frozen=True)
@@ -91,8 +92,7 @@ def cut_points(
             lambda _, i: (i + 1) % F.lit(per_cut) == 0,
         ).alias("_cuts"),
     )
-    cuts = settle(cuts)
-    return None if cuts.isEmpty() else cuts
+    return settle(cuts)
 
 
 def with_slices(
@@ -100,24 +100,22 @@ def with_slices(
 ) -> DataFrame:
     """Number the slices of hot keys; a log without hot keys comes back unchanged."""
     cuts = cut_points(df, keys, order, slice_rows)
-    if cuts is None:
+    most = None if cuts is None else cuts.agg(F.max(F.size("_cuts"))).first()[0]
+    if most is None:
         return df
     here = F.struct(*order)
-    steps = F.sequence(F.lit(MAX_CUTS.bit_length() - 1), F.lit(0))
-
-    def step(low: Column, bit: Column) -> Column:
-        probe = low + F.call_function("shiftleft", F.lit(1), bit)
-        return F.when(F.get("_cuts", probe - 1) <= here, probe).otherwise(low)
-
-    found = F.aggregate(steps, F.lit(0), step)
-    return df.join(F.broadcast(cuts), list(keys), "left").select(
-        *cols(df.columns),
-        F.when(F.col("_cuts").isNull(), F.lit(UNCUT)).otherwise(found).alias(SLICE),
-    )
+    rows = df.join(F.broadcast(cuts), list(keys), "left").withColumn(SLICE, F.lit(0))
+    # Binary search for the number of cuts at or before the row. One projection per
+    # step keeps the search in generated code.
+    for bit in reversed(range(most.bit_length())):
+        probe = F.col(SLICE) + (1 << bit)
+        beyond = F.get("_cuts", probe - 1) <= here
+        rows = rows.withColumn(SLICE, F.when(beyond, probe).otherwise(F.col(SLICE)))
+    return rows.select(*cols(df.columns), SLICE, F.col("_cuts").isNotNull().alias(HOT))
 
 
 def drop_slices(df: DataFrame) -> DataFrame:
-    return df.drop(SLICE)
+    return df.drop(SLICE, HOT)
 
 
 def running(
@@ -125,19 +123,19 @@ def running(
 ) -> DataFrame:
     """Add one column per spec; ``df`` may have been through :func:`with_slices`."""
     sliced = SLICE in df.columns
-    window = Window.partitionBy(*keys, *([SLICE] if sliced else [])).orderBy(*order)
+    window = Window.partitionBy(*keys, *([SLICE, HOT] if sliced else [])).orderBy(*order)
     local = {name: _within(spec, window) for name, spec in specs.items()}
     if not sliced:
         return df.select("*", *(value.alias(name) for name, value in local.items()))
 
-    carried = _between(df.where(F.col(SLICE) != UNCUT), keys, order, specs)
+    carried = _between(df.where(HOT), keys, order, specs)
     rows = df.select(
         "*",
         *(value.alias(name) for name, value in local.items()),
         F.lead(F.lit(True)).over(window).isNull().alias("_is_last"),
         F.lag(F.lit(True)).over(window).isNull().alias("_is_first"),
     )
-    joined = rows.join(carried, [*keys, SLICE], "left")
+    joined = rows.join(carried, [*keys, SLICE, HOT], "left")
     return joined.select(
         *cols(df.columns),
         *(_combine(name, spec).alias(name) for name, spec in specs.items()),
@@ -188,12 +186,12 @@ def _between(
             case RunningSum():
                 return F.sum(name).over(before)
 
-    slices = hot.groupBy(*keys, SLICE).agg(
+    slices = hot.groupBy(*keys, SLICE, HOT).agg(
         *(summary(spec).alias(name) for name, spec in specs.items())
     )
     return settle(
         slices.select(
-            *keys, SLICE, *(carry(name, spec).alias(f"_from_{name}") for name, spec in specs.items())
+            *keys, SLICE, HOT, *(carry(name, spec).alias(f"_from_{name}") for name, spec in specs.items())
         )
     )
 

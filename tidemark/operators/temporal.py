@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import cols, field
+from tidemark.operators.joins import join_lookup
 from tidemark.operators.ordered import SLICE_ROWS, Latest, running, with_slices
 from tidemark.operators.state import STAMPED, current_state, position
 from tidemark.sources.change_logs import KEY, LOG_COLUMNS, ORDER, REMOVED, is_removed, payload_columns
@@ -41,7 +42,8 @@ def changes_since(log: DataFrame, t: Column, last: Column, soft: bool = False) -
     """State at ``t`` of the entities that changed after ``last``, straight from the log.
 
     Only changes in ``(last, t]`` are read, except that a soft delete whose entity was
-    not written in that window takes its payload from the older log.
+    not written in that window takes its payload from the older log. The few entities
+    concerned are found first, so the older log is filtered before it is shuffled.
     """
     recent = log.where((F.col("ts") > last) & (F.col("ts") <= t))
     if not soft:
@@ -53,12 +55,8 @@ def changes_since(log: DataFrame, t: Column, last: Column, soft: bool = False) -
         F.max_by(F.struct(*LOG_COLUMNS[2:], *cols(payload)), position()).alias("last"), body.alias("body")
     )
     bare = window.where(F.col("body").isNull()).select(*KEY)
-    older = (
-        log.where((F.col("ts") <= last) & live)
-        .join(bare, list(KEY), "left_semi")
-        .groupBy(*KEY)
-        .agg(body.alias("old_body"))
-    )
+    older = join_lookup(log.where((F.col("ts") <= last) & live), bare, KEY, "left_semi")
+    older = older.groupBy(*KEY).agg(body.alias("old_body"))
     return (
         window.join(older, list(KEY), "left")
         .withColumn("body", F.coalesce("body", "old_body"))

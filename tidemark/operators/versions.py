@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,39 @@ def versions(log: DataFrame, soft: bool = False, slice_rows: int = SLICE_ROWS) -
     )
 
 
+def patch_versions(
+    log: DataFrame,
+    keys: Sequence[str],
+    soft: bool = False,
+    properties: str = "properties",
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Every version when a change sets only the keys it carries: one column per key.
+
+    A key keeps its value from change to change; a hard delete clears all keys.
+    """
+    specs = {
+        "_next": Following(F.col("ts")),
+        "_live": Latest(F.when(~is_removed(), F.lit(True))),
+    }
+    for n, key in enumerate(keys):
+        written = F.struct(F.col(properties)[key].alias("v"))
+        cell = F.when(~is_removed() & F.map_contains_key(properties, key), written)
+        if not soft:
+            cell = F.when(is_removed(), F.struct(F.lit(None).cast("string").alias("v"))).otherwise(cell)
+        specs[f"_key_{n}"] = Latest(cell)
+    rows = running(with_slices(log, KEY, ORDER, slice_rows), KEY, ORDER, specs)
+    rows = rows.where(F.col("_live") if soft else ~is_removed())
+    return rows.select(
+        *KEY,
+        "change_type",
+        F.col("ts").alias("valid_from"),
+        F.coalesce("_next", instant(OPEN_END)).alias("valid_to"),
+        "seq",
+        *(F.col(f"_key_{n}.v").alias(key) for n, key in enumerate(keys)),
+    )
+
+
 def current_versions(ver: DataFrame) -> DataFrame:
     """The versions still open."""
     return ver.where(F.col("valid_to") == instant(OPEN_END))

@@ -42,9 +42,11 @@ def stream_sync(
         waiting = store.rejected(batch_id - 1) if batch_id > 0 else None
         if waiting is not None:
             batch = batch.unionByName(waiting.select(*batch.columns))
+        batch = batch.persist()
         fits, rejected = store.guard(batch, batch_id)
         store.append(fits, batch_id)
         store.reject(rejected, batch_id)
+        batch.unpersist()
 
     return _start(source, fold, checkpoint, interval)
 
@@ -88,7 +90,7 @@ class EventStream:
     def _fold(self, batch: DataFrame, batch_id: int) -> None:
         waiting = self._pending(batch_id - 1) if batch_id > 0 else None
         rows = batch if waiting is None else batch.unionByName(waiting.select(*batch.columns))
-        batched = idle_batches(rows, self.target, self.n, self.idle_millis)
+        batched = idle_batches(rows, self.target, self.n, self.idle_millis).persist()
         group = [*self.target, "session", "batch"]
         sizes = batched.groupBy(*group).agg(F.count("*").alias("_items"), F.max("ts").alias("_end"))
         ends = sizes.groupBy(*self.target).agg(
@@ -105,6 +107,7 @@ class EventStream:
             .select(*group)
         )
         self._write(batched.join(opened, group, "left_anti"), batch_id, batched.join(opened, group, "left_semi"))
+        batched.unpersist()
 
     def _write(self, closed: DataFrame, batch_id: int, open_rows: DataFrame | None) -> None:
         done = event_batches(closed, self.target, self.container)
