@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import golden
-from tidemark.plans.export import Stream, run_delta, run_export
+from tidemark.plans.export import Stream, archive_stream, run_delta, run_export
 from tidemark.plans.profiles import ExportProfile
 from tidemark.plans.store import ChangeStore
 from tidemark.session import scratch_path
@@ -262,6 +262,14 @@ def test_archive_moves_a_stream_aside(spark):
     assert store.archived(golden.STREAM, "20240821031600").count() == 1
 
 
+def test_archiving_a_mirrored_stream_removes_its_directory(spark, store, root):
+    profile = ExportProfile.mirrored()
+    result = run_delta(store, root, profile, STREAM, golden.NOW)
+    assert files.exists(spark, result.path)
+    archive_stream(store, root, profile, STREAM, LATER)
+    assert not files.exists(spark, result.path) and store.log().count() == 0
+
+
 def test_listing(spark, store, root):
     result = run_export(store, root, ExportProfile.azure(output_format="parquet"), STREAM, golden.NOW)
     found = files.list_outputs(spark, result.path)

@@ -168,6 +168,13 @@ def patch_log(spark):
 def test_patch_state(spark):
     hard = {r["id"]: r["properties"] for r in state.patch_state(patch_log(spark)).collect()}
     assert hard == {"a": {"z": "9"}, "d": {}}
+    cells = state.patch_cells(patch_log(spark)).collect()
+    assert [(r["id"], r["key"], r["value"]) for r in cells] == [("a", "z", "9")]
+    cells = state.patch_cells(patch_log(spark), soft=True).select("id", "change_type", "key", "value")
+    assert rows(cells) == [
+        ("a", "Added", "x", None), ("a", "Added", "y", "2"), ("a", "Added", "z", "9"),
+        ("b", "Removed", "x", "1"), ("b", "Removed", "y", None),
+    ]
     soft = {
         r["id"]: (r["change_type"], r["properties"])
         for r in state.patch_state(patch_log(spark), soft=True).collect()

@@ -106,6 +106,16 @@ def b4_versions_soft(spark, folder):
     return period_text(versions(lineitem_log(spark, folder), soft=True))
 
 
+@query("b2_patch_cells_hard", f"WITH {EVENTS}, {_PATCH.format(reset=1)}")
+def b2_patch_cells_hard(spark, folder):
+    return state.patch_cells(property_log(spark, folder))
+
+
+@query("b2_patch_cells_soft", f"WITH {EVENTS}, {_PATCH.format(reset=0)}")
+def b2_patch_cells_soft(spark, folder):
+    return state.patch_cells(property_log(spark, folder), soft=True)
+
+
 _KINDS = ("click", "purchase", "signup", "view")
 
 

@@ -61,23 +61,46 @@ def current_state(log: DataFrame, soft: bool = False) -> DataFrame:
 _ROW, _GONE = "\u0000row", "\u0000gone"
 
 
-def patch_state(log: DataFrame, soft: bool = False, properties: str = "properties") -> DataFrame:
-    """Current state when a change sets only the keys it carries.
-
-    An absent key keeps its earlier value and a present null overwrites it. A hard
-    delete forgets all keys, a soft delete forgets none. The last write per (entity,
-    key) is found first, so what is gathered per entity is one value per key.
-    """
+def _last_writes(log: DataFrame, properties: str) -> DataFrame:
+    """The last write of each (entity, key), and the last time an entity was there or gone."""
     written = F.map_entries(F.coalesce(properties, F.expr("map()").cast("map<string,string>")))
     marker = F.struct(
         F.when(is_removed(), _GONE).otherwise(_ROW).alias("key"), F.lit(None).cast("string").alias("value")
     )
     cells = F.when(is_removed(), F.array(marker)).otherwise(F.array_append(written, marker))
-    writes = log.select(*KEY, "change_type", *ORDER, F.inline(cells)).groupBy(*KEY, "key").agg(
+    return log.select(*KEY, "change_type", *ORDER, F.inline(cells)).groupBy(*KEY, "key").agg(
         F.max_by(F.struct("value"), position()).alias("cell"),
         F.max(position()).alias("at"),
         F.max_by("change_type", position()).alias("change_type"),
     )
+
+
+def patch_cells(log: DataFrame, soft: bool = False, properties: str = "properties") -> DataFrame:
+    """:func:`patch_state` as one row per (entity, key), for entities with very many keys."""
+    writes = _last_writes(log, properties)
+    marks = F.col("key").isin(_ROW, _GONE)
+    entity = writes.where(marks).groupBy(*KEY).agg(
+        F.max(F.when(F.col("key") == _ROW, F.col("at"))).alias("row_at"),
+        F.max(F.when(F.col("key") == _GONE, F.col("at"))).alias("gone_at"),
+        F.max_by("change_type", "at").alias("change_type"),
+    )
+    here = F.col("row_at").isNotNull()
+    if not soft:
+        here = here & (F.col("gone_at").isNull() | (F.col("row_at") > F.col("gone_at")))
+    kept = writes.where(~marks).drop("change_type").join(entity.where(here), list(KEY))
+    if not soft:
+        kept = kept.where(F.col("gone_at").isNull() | (F.col("at") > F.col("gone_at")))
+    return kept.select(*KEY, "change_type", "key", F.col("cell.value").alias("value"))
+
+
+def patch_state(log: DataFrame, soft: bool = False, properties: str = "properties") -> DataFrame:
+    """Current state when a change sets only the keys it carries.
+
+    An absent key keeps its earlier value and a present null overwrites it. A hard
+    delete forgets all keys, a soft delete forgets none. The last write per (entity,
+    key) is found first, so what is gathered per entity is one value per key.
+    """
+    writes = _last_writes(log, properties)
     marks = F.col("key").isin(_ROW, _GONE)
     entity = writes.groupBy(*KEY).agg(
         F.max(F.when(F.col("key") == _ROW, F.col("at"))).alias("row_at"),

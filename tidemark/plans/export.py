@@ -18,6 +18,8 @@ from tidemark.plans.profiles import ExportProfile
 from tidemark.plans.store import ChangeStore
 from tidemark.sinks import landing, writers
 from tidemark.sinks.publish import described, publish
+from tidemark.sources import files
+from tidemark.streaming.flows import EventStream
 
 
 @dataclass(frozen=True)
@@ -208,6 +210,26 @@ def run_delta(
     return run_export(store, root, profile.with_options(delta_mode=True), stream, now)
 
 
+def archive_stream(
+    store: ChangeStore,
+    root: str,
+    profile: ExportProfile,
+    stream: Stream,
+    now: dt.datetime,
+    events: EventStream | None = None,
+) -> str:
+    """Set a stream aside: flush its waiting events, archive its changes.
+
+    A mirrored target also loses the directory of its table.
+    """
+    if events is not None:
+        events.flush()
+    path = store.archive(stream.stream_id, now.strftime("%Y%m%d%H%M%S"))
+    if profile.mirror:
+        files.delete(store.spark, f"{root.rstrip('/')}/{table_directory(store.spark, profile, stream, now)}")
+    return path
+
+
 def load_table(rows: DataFrame, name: str, path: str | None = None) -> None:
     """Replace a table by the exported rows; its files go to the warehouse unless named."""
     writer = rows.write.mode("overwrite")
