@@ -90,6 +90,7 @@ def test_event_stream_carries_open_batches_over(spark, arrivals, as_files):
     )
     out.start(source, scratch_path(spark, "offsets")).awaitTermination()
     out.flush()
+    out.flush()
     got = sorted(tuple(item["seq"] for item in json.loads(r["content"])) for r in out.batches().collect())
     assert got == model_batches(log, 7, dt.timedelta(minutes=3))
 

@@ -116,14 +116,18 @@ class EventStream:
         if open_rows is not None:
             rows = open_rows.drop("session", "batch")
             rows.write.mode("overwrite").parquet(f"{self.path}/pending/batch_id={batch_id}")
+        # Only the batch before this one is needed if this one is delivered again.
+        files.delete(self.spark, f"{self.path}/pending/batch_id={batch_id - 2}")
 
     def flush(self) -> None:
         """Close the batches that still wait, as at a shutdown or before an archive."""
-        found = files.names(self.spark, f"{self.path}/pending")
-        if not found:
+        found = [n.split("=")[1] for n in files.names(self.spark, f"{self.path}/events") if "=" in n]
+        numbers = [int(n) for n in found if not n.endswith("-flush")]
+        batch_id = max(numbers, default=-1)
+        waiting = self._pending(batch_id)
+        if waiting is None:
             return
-        batch_id = max(int(n.split("=")[1]) for n in found if n.startswith("batch_id="))
-        batched = idle_batches(self._pending(batch_id), self.target, self.n, self.idle_millis)
+        batched = idle_batches(waiting, self.target, self.n, self.idle_millis)
         done = event_batches(batched, self.target, self.container)
         target = f"{self.path}/events/batch_id={batch_id}-flush"
         write_event_batches(done, target, self.as_files, mode="overwrite")
