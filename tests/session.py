@@ -9,6 +9,7 @@ def local_session(cores: int = 8) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", "/tmp/tidemark-warehouse")
         .getOrCreate()
