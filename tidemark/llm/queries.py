@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact
+from tidemark.llm import exact, jaccard
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,9 @@ def query(name: str, oracle: str | None = None):
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return exact.exact_groups(docs).withColumnRenamed("id", "doc_id")
+
+
+@query("op8_near_components")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return jaccard.near_components(docs).withColumnRenamed("id", "doc_id")
