@@ -32,16 +32,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.shared import key_filter, n_buckets, unused, written
-from tidemark.llm.shingles import pack, pack_sorted, sets, unpack, unpack_sorted
+from tidemark.llm.shingles import pack, pack_sorted, parity, sets, unpack, unpack_sorted
 
 PERCENT = 75
 #: Bits of a shingle's hash under which it is counted and listed. Shingles that share them make
 #: pairs that the whole sets then refuse.
 KEY_BITS = 40
 #: Most shingles that are broadcast as frequent: 9 bytes each.
-FREQUENT = 1 << 19
+FREQUENT = 1 << 21
 #: A shingle that fewer documents hold isn't called frequent.
-COMMON = 32
+COMMON = 4
 STAR_ROUNDS = 2
 _FLUSH = 1 << 20
 _SHIFT = np.uint64(64 - KEY_BITS)
@@ -115,12 +115,12 @@ def _levels(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketches(shared, percent: int):
-    """Per document its id, size, digest of its set and the packed keys of its prefix, in order."""
+    """Per document its id, size, digest and parity of its set and the packed keys of its prefix, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, power = shared.value
         for batch in batches:
-            size, digest, prefix = [], [], []
+            size, digest, signs, prefix = [], [], [], []
             for own in sets(batch.column("text")):
                 keys = own >> _SHIFT
                 if len(often):
@@ -131,8 +131,10 @@ def _sketches(shared, percent: int):
                 keep = n - -(-percent * n // 100) + 1 if n else 0
                 size.append(n)
                 digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                signs.append(parity(own))
                 prefix.append(pack(keys[:keep]))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, pa.binary())], ["id", "n", "digest", "prefix"])
+            binary = [pa.array(x, pa.binary()) for x in (digest, signs, prefix)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), *binary], ["id", "n", "digest", "signs", "prefix"])
 
     return run
 
@@ -202,11 +204,38 @@ def _verify(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs(a, b)`` whose sets are similar. ``members(id, shingles)`` may repeat an id."""
-    x = members.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    y = members.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y")
+def _alike(percent: int):
+    """Pairs whose parities differ in no more slots than similar sets of their sizes can."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
+                apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                sizes = batch.column("sizes").to_numpy()
+                batch = batch.filter(pa.array((100 + percent) * apart <= (100 - percent) * sizes))
+            yield batch.select(["a", "b"])
+
+    return run
+
+
+def _hopeful(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` that their parities (``signs``: id, n, signs; an id may repeat) don't rule out."""
+    x = signs.select(F.col("id").alias("a"), F.col("n").alias("x_n"), F.col("signs").alias("x"))
+    y = signs.select(F.col("id").alias("b"), F.col("n").alias("y_n"), F.col("signs").alias("y"))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("x_n") + F.col("y_n")).alias("sizes"))
+    return written(both.mapInArrow(_alike(percent), "a long, b long").distinct(), "hopeful")
+
+
+def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs(a, b)`` whose sets are similar, from the whole texts of their ends."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    member = key_filter(ends, "id")
+    sets_of = texts.where(member(F.col("id"))).mapInArrow(_set_rows, "id long, shingles binary").where("shingles is not null")
+    sets_of = written(sets_of, "sets")
+    x = sets_of.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
+    y = sets_of.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
     return written(both.mapInArrow(_verify(percent), "a long, b long"), "links")
 
 
@@ -247,12 +276,6 @@ def _rest(lists: DataFrame, percent: int) -> DataFrame:
     return _pairs(few.join(all_of, (F.col("l_key") == F.col("r_key")) & (F.col("l_to") == F.col("r_band"))), percent)
 
 
-def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return lists.withColumn("component", F.col("id"))
-    return lists.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``id, n_shingles, component_id``.
 
@@ -263,37 +286,47 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(_levels(frequent_shingles(texts)))
-    sketches = written(texts.mapInArrow(_sketches(shared, percent), "id long, n long, digest binary, prefix binary"), "sketches")
-
-    nodes = sketches.where("n > 0 and id is not null")
-    classes = written(nodes.groupBy("digest", "n").agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix")), "classes")
-    copies = nodes.join(classes.select("digest", "n", "rep"), ["digest", "n"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-
-    groups = classes.groupBy("n", F.md5("prefix").alias("mark")).agg(F.min("rep").alias("gid"), F.count("*").alias("members"))
-    grouped = classes.withColumn("mark", F.md5("prefix")).join(groups, ["n", "mark"])
-    heads = grouped.where("rep = gid").select("gid", "n", "prefix")
+    sketches = written(texts.mapInArrow(_sketches(shared, percent), "id long, n long, digest binary, signs binary, prefix binary"), "sketches")
+
+    nodes = sketches.where("n > 0 and id is not null").withColumn("mark", F.md5("prefix"))
+    classes = nodes.groupBy("digest", "n", "mark").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
+    groups = classes.groupBy("n", "mark").agg(F.min("rep").alias("gid"), F.sum("rows").alias("held"), F.count("*").alias("members"))
+    classes = written(classes.join(groups, ["n", "mark"]), "classes")
+    several = classes.where("held > 1")
+    crowd = nodes.select("id", "digest", "n").join(several.select("digest", "n", "rep"), ["digest", "n"])
+    copies = written(crowd.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "copies")
+
+    # one head stands for each group; rows alone in their group pass without a shuffle
+    member = key_filter(several.withColumn("at", F.xxhash64("mark", "n")), "at")
+    shared_prefix = member(F.xxhash64("mark", "n"))
+    doubtful = nodes.where(shared_prefix).select("id", "n", "mark", "prefix").join(classes.select("n", "mark", F.col("gid").alias("id")).distinct(), ["n", "mark", "id"], "left_semi")
+    doubtful = doubtful.groupBy("n", "mark", "id").agg(F.first("prefix").alias("prefix"))
+    heads = nodes.where(~shared_prefix).select("id", "n", "prefix").unionByName(doubtful.drop("mark")).withColumnRenamed("id", "gid")
     blobs = heads.mapInArrow(_list_blobs(n_buckets(spark)), "bucket int, keys binary, gid binary, n binary, place binary")
     group_lists = blobs.groupBy("bucket").applyInArrow(_lists(percent), "key long, gid long, n long, place long")
-    expanded = group_lists.join(grouped.select("gid", F.col("rep").alias("id"), "n"), ["gid", "n"]).select("key", "id", "n", "place")
+    members = classes.where("members > 1").select("gid", F.col("rep").alias("id"), "n")
     # members of one group share their whole prefix: a list of their own, under a key no shingle has
-    inside = grouped.where("members > 1").select((-F.col("gid") - 1).alias("key"), F.col("rep").alias("id"), "n", F.lit(0).cast("long").alias("place"))
+    inside = members.select((-F.col("gid") - 1).alias("key"), "id", "n", F.lit(0).cast("long").alias("place"))
+    others = group_lists.join(members.where("id <> gid"), ["gid", "n"]).select("key", "id", "n", "place")
+    lists = group_lists.withColumnRenamed("gid", "id").unionByName(others).unionByName(inside)
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int")
-    lists = written(expanded.unionByName(inside).withColumn("band", band), "lists")
-
-    member = key_filter(lists.select("id").distinct(), "id")
-    members = texts.where(member(F.col("id"))).join(lists.select("id").distinct(), "id", "left_semi")
-    members = written(members.mapInArrow(_set_rows, "id long, shingles binary").where("shingles is not null"), "members")
+    lists = written(lists.withColumn("band", band), "lists")
+    signs = nodes.join(lists.select("id").distinct(), "id", "left_semi").select("id", "n", "signs").distinct()
 
     edges, labels, tested = copies, None, None
     for turn in range(STAR_ROUNDS + 1):
-        own = _labelled(lists, labels)
+        if turn and labels is None:
+            labels = written(components(edges), "labels")
+        own = lists.join(labels, "id", "left") if labels else lists.withColumn("component", F.lit(None).cast("long"))
+        own = own.withColumn("component", F.coalesce("component", "id"))
         pairs = _star(own, turn, percent) if turn < STAR_ROUNDS else _rest(own, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
+        pairs = _hopeful(pairs, signs, percent)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        edges = edges.unionByName(_links(pairs, members, percent))
-        labels = written(components(edges), "labels")
+        if not pairs.isEmpty():
+            edges, labels = edges.unionByName(_links(pairs, texts, percent)), None
+    labels = labels or written(components(edges), "labels")
     return (
         sketches.select("id", F.col("n").alias("n_shingles"))
         .join(labels, "id", "left")

@@ -118,9 +118,19 @@ def unpack(raw: bytes) -> np.ndarray:
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
-    """Like :func:`pack`, for ascending values: their differences."""
-    return pack(np.diff(values, prepend=np.uint64(0)))
+    """Like :func:`pack`, for ascending values: the first one and the differences."""
+    return values[:1].astype(np.uint64).tobytes() + pack(np.diff(values))
 
 
 def unpack_sorted(raw: bytes) -> np.ndarray:
-    return np.cumsum(unpack(raw), dtype=np.uint64)
+    first = np.frombuffer(raw, dtype=np.uint64, count=1)
+    return np.cumsum(np.concatenate([first, unpack(raw[8:])]), dtype=np.uint64)
+
+
+def parity(own: np.ndarray, bits: int = 1024) -> bytes:
+    """Per slot, whether an odd number of shingles falls into it.
+
+    Two sets differ in at least as many shingles as their parities differ in slots.
+    """
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
