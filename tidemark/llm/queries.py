@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, jaccard
+from tidemark.llm import exact, jaccard, language, packing
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +45,22 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return jaccard.near_components(docs).withColumnRenamed("id", "doc_id")
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    model = learned_languages(spark, folder)
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    found = language.identify(docs, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def learned_languages(spark: SparkSession, folder: str) -> language.Model:
+    labelled = language.training_rows(table(spark, folder, "documents", "doc_id", "text", "lang"))
+    return language.train(labelled, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op10_pack_vectors")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,3 +69,14 @@ def key_filter(keys: DataFrame, key: str, bits: int = 1 << 25) -> Callable[[Colu
         return pd.Series(hit.astype(bool)) & slots.notna().reset_index(drop=True)
 
     return lambda column: member(F.when(column.isNotNull(), F.pmod(F.xxhash64(column), F.lit(bits))))
+
+
+def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose ``column`` holds ``limit`` bytes at most, or one row."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low = 0
+    while low < batch.num_rows:
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(low, high - low)
+        low = high
