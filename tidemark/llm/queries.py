@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, jaccard, language, packing
+from tidemark.llm import exact, jaccard, language, mixing, packing
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,46 @@ def learned_languages(spark: SparkSession, folder: str) -> language.Model:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+
+
+#: The mix as SQL, for ``documents``: ``mixed`` has a row per document.
+MIXED_SQL = r"""
+    WITH sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM {documents}),
+    own AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+    placed AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM own),
+    weighed AS (SELECT *, [3, 1, 2][place % 3 + 1] AS weight, 2 * source_size AS cap FROM placed),
+    filled AS (
+        SELECT *, cap / weight AS fill,
+               (1.5 * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+               / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+    one AS (SELECT level FROM filled WHERE level <= fill ORDER BY fill, place LIMIT 1),
+    targets AS (
+        SELECT source, place, source_size, least(cap::DOUBLE, coalesce((SELECT level FROM one) * weight, cap::DOUBLE)) AS target,
+               (SELECT greatest(16384, ceil(sum(source_size) / 16384.0))::BIGINT FROM own) AS block_words FROM filled),
+    quotas AS (
+        SELECT *, greatest(1, ceil(source_size / block_words))::BIGINT AS n_blocks,
+               CASE WHEN source_size > 0 THEN floor(round(target) / source_size) ELSE 0 END::BIGINT AS passes FROM targets),
+    asked AS (SELECT *, round(target)::BIGINT - passes * source_size AS rest FROM quotas),
+    hashed AS (
+        SELECT d.*, place, source_size, target, passes, rest,
+               ('0x' || substr(md5('0|document|' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT % n_blocks AS block
+        FROM sized d JOIN asked a ON d.source IS NOT DISTINCT FROM a.source),
+    blocks AS (SELECT place, block, sum(size) AS held, any_value(rest) AS rest FROM hashed GROUP BY place, block),
+    ranked AS (
+        SELECT *, rest - coalesce(sum(held) OVER (PARTITION BY place ORDER BY ('0x' || substr(md5('0|block|' || place || '|' || block), 1, 8))::BIGINT, block
+                                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM blocks),
+    mixed AS (
+        SELECT doc_id, size, source_size, target,
+               (passes * size + CASE WHEN room <= 0 THEN 0 WHEN room >= held THEN size ELSE least(size, greatest(0, room - coalesce(sum(size) OVER (
+                    PARTITION BY h.place, h.block ORDER BY ('0x' || substr(md5('0|part|' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT, doc_id, size DESC
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) END)::BIGINT AS taken
+        FROM hashed h JOIN ranked r ON h.place = r.place AND h.block = r.block)
+"""
+
+
+@query("op6_mix_quotas", MIXED_SQL.format(documents="documents") + "SELECT doc_id, size, source_size, target, taken FROM mixed")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents", "doc_id", "text", "source"))
+    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda s, d: s + d["words"])
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
