@@ -145,7 +145,6 @@ def _plan(sizes: DataFrame, weights, share, most, shard_words: int, seed: int) -
     ``whole`` copies of all its documents and ``part`` words of one more; ``shards`` has the shard
     of each copy, the one in part last. ``sizes`` is ``(id, source, size)``.
     """
-    spark = sizes.sparkSession
     sources = written(source_targets(sizes, weights, share, most), "sources")
     everything = sources.agg(F.sum("source_size"), F.sum("target")).first()
     block_words = max(BLOCK_WORDS, -(-(everything[0] or 0) // BLOCKS))
@@ -175,7 +174,6 @@ def _plan(sizes: DataFrame, weights, share, most, shard_words: int, seed: int) -
     plan = blocks.join(shard_of, ["place", "block"], "left").select(
         "source", "n_blocks", "block", "whole", "part", F.coalesce(F.transform("dealt", lambda d: d["shard"]), F.array().cast("array<int>")).alias("shards"), "source_size", "target"
     )
-    del spark
     return written(plan, "plan")
 
 
