@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, jaccard, language, mixing, packing
+from tidemark.llm import exact, html, jaccard, language, licences, mixing, packing, secrets
 from tidemark.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,65 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents", "doc_id", "text", "source"))
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda s, d: s + d["words"])
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def _spans_sql(number: int, rule: secrets.Rule) -> str:
+    """A list of (start, number, length) in DuckDB: matches, and the pieces between them."""
+    return f"""list_filter(list_transform(range(1, len(m{number}) + 1), lambda i: struct_pack(
+        s := coalesce(list_sum(list_transform(g{number}[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m{number}[1:i - 1], lambda x: length(x))), 0),
+        k := {number}, n := length(m{number}[i]), p := length(p{number}[i]))), lambda z: z.p >= {rule.least})"""
+
+
+def _secrets_sql() -> str:
+    parts = []
+    for k, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"regexp_extract_all(t, '{pattern}', 0) AS m{k}, string_split_regex(t, '{pattern}') AS g{k}, regexp_extract_all(t, '{pattern}', {rule.group}) AS p{k}")
+    kinds = "[" + ", ".join(f"'{r.kind}'" for r in secrets.RULES) + "]"
+    joined = "coalesce(array_to_string(list_transform({spans}, lambda z: {kinds}[z.k + 1] || ':' || z.s || ':' || (z.s + z.n)), ','), '')"
+    base = joined.format(spans="list_filter(spans, lambda z: z.k < 3)", kinds=kinds)
+    count = "len(list_filter(spans, lambda z: z.k = {k}))::BIGINT AS n_{kind}"
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    m AS (SELECT doc_id, {", ".join(parts)} FROM d),
+    f AS (SELECT doc_id, list_sort(flatten([{", ".join(_spans_sql(k, r) for k, r in enumerate(secrets.RULES))}])) AS spans FROM m)
+    SELECT doc_id, {", ".join(count.format(k=k, kind=secrets.RULES[k].kind) for k in range(3))}, sha256({base}) AS base_sha256, {joined.format(spans="spans", kinds=kinds)} AS spans FROM f
+    """
+
+
+@query("op9_secret_scan", _secrets_sql())
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents", "doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["number"] < secrets.BASE)
+    kinds = F.transform("secrets", lambda s: s["number"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(secrets.RULES[: secrets.BASE])
+    ]
+    return found.select("doc_id", *counts, F.sha2(F.encode(secrets.listed(base), "UTF-8"), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
+
+
+def _licences_sql() -> str:
+    rows = ", ".join(f"('{name}', ['" + "', '".join(bigrams) + "'])" for name, bigrams in licences.template_bigrams(licences.TEMPLATES).items())
+    return f"""
+    WITH t(licence, theirs) AS (VALUES {rows}),
+    l AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+    u AS (SELECT doc_id, i AS line, lines[i] AS unit FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM l)
+          UNION ALL SELECT doc_id, 0, text FROM l WHERE len(lines) > 1),
+    w AS (SELECT doc_id, line, regexp_extract_all(lower(unit), '[a-z0-9]+') AS words FROM u),
+    b AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS own FROM w WHERE len(words) > 1),
+    s AS (SELECT doc_id, line, licence, 2.0::DOUBLE * len(list_intersect(own, theirs)) / (len(own) + len(theirs)) AS dice FROM b, t
+          WHERE 2 * least(len(own), len(theirs)) >= {licences.LEAST} * (len(own) + len(theirs)))
+    SELECT doc_id, line::INT AS line, licence, dice FROM s WHERE dice >= {licences.LEAST}
+    QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, licence) = 1
+    """
+
+
+@query("op4_licence_scan", _licences_sql())
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents", "doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
+@query("op7_host_paths")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = html.extract(table(spark, folder, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
