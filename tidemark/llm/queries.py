@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, html, jaccard, language, licences, mixing, packing, secrets
-from tidemark.llm.shared import table
+from tidemark.llm import exact, fixity, html, jaccard, kdtree, language, licences, mixing, packing, secrets
+from tidemark.llm.shared import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -169,3 +169,36 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = html.extract(table(spark, folder, "pages", "page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query(
+    "op1_kdtree_top_k",
+    """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.x) = len(c.x))
+    SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM s
+    WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+    """,
+)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings", "vec_id", "embedding")
+    return kdtree.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query(
+    "op3_fixity_audit",
+    r"""
+    WITH p AS (SELECT page_id, floor(page_id / 1000)::BIGINT AS file, coalesce(html, '') AS body,
+                      'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+                      || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) AS head FROM pages),
+    r AS (SELECT *, (strlen(head) + strlen(body) + 4)::BIGINT AS n_bytes FROM p),
+    o AS (SELECT *, coalesce(sum(n_bytes) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM r)
+    SELECT file, "offset", n_bytes, page_id, CASE WHEN page_id % 211 = 50 THEN 'missing' ELSE 'changed' END AS status
+    FROM o WHERE page_id % 211 IN (50, 101) OR (page_id % 211 = 7 AND body <> '')
+    """,
+)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages", "page_id", "url", "html")
+    return fixity.audit(written(fixity.records(pages), "primary"), written(fixity.damaged(pages), "replica"))
