@@ -39,7 +39,7 @@ PERCENT = 75
 #: pairs that the whole sets then refuse.
 KEY_BITS = 40
 #: Most shingles that are broadcast as frequent: 9 bytes each.
-FREQUENT = 1 << 21
+FREQUENT = 1 << 19
 #: A shingle that fewer documents hold isn't called frequent.
 COMMON = 4
 STAR_ROUNDS = 2

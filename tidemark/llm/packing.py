@@ -29,7 +29,7 @@ from tidemark.llm.shared import slices
 
 POOL = 512
 #: Words whose ids a task remembers from batch to batch.
-SEEN = 300_000
+SEEN = 100_000
 
 
 #: Punctuation that ends a word as a pre-token of its own; no apostrophe, which may start one.
