@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import BLANKS, key_filter, n_buckets, unused, written
+from tidemark.llm.shared import BLANKS, KeyFilter, n_buckets, unused, written
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,7 @@ def _groups(rows: DataFrame, capacity: int) -> tuple[DataFrame, object]:
     """
     index, _ = build_index(rows.select("key"), capacity)
     chained = index.where("n > 1")
-    member = key_filter(chained, "key")
+    member = KeyFilter(chained, "key").column
     suspects = rows.where(member(F.col("key"))).select("key", "norm", "id", "points")
     same_bytes = suspects.groupBy("key", "norm").agg(F.count("*").alias("size"), F.min(_best("points", "id")).alias("best"))
     groups = same_bytes.where("size > 1").select("key", F.sha2(F.encode("norm", "UTF-8"), 256).alias("sha"), "size", "best")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import key_filter, n_buckets, unused, written
+from tidemark.llm.shared import KeyFilter, hits, n_buckets, slices, unused, written
 from tidemark.llm.shingles import pack, pack_sorted, parity, sets, unpack, unpack_sorted
 
 PERCENT = 75
@@ -139,8 +139,8 @@ def _sketches(shared, percent: int):
     return run
 
 
-def _list_blobs(buckets: int):
-    """Per task, list entries sorted by key and packed per bucket."""
+def _list_blobs(buckets: int, doubtful):
+    """Per task, list entries sorted by key and packed per bucket, without rows in ``doubtful`` slots."""
 
     def flush(parts: list[tuple]) -> pa.RecordBatch:
         keys = np.concatenate([p[0] for p in parts])
@@ -156,6 +156,7 @@ def _list_blobs(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
+            batch = batch.filter(pa.array(~hits(doubtful.value, batch.column("slot").fill_null(-1).to_numpy())))
             for gid, n, prefix in zip(*(batch.column(c).to_pylist() for c in ("gid", "n", "prefix")), strict=True):
                 parts.append((unpack(prefix), gid, n))
                 held += len(parts[-1][0])
@@ -185,15 +186,21 @@ def _lists(percent: int):
     return run
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        own = pa.array([pack_sorted(s) if len(s) else None for s in sets(batch.column("text"))], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("id"), own], ["id", "shingles"])
+def _set_rows(wanted):
+    """Packed sets of the rows in ``wanted`` slots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(hits(wanted.value, batch.column("slot").fill_null(-1).to_numpy())))
+            own = pa.array([pack_sorted(s) if len(s) else None for s in sets(batch.column("text"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), own], ["id", "shingles"])
+
+    return run
 
 
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "x", 4 << 20)):
             linked = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 p, q = unpack_sorted(x), unpack_sorted(y)
@@ -230,8 +237,8 @@ def _hopeful(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
 def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The ``pairs(a, b)`` whose sets are similar, from the whole texts of their ends."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    member = key_filter(ends, "id")
-    sets_of = texts.where(member(F.col("id"))).mapInArrow(_set_rows, "id long, shingles binary").where("shingles is not null")
+    wanted = KeyFilter(ends, "id")
+    sets_of = texts.withColumn("slot", wanted.slot(F.col("id"))).mapInArrow(_set_rows(wanted.field), "id long, shingles binary").where("shingles is not null")
     sets_of = written(sets_of, "sets")
     x = sets_of.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     y = sets_of.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
@@ -297,12 +304,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = written(crowd.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "copies")
 
     # one head stands for each group; rows alone in their group pass without a shuffle
-    member = key_filter(several.withColumn("at", F.xxhash64("mark", "n")), "at")
-    shared_prefix = member(F.xxhash64("mark", "n"))
-    doubtful = nodes.where(shared_prefix).select("id", "n", "mark", "prefix").join(classes.select("n", "mark", F.col("gid").alias("id")).distinct(), ["n", "mark", "id"], "left_semi")
-    doubtful = doubtful.groupBy("n", "mark", "id").agg(F.first("prefix").alias("prefix"))
-    heads = nodes.where(~shared_prefix).select("id", "n", "prefix").unionByName(doubtful.drop("mark")).withColumnRenamed("id", "gid")
-    blobs = heads.mapInArrow(_list_blobs(n_buckets(spark)), "bucket int, keys binary, gid binary, n binary, place binary")
+    place = F.xxhash64("mark", "n")
+    shared_prefix = KeyFilter(several.withColumn("at", place), "at")
+    doubtful = nodes.where(shared_prefix.column(place)).select("id", "n", "mark", "prefix").join(classes.select("n", "mark", F.col("gid").alias("id")).distinct(), ["n", "mark", "id"], "left_semi")
+    doubtful = written(doubtful.groupBy("n", "mark", "id").agg(F.first("prefix").alias("prefix")), "doubtful")
+    alone = nodes.select(F.col("id").alias("gid"), "n", "prefix", shared_prefix.slot(place).alias("slot"))
+    heads = alone.unionByName(doubtful.select(F.col("id").alias("gid"), "n", "prefix", F.lit(None).cast("long").alias("slot")))
+    blobs = heads.mapInArrow(_list_blobs(n_buckets(spark), shared_prefix.field), "bucket int, keys binary, gid binary, n binary, place binary")
     group_lists = blobs.groupBy("bucket").applyInArrow(_lists(percent), "key long, gid long, n long, place long")
     members = classes.where("members > 1").select("gid", F.col("rep").alias("id"), "n")
     # members of one group share their whole prefix: a list of their own, under a key no shingle has
@@ -339,9 +347,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     names = docs.columns
     found = near_components(docs, id_col, text_col, percent).where("id is not null")
     extra = written(found.where("id <> component_id").select("id").distinct(), "followers")
-    member = key_filter(extra, "id")
+    member = KeyFilter(extra, "id")
     near = unused(names, "_near")
-    marked = docs.withColumn(near, F.coalesce(member(F.col(id_col).cast("long")), F.lit(False)))
+    marked = docs.withColumn(near, member.column(F.col(id_col).cast("long")))
     clear = marked.where(~F.col(near)).select(names)
     follower = unused(names, "_follower")
     unsure = marked.where(near).join(extra.withColumnRenamed("id", follower), F.col(id_col).cast("long") == F.col(follower), "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,7 +42,7 @@ def n_buckets(spark: SparkSession, factor: int = 4) -> int:
     return max(16, factor * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def key_filter(keys: DataFrame, key: str, bits: int = 1 << 25) -> Callable[[Column], Column]:
+class KeyFilter:
     """A test of a long column that is true for each of ``keys`` and false for most others.
 
     The keys become a bit field of ``bits`` bits, built with a partial aggregation, so what
@@ -50,25 +50,40 @@ def key_filter(keys: DataFrame, key: str, bits: int = 1 << 25) -> Callable[[Colu
     full field lets more rows through; callers join the rows it lets through, so the result
     doesn't change. Null is never a member.
     """
-    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(bits))
-    words = (
-        keys.where(F.col(key).isNotNull())
-        .select((slot / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int")).alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bit"))
-        .toPandas()
-    )
-    field = np.zeros(bits // 64, dtype=np.uint64)
-    field[words["word"].to_numpy(dtype=np.int64)] = words["bit"].to_numpy(dtype=np.int64).view(np.uint64)
-    shared = keys.sparkSession.sparkContext.broadcast(field)
-
-    @F.pandas_udf("boolean")
-    def member(slots: pd.Series) -> pd.Series:
-        at = slots.fillna(0).to_numpy(dtype=np.int64)
-        hit = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-        return pd.Series(hit.astype(bool)) & slots.notna().reset_index(drop=True)
-
-    return lambda column: member(F.when(column.isNotNull(), F.pmod(F.xxhash64(column), F.lit(bits))))
+
+    def __init__(self, keys: DataFrame, key: str, bits: int = 1 << 25):
+        self.bits = bits
+        slot = self.slot(F.col(key))
+        words = (
+            keys.where(F.col(key).isNotNull())
+            .select((slot / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int")).alias("bit"))
+            .groupBy("word")
+            .agg(F.bit_or("bit").alias("bit"))
+            .toPandas()
+        )
+        field = np.zeros(bits // 64, dtype=np.uint64)
+        field[words["word"].to_numpy(dtype=np.int64)] = words["bit"].to_numpy(dtype=np.int64).view(np.uint64)
+        self.field = keys.sparkSession.sparkContext.broadcast(field)
+
+    def slot(self, column: Column) -> Column:
+        """The place of a key in the field; null for null."""
+        return F.when(column.isNotNull(), F.pmod(F.xxhash64(column), F.lit(self.bits)))
+
+    def column(self, column: Column) -> Column:
+        """The test as a column."""
+        field = self.field
+
+        @F.pandas_udf("boolean")
+        def member(slots: pd.Series) -> pd.Series:
+            return pd.Series(hits(field.value, slots.fillna(-1).to_numpy(dtype=np.int64)))
+
+        return member(self.slot(column))
+
+
+def hits(field: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Which slots are set; a negative slot never is."""
+    at = np.maximum(slots, 0)
+    return (((field[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)) > 0) & (slots >= 0)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
