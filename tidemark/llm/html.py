@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import slices, unused, written
+from tidemark.llm.shared import slices, small_batches, unused, written
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
@@ -247,6 +247,7 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", out:
     unknown tags are read as a browser roughly would. Repeated rows each get the same text; null
     URLs count as one host. An empty table gives no rows.
     """
+    small_batches(pages.sparkSession)
     names = pages.columns
     at, paths, out = unused(names, "_host"), unused(names, "_paths"), unused(names, out)
     rows = pages.withColumn(at, host(F.col(url_col)))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import KeyFilter, hits, n_buckets, slices, unused, written
+from tidemark.llm.shared import KeyFilter, hits, n_buckets, slices, small_batches, unused, written
 from tidemark.llm.shingles import pack, pack_sorted, parity, sets, unpack, unpack_sorted
 
 PERCENT = 75
@@ -258,8 +258,13 @@ def _side(df: DataFrame, side: str) -> DataFrame:
 
 
 def _star(lists: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each member with the leader of its list in its own size band and in the next lower one."""
-    spot = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "place", "component")
+    """Each member with the leader of its list in its own size band and in the next lower one.
+
+    First the leader is the member with the fewest rarer shingles, which the others of a group of
+    near copies are most similar to; later it is chosen by a hash.
+    """
+    first = F.col("place") if turn == 0 else F.lit(0).cast("long")
+    spot = F.struct(first.alias("first"), F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "place", "component")
     leaders = lists.groupBy("key", "band").agg(F.min(spot).alias("s"), F.count("*").alias("held"))
     leaders = leaders.select("key", "band", "s.id", "s.n", "s.place", "s.component")
     r = _side(leaders, "r")
@@ -290,7 +295,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     document without words links with nothing. Rows that share an id are one node. A null id is
     never a node: its row gets its size and a null component. An empty table gives no rows.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(_levels(frequent_shingles(texts)))
     sketches = written(texts.mapInArrow(_sketches(shared, percent), "id long, n long, digest binary, signs binary, prefix binary"), "sketches")

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import slices, unused, written
+from tidemark.llm.shared import slices, small_batches, unused, written
 
 UNDETERMINED = "und"
 #: Labelled documents per language that the model is fitted on, by a hash of their id.
@@ -236,6 +236,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_name: s
     was learned. Only the text is an input. Ties go to the language that sorts first. Row order,
     repeated rows and other columns don't matter; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession, 2000)
     lang_name, score_name = unused(docs.columns, lang_name), unused(docs.columns, score_name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.withColumns({lang_name: F.lit(""), score_name: F.lit(0.0)}).schema

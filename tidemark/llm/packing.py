@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import slices
+from tidemark.llm.shared import slices, small_batches
 
 POOL = 512
 #: Words whose ids a task remembers from batch to batch.
@@ -223,6 +223,7 @@ def pack(docs: DataFrame, vocabulary: str, limits: Limits = Limits(), end_id: in
     """
     if limits.loss < 1 or limits.segments < 1:
         raise ValueError("a sequence needs room for a segment and a token with loss")
+    small_batches(docs.sparkSession, 2000)
     prompt = F.coalesce(F.col(prompt_col).cast("long"), F.lit(0)) if prompt_col else F.lit(0).cast("long")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), prompt.alias("prompt"))
     schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"

@@ -42,6 +42,14 @@ def n_buckets(spark: SparkSession, factor: int = 4) -> int:
     return max(16, factor * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """Python workers get at most ``rows`` rows at once, so whole texts don't fill their memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(rows))
+    return spark
+
+
 class KeyFilter:
     """A test of a long column that is true for each of ``keys`` and false for most others.
 
