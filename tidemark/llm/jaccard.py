@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,7 @@ FREQUENT = 1 << 19
 #: A shingle that fewer documents hold isn't called frequent.
 COMMON = 4
 STAR_ROUNDS = 2
+PARITY = 1024  # slots of a set's parity
 _FLUSH = 1 << 20
 _SHIFT = np.uint64(64 - KEY_BITS)
 
@@ -131,10 +133,10 @@ def _sketches(shared, percent: int):
                 keep = n - -(-percent * n // 100) + 1 if n else 0
                 size.append(n)
                 digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                signs.append(parity(own))
+                signs.append(parity(own, PARITY))
                 prefix.append(pack(keys[:keep]))
-            binary = [pa.array(x, pa.binary()) for x in (digest, signs, prefix)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), *binary], ["id", "n", "digest", "signs", "prefix"])
+            own = [pa.array(digest, pa.binary()), pa.array(signs, pa.list_(pa.int64())), pa.array(prefix, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), *own], ["id", "n", "digest", "signs", "prefix"])
 
     return run
 
@@ -217,7 +219,7 @@ def _alike(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
+                x, y = (batch.column(c).flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
                 apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
                 sizes = batch.column("sizes").to_numpy()
                 batch = batch.filter(pa.array((100 + percent) * apart <= (100 - percent) * sizes))
@@ -278,14 +280,19 @@ def _pairs(met: DataFrame, percent: int) -> DataFrame:
     return met.select(F.greatest("l_id", "r_id").alias("a"), F.least("l_id", "r_id").alias("b")).distinct()
 
 
-def _rest(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list in different components: members outside its largest one with all."""
+def _rest(lists: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a list in different components: members outside its largest one with all.
+
+    The parities are compared in the join itself, so pairs that they rule out are never rows.
+    """
     parts = lists.groupBy("key", "component").agg(F.count("*").alias("held"))
     most = parts.groupBy("key").agg(F.max_by("component", F.struct("held", "component")).alias("main"), F.count("*").alias("parts"))
-    mixed = lists.join(most.where("parts > 1").drop("parts"), "key")
+    mixed = lists.join(most.where("parts > 1").drop("parts"), "key").join(signs, ["id", "n"])
     few = _side(mixed.where("component <> main"), "l").withColumn("l_to", F.explode(F.sequence(F.col("l_band") - 1, F.col("l_band") + 1)))
-    all_of = _side(mixed, "r")
-    return _pairs(few.join(all_of, (F.col("l_key") == F.col("r_key")) & (F.col("l_to") == F.col("r_band"))), percent)
+    met = few.join(_side(mixed, "r"), (F.col("l_key") == F.col("r_key")) & (F.col("l_to") == F.col("r_band")))
+    words = (F.bit_count(F.get("l_signs", F.lit(k)).bitwiseXOR(F.get("r_signs", F.lit(k)))) for k in range(PARITY // 64))
+    apart = reduce(lambda x, y: x + y, words)
+    return _pairs(met.where((100 + percent) * apart <= (100 - percent) * (F.col("l_n") + F.col("r_n"))), percent)
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -298,7 +305,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(_levels(frequent_shingles(texts)))
-    sketches = written(texts.mapInArrow(_sketches(shared, percent), "id long, n long, digest binary, signs binary, prefix binary"), "sketches")
+    sketches = written(texts.mapInArrow(_sketches(shared, percent), "id long, n long, digest binary, signs array<long>, prefix binary"), "sketches")
 
     nodes = sketches.where("n > 0 and id is not null").withColumn("mark", F.md5("prefix"))
     classes = nodes.groupBy("digest", "n", "mark").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
@@ -332,10 +339,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             labels = written(components(edges), "labels")
         own = lists.join(labels, "id", "left") if labels else lists.withColumn("component", F.lit(None).cast("long"))
         own = own.withColumn("component", F.coalesce("component", "id"))
-        pairs = _star(own, turn, percent) if turn < STAR_ROUNDS else _rest(own, percent)
+        pairs = _star(own, turn, percent) if turn < STAR_ROUNDS else _rest(own, signs, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = _hopeful(pairs, signs, percent)
+        pairs = _hopeful(pairs, signs, percent) if turn < STAR_ROUNDS else written(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         if not pairs.isEmpty():
             edges, labels = edges.unionByName(_links(pairs, texts, percent)), None

@@ -127,10 +127,10 @@ def unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([first, unpack(raw[8:])]), dtype=np.uint64)
 
 
-def parity(own: np.ndarray, bits: int = 1024) -> bytes:
-    """Per slot, whether an odd number of shingles falls into it.
+def parity(own: np.ndarray, bits: int = 1024) -> np.ndarray:
+    """As words of 64 slots: per slot, whether an odd number of shingles falls into it.
 
     Two sets differ in at least as many shingles as their parities differ in slots.
     """
     odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(bool)).tobytes()
+    return np.packbits(odd.astype(bool)).view(np.int64)
