@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import golden
+from tidemark.sinks.publish import described, publish
+from tidemark.functions.schedule import by_name, next_instant
+from tidemark.functions.cells import EDGE_TYPE, edge_text
 from tidemark.plans.export import Stream, archive_stream, run_delta, run_export
 from tidemark.plans.profiles import ExportProfile
 from tidemark.plans.store import ChangeStore
 from tidemark.session import scratch_path
-from tidemark.sinks.publish import described
 from tidemark.sources import files
 
 LATER = golden.NOW + dt.timedelta(hours=1)
@@ -251,6 +253,25 @@ def test_delivering_a_batch_twice_changes_nothing(spark):
     store.compact(1)
     store.append(rows, 0)
     assert store.log().count() == 2
+    with pytest.raises(ValueError, match="compacted"):
+        store.append(rows.withColumn("seq", F.lit(9).cast("bigint")), 1)
+
+
+def test_publishing_again_replaces(spark):
+    path = scratch_path(spark, "again")
+    for n in (3, 2):
+        publish(spark.range(n), path, lambda df, to: df.write.parquet(to), {"n": str(n)})
+    assert spark.read.parquet(path).count() == 2 and described(spark, path) == {"n": "2"}
+
+
+def test_unknown_schedule_is_an_error(spark):
+    with pytest.raises(Exception, match="not supported"):
+        spark.range(1).select(by_name(F.lit("0 5 * * *"), lambda name: next_instant(F.current_timestamp().cast("timestamp_ntz"), name)).alias("t")).collect()
+
+
+def test_null_parts_of_an_edge_are_empty(spark):
+    edge = "from_json('{\"ToReference\":{\"Name\":\"/A\"}}', '" + EDGE_TYPE + "')"
+    assert spark.range(1).select(edge_text(F.expr(edge))).first()[0] == "EdgeType: ; From: §C:; To: /A§C:; Properties: 0"
 
 
 def test_archive_moves_a_stream_aside(spark):

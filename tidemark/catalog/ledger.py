@@ -91,7 +91,8 @@ def g3_has_exported(spark, folder):
 
 
 @query("g4_export_history", f"""WITH {_ENTRIES} SELECT {_LEDGER}, {_ROWS} FROM history
-    ORDER BY "StartTime" DESC, "StreamId", "DataTime", "TriggerSource", "CronSchedule" LIMIT 1000""")
+    QUALIFY row_number() OVER (PARTITION BY "StreamId"
+      ORDER BY "StartTime" DESC, "DataTime", "TriggerSource", "CronSchedule") <= 1000""")
 def g4_export_history(spark, folder):
     return led.export_history(_history(spark, folder)).fillna({"TotalRows": -1})
 
@@ -188,8 +189,7 @@ def _missed_sql(latest_only: bool) -> str:
 
 def _missed(spark, folder, latest_only):
     """The ledger spells the schedule Daily, the streams spell it daily."""
-    history = _history(spark, folder).withColumn("CronSchedule", F.lower("CronSchedule"))
-    return led.missed_runs(_eligible(spark, folder), history, instant(NOW), latest_only)
+    return led.missed_runs(_eligible(spark, folder), _history(spark, folder), instant(NOW), latest_only)
 
 
 @query("h3_missed_runs", _missed_sql(False))

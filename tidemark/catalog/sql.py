@@ -47,16 +47,15 @@ def hard_versions(log: str, name: str = "ver") -> str:
 
 
 def soft_versions(log: str, payload: tuple[str, ...], name: str = "ver") -> str:
-    """The last live change is found by its order number, then joined for its payload."""
-    kept = ", ".join(f"b.{c}" for c in payload)
+    """The payload of the last live change, carried along as one struct."""
+    packed = ", ".join(f"{c} := {c}" for c in payload)
+    kept = ", ".join(f"live.{c} AS {c}" for c in payload)
     return f"""numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY stream_id, id ORDER BY ts, seq) AS n,
-    coalesce(lead(ts) OVER (PARTITION BY stream_id, id ORDER BY ts, seq), TIMESTAMP '9999-12-31') AS next_ts
+  SELECT stream_id, id, change_type, ts, seq,
+    coalesce(lead(ts) OVER (PARTITION BY stream_id, id ORDER BY ts, seq), TIMESTAMP '9999-12-31') AS next_ts,
+    last_value(CASE WHEN change_type <> 'Removed' THEN struct_pack({packed}) END IGNORE NULLS) OVER (
+      PARTITION BY stream_id, id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS live
   FROM {log}),
 {name} AS (
-  SELECT a.stream_id, a.id, a.change_type, a.ts AS valid_from, a.next_ts AS valid_to, a.seq, {kept}
-  FROM (
-    SELECT *, max(CASE WHEN change_type <> 'Removed' THEN n END) OVER (
-      PARTITION BY stream_id, id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS live_n
-    FROM numbered) a
-  JOIN numbered b ON a.stream_id = b.stream_id AND a.id = b.id AND a.live_n = b.n)"""
+  SELECT stream_id, id, change_type, ts AS valid_from, next_ts AS valid_to, seq, {kept}
+  FROM numbered WHERE live IS NOT NULL)"""

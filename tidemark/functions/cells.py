@@ -61,15 +61,15 @@ def edges_from_json(text: Column) -> Column:
 
 
 def edge_text(edge: Column) -> Column:
-    """An edge as one line; a null name is empty and null properties count zero."""
+    """An edge as one line; a null part is empty and null properties count zero."""
 
     def end(side: str) -> Column:
         return F.concat(
-            F.coalesce(edge[side]["Name"], F.lit("")), F.lit("§C:"), edge[side]["Code"]["Key"]
+            F.coalesce(edge[side]["Name"], F.lit("")), F.lit("§C:"), F.coalesce(edge[side]["Code"]["Key"], F.lit(""))
         )
 
     return F.concat(
-        F.lit("EdgeType: "), edge["EdgeType"]["Code"],
+        F.lit("EdgeType: "), F.coalesce(edge["EdgeType"]["Code"], F.lit("")),
         F.lit("; From: "), end("FromReference"),
         F.lit("; To: "), end("ToReference"),
         F.lit("; Properties: "), F.coalesce(F.size(edge["Properties"]), F.lit(0)).cast("string"),

@@ -50,8 +50,10 @@ def next_instant(ts: Column, name: str) -> Column:
 
 
 def by_name(schedule: Column, pick) -> Column:
-    """Apply ``pick(name)`` row by row for a schedule column; null for Never."""
-    choice = F.lit(None).cast("timestamp_ntz")
+    """Apply ``pick(name)`` row by row for a schedule column; null for Never or null, an error for others."""
+    unknown = F.raise_error(F.concat(F.lit("Schedule '"), schedule, F.lit("' is not supported"))).cast("timestamp_ntz")
+    none = schedule.isNull() | (F.lower(schedule) == NEVER.lower())
+    choice = F.when(none, F.lit(None).cast("timestamp_ntz")).otherwise(unknown)
     for name in _UNITS:
         choice = F.when(F.lower(schedule) == name.lower(), pick(name)).otherwise(choice)
     return choice

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.schedule import by_name, next_instant, previous_instant, seconds, step_seconds
@@ -44,8 +44,9 @@ def has_exported(history: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def export_history(history: DataFrame, n: int = 1000) -> DataFrame:
-    """The latest runs; the run key settles equal start times."""
-    return history.orderBy(F.col("StartTime").desc(), *RUN_KEY).limit(n)
+    """The latest ``n`` runs of each stream; the run key settles equal start times."""
+    newest = Window.partitionBy("StreamId").orderBy(F.col("StartTime").desc(), *RUN_KEY)
+    return history.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= n).drop("_n")
 
 
 def decide(requests: DataFrame, outputs: DataFrame, mirror: DataFrame | None = None) -> DataFrame:
@@ -95,7 +96,8 @@ def missed_runs(
     """Scheduled instants of the last month, after the stream began, without a ledger row.
 
     ``streams``: stream_id, schedule, created_at, modified_at, target_created_at.
-    ``latest_only`` looks at the previous instant alone.
+    ``latest_only`` looks at the previous instant alone. Schedule names compare in any
+    case; one that isn't known is an error.
     """
     schedule = F.col("schedule")
     floor = now - F.expr("INTERVAL '1' MONTH")
@@ -112,8 +114,10 @@ def missed_runs(
         F.lit(SCHEDULER).alias("TriggerSource"),
         schedule.alias("CronSchedule"),
     )
-    known = history.where(F.col("DataTime") >= floor).select(*RUN_KEY)
-    return expected.join(known, list(RUN_KEY), "left_anti")
+    key = [F.lower(c) if c == "CronSchedule" else F.col(c) for c in RUN_KEY]
+    ran = history.where(F.col("DataTime") >= floor).select(*(k.alias(f"_ran_{c}") for k, c in zip(key, RUN_KEY, strict=True)))
+    same = [k == F.col(f"_ran_{c}") for k, c in zip(key, RUN_KEY, strict=True)]
+    return expected.join(ran, same, "left_anti")
 
 
 def by_interval(schedule: Column) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.columns import cols
+from tidemark.functions.columns import cols, null_safe_join
 from tidemark.session import settle
 
 #: Rows a key may hold before it is cut.
@@ -104,7 +104,7 @@ def with_slices(
     if most is None:
         return df
     here = F.struct(*order)
-    rows = df.join(F.broadcast(cuts), list(keys), "left").withColumn(SLICE, F.lit(0))
+    rows = null_safe_join(df, F.broadcast(cuts), keys, "left").withColumn(SLICE, F.lit(0))
     # Binary search for the number of cuts at or before the row. One projection per
     # step keeps the search in generated code.
     for bit in reversed(range(most.bit_length())):
@@ -135,7 +135,7 @@ def running(
         F.lead(F.lit(True)).over(window).isNull().alias("_is_last"),
         F.lag(F.lit(True)).over(window).isNull().alias("_is_first"),
     )
-    joined = rows.join(carried, [*keys, SLICE, HOT], "left")
+    joined = null_safe_join(rows, carried, [*keys, SLICE, HOT], "left")
     return joined.select(
         *cols(df.columns),
         *(_combine(name, spec).alias(name) for name, spec in specs.items()),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import socket
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -185,12 +186,12 @@ def run_export(
     last_time = None if last is None else _literal(last["DataTime"])
     rows = writers.prepare(export_rows(log, profile, _literal(data_time), last_time), profile)
     target = _target(directory, name)
+    began = time.monotonic()
     count = publish(
         rows,
         target,
         lambda df, path: writers.write(df, path, profile),
         _description(stream, data_time),
-        overwrite=profile.overwrite or profile.mirror,
         keep_empty=profile.allow_empty or not profile.delta_mode,
     )
     written = count > 0 or profile.allow_empty or not profile.delta_mode
@@ -199,7 +200,8 @@ def run_export(
             load_table(_read_back(spark, target, profile), table_directory(spark, profile, stream, data_time))
         if profile.after is not None:
             profile.after(spark, target, rows)
-    store.record({**entry, "EndTime": now, "TotalRows": count, "Status": ledger.COMPLETE})
+    ended = now + dt.timedelta(seconds=time.monotonic() - began)
+    store.record({**entry, "EndTime": ended, "TotalRows": count, "Status": ledger.COMPLETE})
     return ExportResult("exported", target if written else None, name, count, data_time)
 
 

@@ -92,9 +92,16 @@ class ChangeStore:
     # Changes -----------------------------------------------------------------
 
     def append(self, batch: DataFrame, batch_id: int) -> None:
-        """Add the changes of a batch."""
+        """Add the changes of a batch.
+
+        A batch that was compacted already may be delivered again, as long as it holds no
+        change that the store lacks; a new change under its number is an error.
+        """
         state = self._agree(batch)
         if batch_id <= state.compacted_to:
+            unknown = batch.join(self.log(), ["stream_id", "id", *ORDER], "left_anti")
+            if not unknown.isEmpty():
+                raise ValueError(f"Batch {batch_id} is compacted (up to {state.compacted_to}) and holds new changes")
             return
         present = {c.lower() for c in batch.columns}
         columns = [

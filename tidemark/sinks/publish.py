@@ -21,13 +21,13 @@ def publish(
     target: str,
     write: Callable[[DataFrame, str], None],
     description: Mapping[str, str],
-    overwrite: bool = True,
     keep_empty: bool = True,
 ) -> int:
-    """Write ``df`` next to ``target`` and rename it; return the number of rows.
+    """Write ``df`` next to ``target`` and put it in its place; return the number of rows.
 
-    The rows are counted by the write itself. Without ``overwrite`` the files join an
-    existing output. An empty output is thrown away unless ``keep_empty``.
+    The rows are counted by the write itself. An existing output is always replaced, so a
+    run that is repeated leaves the same rows and is recognised by its description. An empty
+    output is thrown away unless ``keep_empty``.
     """
     spark = df.sparkSession
     staged = f"{target}.{uuid.uuid4().hex}{TEMPORARY}"
@@ -38,14 +38,8 @@ def publish(
         files.delete(spark, staged)
         return 0
     files.write_text(spark, f"{staged}/{DESCRIPTION}", json.dumps(dict(description)))
-    if files.exists(spark, target) and not overwrite:
-        for name in files.names(spark, staged):
-            if not name.startswith(("_", ".")):
-                files.rename(spark, f"{staged}/{name}", f"{target}/{name}")
-        files.delete(spark, staged)
-    else:
-        files.delete(spark, target)
-        files.rename(spark, staged, target)
+    files.delete(spark, target)
+    files.rename(spark, staged, target)
     return rows
 
 

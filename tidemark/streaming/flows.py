@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.columns import null_safe_join
 from tidemark.operators.batches import BATCH_ROWS, IDLE_MILLIS, event_batches, idle_batches
 from tidemark.plans.store import ChangeStore
 from tidemark.sinks.documents import append_documents, read_event_batches, write_event_batches
@@ -99,14 +100,16 @@ class EventStream:
         clock = sizes.agg(F.max("_end").alias("_now")).first()["_now"]
         if clock is None:
             self._write(batched, batch_id, None)
+            batched.unpersist()
             return
         idle = F.timestamp_diff("MICROSECOND", F.col("_seen"), F.lit(clock)) >= self.idle_millis * 1000
         opened = (
-            sizes.join(ends.where(~idle), self.target)
+            null_safe_join(sizes, ends.where(~idle), self.target, "inner")
             .where((F.struct("session", "batch") == F.col("_open")) & (F.col("_items") < self.n))
             .select(*group)
         )
-        self._write(batched.join(opened, group, "left_anti"), batch_id, batched.join(opened, group, "left_semi"))
+        closed, waits = (null_safe_join(batched, opened, group, how) for how in ("left_anti", "left_semi"))
+        self._write(closed, batch_id, waits)
         batched.unpersist()
 
     def _write(self, closed: DataFrame, batch_id: int, open_rows: DataFrame | None) -> None:
