@@ -2,12 +2,15 @@
 
 A unit of text is normalised to lower-case words. Two units with ``a`` and ``b`` distinct bigrams
 have ``2 c / (a + b)`` of ``c`` in common, at most ``2 min / (a + b)``: templates whose size rules
-out the threshold are not compared. Built-in functions only, and no shuffle.
+out the threshold are not compared, and units without any word that a match needs are not read
+further. Built-in functions only, and no shuffle.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +73,35 @@ def template_bigrams(templates: dict[str, str]) -> dict[str, list[str]]:
     return out
 
 
+def necessary_words(known: dict[str, list[str]], least: float) -> list[str]:
+    """Words of which every unit that reaches ``least`` with any template holds one.
+
+    A unit shares at least ``least / (2 - least)`` of a template's ``b`` bigrams, so it holds one
+    of any choice of more than the rest of them. Words are chosen until the bigrams they are in
+    are that many for each template, the word that helps most first.
+    """
+    left = {name: len(own) - math.ceil(len(own) * least / (2 - least) - 1e-9) + 1 for name, own in known.items()}
+    open_bigrams = {name: set(own) for name, own in known.items()}
+    chosen: list[str] = []
+    while any(n > 0 for n in left.values()):
+        gain: dict[str, int] = {}
+        for name, own in open_bigrams.items():
+            held: dict[str, int] = {}
+            for bigram in own:
+                for word in set(bigram.split()):
+                    held[word] = held.get(word, 0) + 1
+            for word, n in held.items():
+                gain[word] = gain.get(word, 0) + max(0, min(n, left[name]))
+        # long words are rare in other text; a long word with some gain comes before any short one
+        best = max(sorted(gain), key=lambda w: (gain[w] > 0, len(w) > 5, gain[w], len(w)))
+        chosen.append(best)
+        for name, own in open_bigrams.items():
+            hit = {b for b in own if best in b.split()}
+            left[name] -= len(hit)
+            open_bigrams[name] = own - hit
+    return chosen
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """``(id, line, licence, dice)``: each unit with its most similar template, if ``least`` or more.
 
@@ -83,9 +115,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     lines = F.split(F.col(text_col), "\n", -1)
     whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line"), F.col(text_col).alias("unit"))))
     each = F.transform(lines, lambda u, i: F.struct((i + 1).alias("line"), u.alias("unit")))
-    units = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(F.concat(F.coalesce(whole, F.array().cast("array<struct<line:int,unit:string>>")), each)).alias("u"))
+    words = necessary_words(known, least)
+
+    def hopeful(text: Column) -> Column:
+        low_text = F.lower(text)
+        return reduce(lambda x, y: x | y, (F.contains(low_text, F.lit(w)) for w in words))
+
+    units = docs.where(hopeful(F.col(text_col))).select(F.col(id_col).alias("id"), F.explode(F.concat(F.coalesce(whole, F.array().cast("array<struct<line:int,unit:string>>")), each)).alias("u"))
     # a unit of n distinct bigrams has at least 2 n + 1 characters; the number of words isn't bounded, as bigrams may repeat
-    units = units.where(F.char_length("u.unit") > 2 * low).select("id", "u.line", words_of(F.col("u.unit")).alias("words"))
+    units = units.where((F.char_length("u.unit") > 2 * low) & hopeful(F.col("u.unit"))).select("id", "u.line", words_of(F.col("u.unit")).alias("words"))
     units = units.where(F.size("words") > low).select("id", "line", bigrams_of(F.col("words")).alias("own"))
     units = units.where(F.size("own").between(low, high))
 
