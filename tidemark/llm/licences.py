@@ -93,7 +93,7 @@ def necessary_words(known: dict[str, list[str]], least: float) -> list[str]:
             for word, n in held.items():
                 gain[word] = gain.get(word, 0) + max(0, min(n, left[name]))
         # long words are rare in other text; a long word with some gain comes before any short one
-        best = max(sorted(gain), key=lambda w: (gain[w] > 0, len(w) > 5, gain[w], len(w)))
+        best = max(sorted(gain), key=lambda w: (gain[w] > 0, len(w) > 5, gain[w] if len(w) > 5 else len(w), len(w)))
         chosen.append(best)
         for name, own in open_bigrams.items():
             hit = {b for b in own if best in b.split()}
