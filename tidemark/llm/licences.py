@@ -54,9 +54,17 @@ TEMPLATES = {
 LEAST = 0.8
 
 
-def words_of(text: Column) -> Column:
-    """Runs of ASCII letters and digits in lower case."""
-    return F.array_remove(F.split(F.regexp_replace(F.lower(text), r"[^a-z0-9]+", " "), " "), "")
+def words_of(low_text: Column) -> Column:
+    """Runs of ASCII letters and digits of a lower-case text."""
+    return F.array_remove(F.split(low_text, r"[^a-z0-9]+"), "")
+
+
+def bound(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` as a column that later filters read and don't evaluate again.
+
+    Filters are pushed through a projection together with its expressions, but not through a generator.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
 def bigrams_of(words: Column) -> Column:
@@ -112,19 +120,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     known = template_bigrams(templates)
     low = min(len(b) for b in known.values()) * least / (2 - least)
     high = max(len(b) for b in known.values()) * (2 - least) / least
-    lines = F.split(F.col(text_col), "\n", -1)
-    whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line"), F.col(text_col).alias("unit"))))
-    each = F.transform(lines, lambda u, i: F.struct((i + 1).alias("line"), u.alias("unit")))
     words = necessary_words(known, least)
 
-    def hopeful(text: Column) -> Column:
-        low_text = F.lower(text)
+    def hopeful(low_text: Column) -> Column:
         return reduce(lambda x, y: x | y, (F.contains(low_text, F.lit(w)) for w in words))
 
-    units = docs.where(hopeful(F.col(text_col))).select(F.col(id_col).alias("id"), F.explode(F.concat(F.coalesce(whole, F.array().cast("array<struct<line:int,unit:string>>")), each)).alias("u"))
+    texts = bound(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "low", F.lower("text"))
+    texts = bound(texts.where(hopeful(F.col("low"))).select("id", "low"), "lines", F.split("low", "\n", -1))
+    whole = F.when(F.size("lines") > 1, F.array("low")).otherwise(F.array(F.lit(None).cast("string")))
+    units = texts.select("id", F.posexplode_outer(F.concat(whole, "lines")).alias("line", "unit"))
     # a unit of n distinct bigrams has at least 2 n + 1 characters; the number of words isn't bounded, as bigrams may repeat
-    units = units.where((F.char_length("u.unit") > 2 * low) & hopeful(F.col("u.unit"))).select("id", "u.line", words_of(F.col("u.unit")).alias("words"))
-    units = units.where(F.size("words") > low).select("id", "line", bigrams_of(F.col("words")).alias("own"))
+    units = units.where((F.char_length("unit") > 2 * low) & hopeful(F.col("unit")))
+    units = bound(units, "words", words_of(F.col("unit"))).select("id", "line", "words")
+    # d distinct words make at least d - 1 distinct bigrams
+    units = units.where((F.size("words") > low) & (F.size(F.array_distinct("words")) <= high + 1))
+    units = bound(units, "own", bigrams_of(F.col("words"))).select("id", "line", "own")
     units = units.where(F.size("own").between(low, high))
 
     def dice(name: str) -> Column:
@@ -134,4 +144,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         return F.when(fits, F.struct((-score).alias("less"), F.lit(name).alias("licence")))
 
     best = F.array_min(F.array_compact(F.array(*map(dice, sorted(known)))))
-    return units.select("id", "line", best.alias("best")).where(-F.col("best.less") >= least).select("id", "line", "best.licence", (-F.col("best.less")).alias("dice"))
+    found = bound(units, "best", best).where(-F.col("best.less") >= least)
+    return found.select("id", "line", "best.licence", (-F.col("best.less")).alias("dice"))
