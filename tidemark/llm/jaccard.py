@@ -6,7 +6,7 @@ asked, they share a shingle among the first ``n - ceil(t * n) + 1`` of each. So:
 1. documents with the same set become one class (its smallest id), classes with the same prefix
    and size one group;
 2. groups are listed under each shingle of their prefix. Lists of one group go, and members
-   whose size or place of the shingle rules out all others of the list;
+   whose size rules out all others of the list. Of lists of the same groups one stays;
 3. lists are expanded to their members, and pairs are verified on whole sets. In each round a
    member meets one leader per list and size band, so a list of n members makes n pairs, not n².
    Classes that the links found so far connect need no further pair among themselves. The last
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.shared import KeyFilter, hits, n_buckets, slices, small_batches, unused, written
-from tidemark.llm.shingles import pack, pack_sorted, parity, sets, unpack, unpack_sorted
+from tidemark.llm.shingles import mixed, pack, pack_sorted, parity, sets, unpack, unpack_sorted
 
 PERCENT = 75
 #: Bits of a shingle's hash under which it is counted and listed. Shingles that share them make
@@ -183,11 +183,25 @@ def _lists(percent: int):
         keep = np.zeros(len(keys), dtype=bool)
         keep[1:] |= same
         keep[:-1] |= same
-        return pa.table({"key": keys[keep].astype(np.int64), "gid": gid[keep].view(np.int64), "n": n[keep], "place": place[keep]})
+        keys, gid, n, place = keys[keep], gid[keep], n[keep], place[keep]
+        # two sums over the groups of each list, by which lists of the same groups are told
+        first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
+        held = np.diff(first, append=len(keys))
+        marks = [np.repeat(fold(mixed(gid + np.uint64(k)), first), held).view(np.int64) if len(keys) else gid.view(np.int64) for k, fold in enumerate((np.add.reduceat, np.bitwise_xor.reduceat))]
+        return pa.table({"key": keys.astype(np.int64), "gid": gid.view(np.int64), "n": n, "place": place, "total": marks[0], "odd": marks[1]})
 
     return run
 
 
+def _one_of_each(entries: DataFrame) -> DataFrame:
+    """One list of each collection of groups: another list of the same groups holds the same pairs.
+
+    What a shared shingle's places rule out isn't similar, so a similar pair passes in each of its lists.
+    """
+    lead = written(entries.groupBy("total", "odd").agg(F.min("key").alias("key")).select("key"), "leads")
+    return entries.drop("total", "odd").join(lead, "key", "left_semi")
+
+
 def _set_rows(wanted):
     """Packed sets of the rows in ``wanted`` slots."""
 
@@ -323,7 +337,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = nodes.select(F.col("id").alias("gid"), "n", "prefix", shared_prefix.slot(place).alias("slot"))
     heads = alone.unionByName(doubtful.select(F.col("id").alias("gid"), "n", "prefix", F.lit(None).cast("long").alias("slot")))
     blobs = heads.mapInArrow(_list_blobs(n_buckets(spark), shared_prefix.field), "bucket int, keys binary, gid binary, n binary, place binary")
-    group_lists = blobs.groupBy("bucket").applyInArrow(_lists(percent), "key long, gid long, n long, place long")
+    entries = "key long, gid long, n long, place long, total long, odd long"
+    group_lists = _one_of_each(written(blobs.groupBy("bucket").applyInArrow(_lists(percent), entries), "entries"))
     members = classes.where("members > 1").select("gid", F.col("rep").alias("id"), "n")
     # members of one group share their whole prefix: a list of their own, under a key no shingle has
     inside = members.select((-F.col("gid") - 1).alias("key"), "id", "n", F.lit(0).cast("long").alias("place"))

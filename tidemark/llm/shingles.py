@@ -14,7 +14,7 @@ _BASE = 0x9E3779B97F4A7C15 | 5
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -22,14 +22,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _byte_values() -> np.ndarray:
-    values = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+    values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
     values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
     return values
 
 
 _VALUES = _byte_values()
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-_PLACES = _mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
+_PLACES = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
@@ -56,7 +56,7 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     up, down = _powers_up_to(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_VALUES[data] * up[: len(data)], out=sums[1:])
-    return _mix((sums[end] - sums[at]) * down[at]), at
+    return mixed((sums[end] - sums[at]) * down[at]), at
 
 
 def _chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -90,14 +90,14 @@ def sets(texts: pa.Array) -> Iterator[np.ndarray]:
         full = np.zeros(max(0, len(words) - SHINGLE + 1), dtype=np.uint64)
         for k in range(SHINGLE):
             full += words[k : k + len(full)] * _PLACES[k]
-        full = _mix(full)
+        full = mixed(full)
         for k in range(high - low):
             a, b = firsts[k], firsts[k + 1]
             if b - a >= SHINGLE:
                 yield np.unique(full[a : b - SHINGLE + 1])
             elif b > a:
                 short = (words[a:b] * _PLACES[: b - a]).sum(dtype=np.uint64) + np.uint64((b - a) * 0x51ED27)
-                yield _mix(np.array([short], dtype=np.uint64))
+                yield mixed(np.array([short], dtype=np.uint64))
             else:
                 yield np.zeros(0, dtype=np.uint64)
 
