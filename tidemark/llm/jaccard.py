@@ -202,14 +202,17 @@ def _one_of_each(entries: DataFrame) -> DataFrame:
     return entries.drop("total", "odd").join(lead, "key", "left_semi")
 
 
-def _set_rows(wanted):
-    """Packed sets of the rows in ``wanted`` slots."""
+def _set_rows(first, second):
+    """Packed sets of the rows in a slot of either field, and in which field."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(hits(wanted.value, batch.column("slot").fill_null(-1).to_numpy())))
+            slot = batch.column("slot").fill_null(-1).to_numpy()
+            is_a, is_b = hits(first.value, slot), hits(second.value, slot)
+            wanted = is_a | is_b
+            batch = batch.filter(pa.array(wanted))
             own = pa.array([pack_sorted(s) if len(s) else None for s in sets(batch.column("text"))], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), own], ["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), own, pa.array(is_a[wanted]), pa.array(is_b[wanted])], ["id", "shingles", "is_a", "is_b"])
 
     return run
 
@@ -252,12 +255,11 @@ def _hopeful(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
 
 def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The ``pairs(a, b)`` whose sets are similar, from the whole texts of their ends."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = KeyFilter(ends, "id")
-    sets_of = texts.withColumn("slot", wanted.slot(F.col("id"))).mapInArrow(_set_rows(wanted.field), "id long, shingles binary").where("shingles is not null")
-    sets_of = written(sets_of, "sets")
-    x = sets_of.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    y = sets_of.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    first, second = KeyFilter(pairs, "a"), KeyFilter(pairs, "b")
+    rows = texts.withColumn("slot", first.slot(F.col("id"))).mapInArrow(_set_rows(first.field, second.field), "id long, shingles binary, is_a boolean, is_b boolean")
+    sets_of = written(rows.where("shingles is not null"), "sets")
+    x = sets_of.where("is_a").select(F.col("id").alias("a"), F.col("shingles").alias("x"))
+    y = sets_of.where("is_b").select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
     return written(both.mapInArrow(_verify(percent), "a long, b long"), "links")
 
