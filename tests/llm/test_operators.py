@@ -124,6 +124,38 @@ def test_near_components(spark):
     assert got == want
 
 
+def test_long_parities_rule_out_no_similar_pair():
+    rng = np.random.default_rng(5)
+    for n, m in ((1100, 1400), (2000, 2100), (5000, 3800), (4096, 4097)):
+        for shared in (0, n // 2, int(0.9 * min(n, m)), min(n, m)):
+            pool = rng.integers(0, 2**63, n + m, dtype=np.uint64)
+            x, y = np.unique(pool[:n]), np.unique(pool[n - shared : n - shared + m])
+            p, q = (jaccard.parity(z, 1 << (len(z) - 1).bit_length()).view(np.uint8) for z in (x, y))
+            size = min(len(p), len(q))
+            apart = int(np.bitwise_count(jaccard._folded(p, size) ^ jaccard._folded(q, size)).sum(dtype=int))
+            assert apart <= len(np.setxor1d(x, y))
+            assert shared or 175 * apart > 25 * (len(x) + len(y))
+
+
+def test_long_near_copies(spark):
+    """Texts of over 1,024 shingles, with equal and with different numbers of slots."""
+    rng = np.random.default_rng(6)
+    base = [f"w{k}" for k in rng.integers(0, 3000, 2300)]
+    other = [f"v{k}" for k in rng.integers(0, 3000, 2300)]
+    half = [*base[:1000], *other[:1300]]  # shares a long passage, isn't similar
+    texts = [base, base[:2000], [*base[:1200], "x", *base[1201:]], other, half, base[:1030], base[:1020]]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    label = list(range(len(texts)))
+    for a in label:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                label = [min(label[a], label[b]) if v in (label[a], label[b]) else v for v in label]
+    found = jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.id: r.component_id for r in found} == dict(enumerate(label))
+    assert len(set(label)) == 4
+
+
 def test_drop_near_copies(spark):
     docs = [(1, "a b c d e f g h", "z"), (2, "a b c d e f g h", "y"), (3, None, "x"), (None, "a b c d e f g h", "w")]
     kept = jaccard.drop_near_copies(spark.createDataFrame(docs, "doc_id long, text string, _near string"))

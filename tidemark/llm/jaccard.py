@@ -9,8 +9,9 @@ asked, they share a shingle among the first ``n - ceil(t * n) + 1`` of each. So:
    whose size rules out all others of the list. Of lists of the same groups one stays;
 3. lists are expanded to their members, and pairs are verified on whole sets. In each round a
    member meets one leader per list and size band, so a list of n members makes n pairs, not n².
-   Classes that the links found so far connect need no further pair among themselves. The last
-   round pairs whatever a list still holds in different components, so no link that matters to
+   Classes that the links found so far connect need no further pair among themselves. Pairs
+   that the parities of their sets rule out, for long texts parities as long as the set, send
+   no set. The last round pairs whatever a list still holds in different components, so no link that matters to
    a component is missed, whatever the lists look like.
 
 The order of the shingles follows counts over all documents. It steers only the cost: any order
@@ -117,12 +118,15 @@ def _levels(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketches(shared, percent: int):
-    """Per document its id, size, digest and parity of its set and the packed keys of its prefix, in order."""
+    """Per document its id, size, digest, parities of its set and the packed keys of its prefix, in order.
+
+    ``finer`` is a parity with a slot or more for each shingle, null where ``signs`` is one already.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, power = shared.value
         for batch in batches:
-            size, digest, signs, prefix = [], [], [], []
+            size, digest, signs, finer, prefix = [], [], [], [], []
             for own in sets(batch.column("text")):
                 keys = own >> _SHIFT
                 if len(often):
@@ -134,9 +138,10 @@ def _sketches(shared, percent: int):
                 size.append(n)
                 digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 signs.append(parity(own, PARITY))
+                finer.append(parity(own, 1 << (n - 1).bit_length()).tobytes() if n > PARITY else None)
                 prefix.append(pack(keys[:keep]))
-            own = [pa.array(digest, pa.binary()), pa.array(signs, pa.list_(pa.int64())), pa.array(prefix, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), *own], ["id", "n", "digest", "signs", "prefix"])
+            own = [pa.array(digest, pa.binary()), pa.array(signs, pa.list_(pa.int64())), pa.array(finer, pa.binary()), pa.array(prefix, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), *own], ["id", "n", "digest", "signs", "finer", "prefix"])
 
     return run
 
@@ -253,6 +258,42 @@ def _hopeful(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     return written(both.mapInArrow(_alike(percent), "a long, b long").distinct(), "hopeful")
 
 
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    """A parity with fewer slots, a power of two of them."""
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def _still_alike(percent: int):
+    """Like ``_alike`` for parities of any length; a pair without both of them passes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, sizes in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "sizes")), strict=True):
+                apart = 0
+                if x is not None and y is not None:
+                    size = min(len(x), len(y))
+                    p, q = (_folded(np.frombuffer(z, dtype=np.uint8), size) for z in (x, y))
+                    apart = int(np.bitwise_count(p ^ q).sum(dtype=np.int64))
+                keep.append((100 + percent) * apart <= (100 - percent) * sizes)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _not_ruled_out(pairs: DataFrame, finer: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` that their finer parities (``finer``: id, n, finer; an id may repeat) don't rule out.
+
+    Long texts fill the slots of ``signs``, and their sets are the ones that cost most to send.
+    """
+    x = finer.select(F.col("id").alias("a"), F.col("n").alias("x_n"), F.col("finer").alias("x"))
+    y = finer.select(F.col("id").alias("b"), F.col("n").alias("y_n"), F.col("finer").alias("y"))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("x_n") + F.col("y_n")).alias("sizes"))
+    return written(both.mapInArrow(_still_alike(percent), "a long, b long").distinct(), "alike")
+
+
 def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The ``pairs(a, b)`` whose sets are similar, from the whole texts of their ends."""
     first, second = KeyFilter(pairs, "a"), KeyFilter(pairs, "b")
@@ -321,7 +362,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(_levels(frequent_shingles(texts)))
-    sketches = written(texts.mapInArrow(_sketches(shared, percent), "id long, n long, digest binary, signs array<long>, prefix binary"), "sketches")
+    sketches = written(texts.mapInArrow(_sketches(shared, percent), "id long, n long, digest binary, signs array<long>, finer binary, prefix binary"), "sketches")
 
     nodes = sketches.where("n > 0 and id is not null").withColumn("mark", F.md5("prefix"))
     classes = nodes.groupBy("digest", "n", "mark").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
@@ -349,6 +390,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int")
     lists = written(lists.withColumn("band", band), "lists")
     signs = nodes.join(lists.select("id").distinct(), "id", "left_semi").select("id", "n", "signs").distinct()
+    finer = nodes.join(lists.select("id").distinct(), "id", "left_semi").select("id", "n", "finer").distinct()
 
     edges, labels, tested = copies, None, None
     for turn in range(STAR_ROUNDS + 1):
@@ -362,7 +404,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = _hopeful(pairs, signs, percent) if turn < STAR_ROUNDS else written(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         if not pairs.isEmpty():
-            edges, labels = edges.unionByName(_links(pairs, texts, percent)), None
+            edges, labels = edges.unionByName(_links(_not_ruled_out(pairs, finer, percent), texts, percent)), None
     labels = labels or written(components(edges), "labels")
     return (
         sketches.select("id", F.col("n").alias("n_shingles"))
