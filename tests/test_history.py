@@ -145,6 +145,22 @@ def test_lookup_agrees_with_one_by_one_questions(spark, soft, slice_rows):
     assert rows(got, ("request_id", "seq")) == sorted(want, key=repr)
 
 
+def test_lookup_reduces_the_log_before_its_shuffle(spark):
+    log = frame(spark, random_log(12, rows=200))
+    asked = log.limit(1).select(F.lit(1).alias("request_id"), "stream_id", "id", F.col("ts").alias("t"))
+    plan = temporal.lookup_as_of(log, asked)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Union") < plan.index("Join Inner")
+
+
+def test_lookup_of_null_ids_and_times(spark):
+    schema = "stream_id string, id string, change_type string, ts timestamp_ntz, seq bigint, v int"
+    log = spark.createDataFrame([("s", None, "Added", START, 1, 7), ("s", "a", "Added", START, 1, 8)], schema)
+    later = START + dt.timedelta(hours=1)
+    asked = [(1, "s", None, later), (2, "s", "a", None), (3, "s", "b", later)]
+    requests = spark.createDataFrame(asked, "request_id int, stream_id string, id string, t timestamp_ntz")
+    assert [(r.request_id, r.v) for r in temporal.lookup_as_of(log, requests).collect()] == [(1, 7)]
+
+
 PATCHES = [
     ("s", "a", "Added", 1, {"x": "1", "y": "2"}),
     ("s", "a", "Changed", 2, {"x": None}),

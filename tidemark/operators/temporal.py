@@ -1,8 +1,8 @@
 """Questions about a point in time.
 
 Each question comes in two forms. On a versions table it is a filter on the period
-columns. On a change log it is an aggregation over the changes up to that time, which
-needs neither a sort per entity nor the full history to be built first.
+columns. On a change log it is an aggregation over the changes up to that time: each
+map task sends one row per entity, and the full history isn't built first.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import cols, field
+from tidemark.functions.columns import cols, field, null_safe_join
 from tidemark.operators.joins import join_lookup
 from tidemark.operators.ordered import SLICE_ROWS, Latest, running, with_slices
 from tidemark.operators.state import STAMPED, current_state, position
@@ -93,8 +93,10 @@ def lookup_as_of(
 ) -> DataFrame:
     """Answer a table of (stream_id, id, t) requests; requests without an answer give no row.
 
-    Changes and requests of an entity are put in one time order and each request takes
-    the latest change before it, so no request meets all versions of its entity.
+    Changes of entities nobody asks about, or after the latest time asked, leave the log
+    before it is shuffled. The others and the requests of an entity are put in one time
+    order and each request takes the latest change before it, so no request meets all
+    versions of its entity. Null ids match null ids.
     """
     payload = payload_columns(log)
     asked = [c for c in requests.columns if c not in (*KEY, "t")]
@@ -107,6 +109,9 @@ def lookup_as_of(
         F.when(F.lit(True) if not soft else ~is_removed(), change).alias("_body"),
         F.struct("change_type", *ORDER).alias("_last"),
     )
+    upto = requests.groupBy(*KEY).agg(F.max("t").alias("_upto"))
+    early = F.col("ts").isNull() | (F.col("ts") <= F.col("_upto"))
+    changes = null_safe_join(changes, upto, KEY, "inner").where(early).drop("_upto")
     questions = requests.select(
         *KEY,
         F.col("t").alias("ts"),
