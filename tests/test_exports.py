@@ -283,6 +283,23 @@ def test_archive_moves_a_stream_aside(spark):
     assert store.archived(golden.STREAM, "20240821031600").count() == 1
 
 
+def test_an_archived_stream_is_opened_anew(spark):
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    first, odd = golden.entity(spark), golden.entity(spark, "Changed", golden.NOW, 2, extra="x")
+    other = first.withColumn("stream_id", F.lit("other"))
+    for number, batch in enumerate((first.unionByName(other), odd.unionByName(odd.withColumn("stream_id", F.lit("other"))))):
+        fits, rejected = store.guard(batch, number)
+        store.append(fits, number)
+        store.reject(rejected, number)
+    assert store.rejected().count() == 2
+    store.archive(golden.STREAM, "20240821031600")
+    assert [r["stream_id"] for r in store.rejected().collect()] == ["other"]
+    again = golden.entity(spark, "Changed", golden.NOW, 3, extra="x")
+    fits, rejected = store.guard(again.unionByName(again.withColumn("stream_id", F.lit("other"))), 2)
+    assert [r["stream_id"] for r in fits.collect()] == [golden.STREAM]
+    assert [r["stream_id"] for r in rejected.collect()] == ["other"]
+
+
 def test_archiving_a_mirrored_stream_removes_its_directory(spark, store, root):
     profile = ExportProfile.mirrored()
     result = run_delta(store, root, profile, STREAM, golden.NOW)

@@ -6,6 +6,7 @@ Layout under the root::
     changes-{generation}/stream_id=…/batch_id=…/
     rejected/batch_id=…/       changes that did not fit their stream
     known_keys/batch_id=…/     keys each stream was opened with
+    closed/                    streams archived after a batch: their keys and rejects no longer count
     versions/                  materialised history, on demand
     archive/{stream}_{time}/   archived streams
     ledger/                    export history entries
@@ -20,7 +21,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,8 +176,15 @@ class ChangeStore:
         return self.spark.read.parquet(f"{self.path}/versions").drop("is_open")
 
     def archive(self, stream_id: str, now: str) -> str:
-        """Move a stream aside under the time ``now`` (yyyyMMddHHmmss)."""
+        """Move a stream aside under the time ``now`` (yyyyMMddHHmmss).
+
+        Its keys and rejected changes so far are forgotten: its next change opens it anew.
+        """
         state = self.state()
+        guarded = [int(n.split("=")[1]) for n in files.names(self.spark, f"{self.path}/known_keys") if n.startswith("batch_id=")]
+        if guarded:
+            mark = self.spark.createDataFrame([(stream_id, max(guarded))], "stream_id string, after bigint")
+            mark.coalesce(1).write.mode("append").parquet(f"{self.path}/closed")
         target = f"{self.path}/archive/{stream_id}_{now}"
         files.rename(self.spark, f"{self._changes(state.generation)}/stream_id={stream_id}", target)
         return target
@@ -193,12 +201,23 @@ class ChangeStore:
 
     # Schema guard ------------------------------------------------------------
 
+    def _still_open(self, rows: DataFrame, batch: Column) -> DataFrame:
+        """``rows`` of a batch without those of streams that were archived after it."""
+        path = f"{self.path}/closed"
+        if not files.exists(self.spark, path):
+            return rows
+        closed = self.spark.read.parquet(path).groupBy("stream_id").agg(F.max("after").alias("after"))
+        late = rows.select(*cols(rows.columns), batch.cast("bigint").alias("_batch")).alias("r")
+        gone = (F.col("r.stream_id") == F.col("c.stream_id")) & (F.col("r._batch") <= F.col("c.after"))
+        return late.join(closed.alias("c"), gone, "left_anti").drop("_batch")
+
     def known_keys(self, upto: int) -> DataFrame | None:
         """The keys of the streams opened by the batches before ``upto``."""
         path = f"{self.path}/known_keys"
         if not files.exists(self.spark, path):
             return None
         known = self.spark.read.parquet(path).where(F.col("batch_id") < upto)
+        known = self._still_open(known, F.col("batch_id"))
         return known.groupBy("stream_id").agg(F.min_by("known_keys", "batch_id").alias("known_keys"))
 
     def guard(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
@@ -225,7 +244,9 @@ class ChangeStore:
                 return None
             batch_id = max(int(n.split("=")[1]) for n in found)
         path = f"{self.path}/rejected/batch_id={batch_id}"
-        return self.spark.read.parquet(path) if files.exists(self.spark, path) else None
+        if not files.exists(self.spark, path):
+            return None
+        return self._still_open(self.spark.read.parquet(path), F.lit(batch_id))
 
     # Ledger ------------------------------------------------------------------
 
