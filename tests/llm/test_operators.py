@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -314,6 +315,57 @@ def test_licences(spark):
     assert got == [(0, 1, "CC-BY-NC-4.0"), (1, 0, "Apache-2.0"), (1, 2, "Apache-2.0"), (2, 1, "MIT"), (2, 1, "MIT"), (6, 0, "MIT-text"), (6, 2, "MIT-text")]
 
 
+def runs_by_hand(text, templates, least=0.8):
+    """Every run of lines up to the longest, without any rule that leaves some out."""
+    lines = text.lower().split("\n")
+    every = re.findall(r"[a-z0-9]+", text.lower())
+    out = []
+    for name, whole in templates.items():
+        words = re.findall(r"[a-z0-9]+", whole.lower())
+        theirs, starts = set(zip(words, words[1:])), []
+        for i in range(len(lines)):
+            first = re.findall(r"[a-z0-9]+", lines[i])
+            options = []
+            for j in range(i, len(lines)):
+                own = re.findall(r"[a-z0-9]+", "\n".join(lines[i : j + 1]))
+                if len(own) > len(words) * 3 // 2:
+                    break
+                grams = list(zip(own, own[1:]))
+                if theirs & set(grams[: len(first)]) and re.search("[a-z0-9]", lines[j]):
+                    options.append((-2 * len(theirs & set(grams)) / (len(theirs) + len(set(grams))), j - i, i + 1, j + 1, own))
+            if options and -min(options)[0] >= least:
+                starts.append(min(options))
+        taken = []
+        for r in sorted(starts):
+            if all(r[3] < o[2] or o[3] < r[2] for o in taken):
+                taken.append(r)
+        out += [(r[2], r[3], name, round(-r[0], 9)) for r in taken if r[1] and r[4] != every]
+    return sorted(out)
+
+
+def test_licence_runs(spark):
+    mit = "MIT License\n\nCopyright (c) 2020 A Person\n\n" + licences.TEMPLATES["MIT-whole"]
+    prose = ["some words that stand before it", "", "and others, in the way of the thing"]
+    wrap = lambda name, width: textwrap.wrap(licences.TEMPLATES[name], width)
+    texts = [mit, "\n".join(prose * 9 + wrap("Apache-2.0-header", 40) + prose * 9), "\n".join(prose + wrap("GPL-3.0-header", 30) + prose + wrap("GPL-3.0-header", 60) + prose)]
+    texts += ["\n".join(prose * 30 + [f" * {x}" for x in wrap("BSD-3-Clause-whole", 70)] + prose), "\n".join(prose + wrap("ISC-text", 1) + prose), "\n".join(wrap("MPL-2.0-header", 30))]
+    texts += ["Released\n\nunder the\nMIT License.\n" * 3 + "x", "\n".join(prose * 50), None, "", "\n\n"]
+    rng = random.Random(4)
+    pool = re.findall(r"\S+", licences.TEMPLATES["CC-BY-4.0"] + " " + licences.TEMPLATES["MIT"]) + ["x"]
+    for _ in range(150):
+        t = rng.choice(["Released under the MIT License.", "Licensed under CC BY-SA 4.0.", licences.TEMPLATES["MPL-2.0-header"]]).split(" ")
+        words = [rng.choice(pool) for _ in range(rng.randrange(6))] + [w for w in t if rng.random() < 0.95] + [rng.choice(pool) for _ in range(6)]
+        texts.append("".join(w + rng.choice([" ", "\n", " ", "\n\n"]) for w in words * rng.choice([1, 2])))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = collections.defaultdict(list)
+    for r in licences.scan(df).where("last > line").collect():
+        got[r.id].append((r.line, r.last, r.licence, round(r.dice, 9)))
+    for k, text in enumerate(texts):
+        assert sorted(got[k]) == runs_by_hand(text or "", licences.TEMPLATES), text
+    assert (5, 20, "MIT-whole", 1.0) in got[0] and (5, 10, "MIT-text", 1.0) in got[0]
+    assert len(got[2]) == 2 and [r[2] for r in got[1]].count("Apache-2.0-header") == 1 and sum(map(len, got.values())) > 60
+
+
 # search, pages, fixity
 
 

@@ -162,7 +162,7 @@ def _licences_sql() -> str:
 
 @query("op4_licence_scan", _licences_sql())
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    return licences.scan(table(spark, folder, "documents", "doc_id", "text")).withColumnRenamed("id", "doc_id")
+    return licences.scan(table(spark, folder, "documents", "doc_id", "text")).drop("last").withColumnRenamed("id", "doc_id")
 
 
 @query("op7_host_paths")
