@@ -404,6 +404,25 @@ def test_pages(spark):
     assert html.Page("<p " + "<p a='" * 2000).text([]) is not None
 
 
+def test_pages_without_article(spark):
+    a, b, li = "first part " * 15, "second part " * 4, "<li>entry of the list" * 20
+    bodies = {
+        "T|a|b": f"<div class=content><h1>T</h1><div class=a>{a}</div><div class=b>{b}</div></div>",
+        "T |a": f"<div class=post><h1>T </h1><div class=body><p>{a}</div></div>",
+        "T  |a|b": f"<h1>T  </h1><div class=a>{a}</div><div class=b>{b}</div>",
+        "p|li|q": f"<div class=post><p>p<ul>{li}</ul><p>q</div><div class=sidebar>S</div>",
+        "p |li|q": f"<p>p <ul>{li}</ul><p>q<footer>F</footer>",
+        "M|a": f"<main><h1>M</h1><article>{a}</article></main><div>x</div>",
+        "p|cell": f"<div><div><p>p</p></div><table><tr><td>{'cell ' * 30}</table></div>",
+    }
+    parts = {"a": a, "b": b, "li": "\n".join(["entry of the list"] * 20), "cell": "cell " * 30}
+    rows = [(k, f"http://h{i}.example/{n}", f"<body><nav>N</nav>{body}</body>") for n in range(3) for i, (k, body) in enumerate(bodies.items())]
+    got = html.extract(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert len(got) == 3 * len(bodies)
+    for r in got:
+        assert r.text == "\n".join(parts.get(x, x).strip() for x in r.page_id.split("|")), r.page_id
+
+
 def test_fixity(spark):
     pages = spark.createDataFrame([(k, f"u{k}", "é" * (k % 300)) for k in range(3000)] + [(5000, None, None)], "page_id long, url string, html string")
     primary = fixity.records(pages)

@@ -48,6 +48,9 @@ _ASIDE_WORDS = frozenset(
     "commentlist share sharing social related recommended pagination pager toolbar form search".split()
 )
 _MAIN = frozenset(("article", "main"))
+_ROOTS = frozenset(("#", "html", "body"))
+#: Below the body, these are parts of the page; anything else is text of the body itself.
+_PARTS = frozenset("div section center".split())
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _LEAST_SHARE = 0.7
@@ -175,7 +178,10 @@ class Page:
             self.aside[k] = self.aside[k] or self.aside[self.parent[k]]
 
     def best(self) -> int:
-        """The deepest element with most of the plain text, or the article or main part around it."""
+        """The article or main part, else the outermost container, around the deepest element with most of the plain text.
+
+        The body itself is taken if it has headings, paragraphs, lists or bare text beside the container.
+        """
         held = [0] * len(self.tag)
         for element, _, plain in self.blocks:
             if not self.aside[element]:
@@ -186,12 +192,26 @@ class Page:
             return 0
         # elements come in page order, so the last one with enough text is the deepest
         chosen = max(k for k, n in enumerate(held) if n >= _LEAST_SHARE * held[0] and self._holds(k))
-        up = chosen
-        while up > 0:
-            if self.tag[up] in _MAIN:
-                return up
-            up = self.parent[up]
-        return chosen
+        around = [chosen]
+        while around[-1] > 0:
+            around.append(self.parent[around[-1]])
+        mains = [k for k in around if self.tag[k] in _MAIN]
+        if mains:
+            return mains[-1]
+        # headings and sibling sections stand beside the dense element, so what holds them is its container
+        inner = [k for k in around if self.tag[k] in _BLOCKS and self.tag[k] not in _ROOTS]
+        if not inner:
+            return chosen
+        top = next(k for k in around[around.index(inner[-1]) :] if self.tag[k] in _ROOTS)
+        return top if any(not self.aside[k] and self._own(k, top) for k, _, _ in self.blocks) else inner[-1]
+
+    def _own(self, k: int, top: int) -> bool:
+        """Whether the text of ``k`` is in ``top`` and in no part of it."""
+        while k > top:
+            if self.tag[k] in _PARTS:
+                return False
+            k = self.parent[k]
+        return k == top
 
     def _holds(self, k: int) -> bool:
         return k == 0 or (self.tag[k] in _BLOCKS and self.tag[k] not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote"))
