@@ -423,6 +423,12 @@ def test_pages_without_article(spark):
         assert r.text == "\n".join(parts.get(x, x).strip() for x in r.page_id.split("|")), r.page_id
 
 
+def test_unclosed_elements_keep_the_text():
+    for tag in "svg object canvas audio video noscript select iframe template math".split():
+        assert html.Page(f"<div><p>one</p><{tag} x=1><p>two</p></div><p>three</p>")._inside({0}).split() == ["one", "two", "three"], tag
+    assert html.Page("<p>a <math><mi>x</mi></math> b<svg><text>y</text></svg></p><script>c")._inside({0}) == "a x b"
+
+
 def test_fixity(spark):
     pages = spark.createDataFrame([(k, f"u{k}", "é" * (k % 300)) for k in range(3000)] + [(5000, None, None)], "page_id long, url string, html string")
     primary = fixity.records(pages)

@@ -24,8 +24,9 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: What is inside is not text of the page.
-_RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in "script style noscript template iframe textarea select title object svg math canvas audio video".split()}
+#: What is inside is not text of the page. Never closed, those of _TO_END reach to its end; the tags of the others are ignored.
+_TO_END = frozenset("script style textarea title".split())
+_RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in "script style noscript template iframe textarea select title object svg canvas audio video".split()}
 _BLOCKS = frozenset(
     "html body address article aside blockquote button caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr legend li main menu nav ol optgroup option p pre search section summary table tbody td "
@@ -113,7 +114,7 @@ class Page:
             if name in _RAW:
                 if not attributes.endswith("/"):
                     over = _RAW[name].search(source, at)
-                    at = over.end() if over else end
+                    at = over.end() if over else end if name in _TO_END else at
                 continue
             if name in _VOID:
                 continue
