@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, fixity, html, jaccard, kdtree, language, licences, mixing, packing, secrets
+from tidemark.llm import bpe, exact, fixity, html, jaccard, kdtree, language, licences, mixing, packing, runs, secrets, variants
 from tidemark.llm.shared import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +202,92 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages", "page_id", "url", "html")
     return fixity.audit(written(fixity.records(pages), "primary"), written(fixity.damaged(pages), "replica"))
+
+
+#: crc32 in SQL: the table of its bytes, and the sum over the UTF-8 bytes of a text.
+_CRC_TABLE = """crc_table AS (SELECT list(list_reduce(range(8)::BIGINT[], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS tbl
+                              FROM (SELECT unnest(range(256))::BIGINT AS i))"""
+
+
+def _crc(text: str) -> str:
+    digits = f"hex(encode({text}))"
+    data = f"list_transform(range(0, len({digits}) // 2), lambda k: ('0x' || substr({digits}, 2 * k + 1, 2))::BIGINT)"
+    return f"xor(list_reduce({data}, lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+@query(
+    "op11_periodic_runs",
+    rf"""
+    WITH {_CRC_TABLE},
+    h AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS own, {_crc("doc_id::VARCHAR")} AS h FROM documents, crc_table),
+    a AS (SELECT *, len(own) AS n, h // 10 AS g, CASE WHEN len(own) > 0 THEN (h // 10) % len(own) ELSE 0 END AS a FROM h),
+    p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+    w AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i: own[CASE WHEN i >= a THEN a + (i - a) % p ELSE i END + 1]) ELSE own END AS w FROM p),
+    x AS (SELECT doc_id, n, i, w[i + 1] AS word, array_to_string(w[i + 1:i + 5], ' ') AS gram FROM (SELECT *, unnest(range(0, n)) AS i FROM w)),
+    pairs AS (SELECT l.doc_id, l.i, r.i - l.i AS d FROM x l JOIN x r ON l.doc_id = r.doc_id AND l.gram = r.gram AND r.i > l.i AND 4 * (r.i - l.i) <= l.n
+              WHERE r.i + 5 <= r.n),
+    marked AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM pairs),
+    stretches AS (SELECT doc_id, d, min(i) AS start, count(*) + 4 + d AS length FROM marked GROUP BY doc_id, d, island),
+    runs AS (SELECT doc_id, start, length, min(d) AS period FROM stretches WHERE length >= greatest(6, 4 * d) GROUP BY doc_id, start, length),
+    best AS (SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(start := start, length := length, period := period), row(-length, start, period)) AS b,
+                    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM runs GROUP BY doc_id),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM x
+             WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = x.doc_id AND x.i >= r.start + r.period AND x.i < r.start + r.length) GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length, b.period::BIGINT AS period,
+           (1000 * b.length // b.period)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+    FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.collapse(runs.repeated(table(spark, folder, "documents", "doc_id", "text")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.less") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op12_spelling_variants",
+    rf"""
+    WITH RECURSIVE {_CRC_TABLE},
+    r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+    c AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY doc_id, run),
+    s AS (SELECT run, n, {_crc("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM c, crc_table),
+    t AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM s),
+    words AS (SELECT word, sum(n)::BIGINT AS n FROM t WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    gaps AS (SELECT word, n, k, substr(word, 1, k) || substr(word, k + 2) AS rest FROM (SELECT *, unnest(range(0, length(word))) AS k FROM words)),
+    pairs AS (SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+              UNION SELECT w.word, g.word, g.n FROM words w JOIN gaps g ON w.word = g.rest
+              UNION SELECT g.word, w.word, w.n FROM words w JOIN gaps g ON w.word = g.rest),
+    best AS (SELECT word, count(*) AS n_near, arg_min(struct_pack(w := other, n := other_n), row(-other_n, other)) AS b FROM pairs GROUP BY word),
+    forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 10 * w.n THEN b.w END AS form, CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n FROM words w LEFT JOIN best USING (word)),
+    steps AS (SELECT word, word AS root FROM forms UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON s.root = f.word WHERE f.form IS NOT NULL),
+    roots AS (SELECT s.word, s.root FROM steps s JOIN forms f ON s.root = f.word WHERE f.form IS NULL)
+    SELECT f.word, form, root, n::BIGINT AS n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM forms f JOIN roots USING (word)
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    counts = variants.count_words(table(spark, folder, "documents", "doc_id", "text"), drop_modulus=31)
+    words = written(counts.where(F.col("n") >= variants.LEAST_TIMES), "vocabulary")
+    return variants.variants(words)
+
+
+@query("op13_bpe_round_trip")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(table(spark, folder, "documents", "doc_id", "text"), vocabulary)
+    both = bpe.decode(encoded, vocabulary)
+    return both.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
