@@ -26,9 +26,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import slices, small_batches
 
+#: Bytes of text that a task encodes at once; its arrays take some thirty times as much.
+BYTES = 3 << 20
 _NONE = np.iinfo(np.int64).max  # the rank of a pair that is not merged
 
 
+def _slot(key: np.ndarray) -> np.ndarray:
+    return (key * 0x9E3779B1) >> 7 & ((1 << 21) - 1)
+
+
 class Vocabulary:
     """Merges, symbols and special tokens of a tokenizer file."""
 
@@ -42,16 +48,15 @@ class Vocabulary:
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in data["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.size = max([*ids.values(), *self.special.values()]) + 1
-        self.texts = [None] * self.size
-        for text, k in [*ids.items(), *self.special.items()]:
-            self.texts[k] = text
-
         made = {a + b: rank for rank, (a, b) in enumerate(merges)}
         if len(made) < len(merges) or any(made.get(x, -1) > rank for rank, pair in enumerate(merges) for x in pair):
             raise ValueError("a symbol is made by two merges, or merged before it is made")
         keys = np.array([ids[a] * self.size + ids[b] for a, b in merges], dtype=np.int64)
         self.ranks = np.argsort(keys, kind="stable")
         self.keys = keys[self.ranks]
+        self.hashed = np.zeros(1 << 21, dtype=bool)
+        self.hashed[_slot(self.keys)] = True
+        self.twins = np.array([a == b for a, b in merges], dtype=bool)
         self.products = np.array([ids[a + b] for a, b in merges], dtype=np.int64)
         #: Symbols of each byte, inside a pre-token and at its end; a byte that can't be shown has a code point from 256.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -63,8 +68,14 @@ class Vocabulary:
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of symbols."""
         key = left * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at], _NONE) if len(self.keys) else np.full(len(key), _NONE)
+        # a table of hashes rules out most pairs; the sorted keys decide the rest
+        out = np.full(len(key), _NONE)
+        maybe = np.flatnonzero(self.hashed[_slot(key)])
+        if len(maybe):
+            key = key[maybe]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[maybe] = np.where(self.keys[at] == key, self.ranks[at], _NONE)
+        return out
 
     def pre_tokens(self, word: str) -> list[str | int]:
         """Pre-tokens of a text; a special token is its number."""
@@ -97,7 +108,7 @@ class PairIndex:
         active, starts = np.unique(self.rank[self.order], return_index=True)
         stops = np.append(starts, len(self.order))[1:]
         self.slot = {k: (a, b) for k, a, b in zip(active.tolist(), starts.tolist(), stops.tolist(), strict=True)}
-        self.more: dict[int, list[int]] = defaultdict(list)
+        self.more: dict[int, list[np.ndarray]] = defaultdict(list)
         self.heap = active.tolist()  # sorted, so a heap
 
     def _look(self, at: np.ndarray) -> np.ndarray:
@@ -108,20 +119,33 @@ class PairIndex:
 
     def _occurrences(self, rank: int) -> np.ndarray:
         low, high = self.slot.pop(rank, (0, 0))
-        at = self.order[low:high]
-        added = self.more.pop(rank, None)
-        if added:
-            at = np.unique(np.concatenate([at, np.array(added)]))
+        added = self.more.pop(rank, ())
+        at = np.concatenate([self.order[low:high], *added]) if len(added) else self.order[low:high]
         at = at[self.rank[at] == rank]
-        if len(at) < 2:
+        if len(at) < 2 or not self.vocabulary.twins[rank]:
             return at
         # in x x x only every other pair of a chain merges
+        at = np.unique(at)
         chained = self.next[at[:-1]] == at[1:]
-        if chained.any():
-            place = np.arange(len(at))
-            first = np.maximum.accumulate(np.where(np.concatenate([[True], ~chained]), place, 0))
-            at = at[(place - first) % 2 == 0]
-        return at
+        place = np.arange(len(at))
+        first = np.maximum.accumulate(np.where(np.concatenate([[True], ~chained]), place, 0))
+        return at[(place - first) % 2 == 0]
+
+    def _add(self, at: np.ndarray) -> None:
+        """Put positions whose pair has changed into the lists of their pairs."""
+        ranks = self._look(at)
+        on = ranks != _NONE
+        at, ranks = at[on], ranks[on]
+        if not len(at):
+            return
+        order = np.argsort(ranks)
+        at, ranks = at[order], ranks[order]
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        bounds = [0, *cuts.tolist(), len(at)]
+        for low, high, k in zip(bounds[:-1], bounds[1:], ranks[bounds[:-1]].tolist(), strict=True):
+            if k not in self.slot and k not in self.more:
+                heapq.heappush(self.heap, k)
+            self.more[k].append(at[low:high])
 
     def merge(self) -> None:
         """Apply all merges, lowest rank first."""
@@ -136,16 +160,9 @@ class PairIndex:
             self.rank[second] = _NONE
             after = self.next[second]
             self.next[at] = after
-            followed = after >= 0
-            self.before[after[followed]] = at[followed]
+            self.before[after[after >= 0]] = at[after >= 0]
             left = self.before[at]
-            changed = np.concatenate([at, left[left >= 0]])
-            ranks = self._look(changed)
-            on = ranks != _NONE
-            for k, place in zip(ranks[on].tolist(), changed[on].tolist(), strict=True):
-                if k not in self.slot and k not in self.more:
-                    heapq.heappush(self.heap, k)
-                self.more[k].append(place)
+            self._add(np.concatenate([at, left[left >= 0]]))
 
 
 class Encoder:
@@ -236,6 +253,14 @@ def spread(which: np.ndarray, bounds: np.ndarray, values: np.ndarray, own: np.nd
     return values[source], at[bounds]
 
 
+def token_texts(path: str) -> list[str | None]:
+    """The text of each id of a tokenizer file; null for none."""
+    with open(path, encoding="utf-8") as file:
+        data = json.load(file)
+    known = {k: text for text, k in data["model"]["vocab"].items()} | {t["id"]: t["content"] for t in data["added_tokens"]}
+    return [known.get(k) for k in range(max(known) + 1)]
+
+
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, ids``: the token ids of each whole text.
 
@@ -250,7 +275,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", BYTES):
                 ids, bounds = encoder.encode(batch.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "ids"])
@@ -270,7 +295,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
             raise ValueError("the vocabulary has a decoder of its own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = pa.array(Vocabulary(vocabulary).texts, pa.string())
+        texts = pa.array(token_texts(vocabulary), pa.string())
         for batch in batches:
             lists = pc.fill_null(batch.column("ids"), pa.scalar([], batch.column("ids").type))
             bounds = lists.offsets.to_numpy(zero_copy_only=False)
