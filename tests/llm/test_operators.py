@@ -1,7 +1,9 @@
 """Every operator against brute force on small tables with nulls, ties, repeats and odd columns."""
 
 import collections
+import fractions
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -12,8 +14,9 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tidemark.llm import exact, fixity, html, jaccard, kdtree, language, licences, mixing, packing, secrets, shingles, trigrams
+from tidemark.llm import bpe, exact, fixity, html, jaccard, kdtree, language, licences, mixing, packing, secrets, shingles, trigrams
 
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -190,7 +193,7 @@ def test_forward_sums_all_segmentations():
         if not word:
             return np.ones(2)
         total = np.zeros(2)
-        for k in range(1, min(len(word), language.LONGEST) + 1):
+        for k in range(1, min(len(word), pieces.longest) + 1):
             codes = np.array([[ord(c) for c in word[:k]]], dtype=np.uint64)
             total += p[pieces.numbers(codes)[k - 1][0, 0]] * brute(word[k:])
         return total
@@ -198,9 +201,34 @@ def test_forward_sums_all_segmentations():
     for codes, places in language.by_length(["the", "fore"]):
         word = "▁" + ["the", "fore"][places[0]]
         assert np.allclose(language.forward(pieces.numbers(codes), p)[-1][0], brute(word))
+        assert np.allclose(language.log_forward(pieces.numbers(codes), p)[0], np.log(brute(word)))
     assert language.expected(pieces.numbers(codes), p, np.ones((1, 2))).sum() > 0
 
 
+def test_long_words_are_summed_whole():
+    """Against exact fractions; the longest pieces count, and no word is cut or runs out of range."""
+    pieces = language.Pieces(PIECES_FILE)
+    assert pieces.longest > 12
+    rng = np.random.default_rng(2)
+    p = np.vstack([rng.random((len(pieces), 2)) / 1000, [[1e-9] * 2, [0] * 2]])
+    for word in ("internationalization" * 6, "字" * 40 + "x", "a" * 700):
+        ((codes, _),) = language.by_length([word])
+        numbers = pieces.numbers(codes)
+        sums = [[fractions.Fraction(1)] * 2]
+        for j in range(1, codes.shape[1] + 1):
+            reach = range(1, min(j, len(numbers)) + 1)
+            sums.append([sum(sums[j - k][m] * fractions.Fraction(float(p[numbers[k - 1][0, j - k], m])) for k in reach) for m in range(2)])
+        want = [math.log(x.numerator) - math.log(x.denominator) for x in sums[-1]]
+        assert np.allclose(language.log_forward(numbers, p)[0], want, rtol=1e-9)
+
+
+def test_marks_without_a_letter_have_no_language():
+    pieces = language.Pieces(PIECES_FILE)
+    model = language.Model(PIECES_FILE, ["de", "en"], np.log([0.5, 0.5]), np.vstack([np.full((len(pieces), 2), 1e-5), [[1e-9] * 2, [0] * 2]]))
+    names, scores = model.predict(pieces, pa.array(["\u0301 \u0302", "e\u0301", None, "12 34", "\u0301 a"]))
+    assert names == ["und", "de", "und", "und", "de"] and scores[0] == 0
+
+
 # mixing
 
 
@@ -245,11 +273,11 @@ def test_hypergeometric_has_the_right_moments(spark):
 
 
 def test_word_ids_are_the_tokenizers():
-    words = packing.WordIds(WORDS_FILE)
+    words, tokenizer = bpe.Encoder(WORDS_FILE), Tokenizer.from_file(WORDS_FILE)
     texts = ["It's he'll <|endoftext|> x<|startoftext|>y", "ÀÉ é İstanbul ΣΑΣ", "a.b,c!! 12.5 'S the.'s re!?", "", None, "naïve ß ẞ ŉ", "日本語。 x́. y", "w.#$ ..."]
-    ids, bounds = words.of_texts(pa.array(texts))
+    ids, bounds = words.encode(pa.array(texts))
     for k, text in enumerate(texts):
-        assert ids[bounds[k] : bounds[k + 1]].tolist() == words.tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("limits", [packing.Limits(), packing.Limits(64, 3, 40)])
@@ -257,7 +285,7 @@ def test_pack_round_trip(spark, limits):
     rows = [(k, "the word " * (k * 7 % 90), k % 5) for k in range(150)] + [(200, None, None), (201, "", 0), (None, "x", 0), (3, "a", 0), (3, "a", 0), (202, "long " * 9000, 50)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, prompt long").repartition(3)
     pieces = packing.pack(docs, WORDS_FILE, limits, prompt_col="prompt").collect()
-    tokenizer = packing.WordIds(WORDS_FILE).tokenizer
+    tokenizer = Tokenizer.from_file(WORDS_FILE)
     by_doc = collections.defaultdict(list)
     for p in pieces:
         by_doc[p.id].append(p)
@@ -438,3 +466,63 @@ def test_fixity(spark):
     got = {(r.page_id, r.status) for r in fixity.audit(primary, damaged, width=1 << 12).collect()}
     assert got == {(17, "missing"), (2400, "changed"), (9, "extra")}
     assert fixity.audit(primary.limit(0), primary.limit(0)).count() == 0
+
+
+def test_records_at_one_offset_are_a_multiset(spark):
+    schema = "file long, offset long, n_bytes long, page_id long, hash string"
+    primary = [(1, 0, 10, 1, "b"), (1, 10, 5, 2, "m"), (1, 10, 5, 3, "m"), (1, 20, 5, 4, "k"), (1, 30, 1, 5, "x"), (None, 0, 1, 6, "q")]
+    replica = [(1, 0, 10, 1, "b"), (1, 0, 10, 9, "z"), (1, 10, 5, 2, "m"), (1, 20, 5, 4, "j"), (1, 20, 7, 8, "n"), (1, 30, 1, 5, "x")]
+    p, r = (spark.createDataFrame(x, schema).repartition(2) for x in (primary, replica))
+    got = {tuple(x) for x in fixity.audit(p, r, width=16).collect() if x.file is not None}
+    # the k and the j are the first of their sides; what is left over is extra or missing
+    assert got == {(1, 0, 10, 9, "extra"), (1, 10, 5, 3, "missing"), (1, 20, 5, 4, "changed"), (1, 20, 7, 8, "extra")}
+    assert fixity.audit(p, p, width=16).where("file is not null").count() == 0 == fixity.audit(p.limit(0), r.limit(0)).count()
+
+
+def test_colliding_keys_lose_no_secret(spark, monkeypatch):
+    texts = ["password = abcdefgh1", "nothing here", "AKIA" + "B" * 16, None, "ghp_" + "a" * 40, "xoxb-1234567890123"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = {r.doc_id: r.secrets for r in secrets.scan(docs).collect()}
+    monkeypatch.setattr(secrets.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    assert {r.doc_id: r.secrets for r in secrets.scan(docs).collect()} == want
+    assert sum(bool(x) for x in want.values()) == 4
+
+
+PROSE = "Plain words of an article that goes on for a while."
+
+
+@pytest.mark.parametrize("opening", ["<div class='search-results'>", "<div id='register'>", "<form action=x>", "<div class='menu'>", "<fieldset>"])
+def test_what_holds_the_page_is_no_aside(opening):
+    close = "</" + re.match(r"<(\w+)", opening)[1] + ">"
+    page = html.Page(f"<body><nav><a href=/>home</a></nav>{opening}<h1>T</h1><p>{PROSE}<p>{PROSE}<input>{close}<div class='cookie-banner'>We use cookies</div></body>")
+    assert page.text([]) == f"T\n{PROSE}\n{PROSE}"
+
+
+def test_words_of_a_class_are_weighed():
+    inner = "<div class='share-price-table'>1 2 3</div><div class='form-group'>some text</div><div class='reply'>an answer</div>"
+    links = "<div class='share'><a href=x>tweet</a> <a href=y>post</a></div><div class='related-posts'><a href=z>more to read</a></div>"
+    page = html.Page(f"<header>Site</header><article><header><h1>Title</h1><p>by me</header><p>{PROSE}{inner}{links}<div id=comments><p>{PROSE * 9}</div></article>")
+    assert page.text([]) == f"Title\n{PROSE}\n1 2 3\nsome text\nan answer"
+    assert html.Page(f"<body>a <![CDATA[hidden]]> b<p>{PROSE}</body>").text([]).startswith("a b\n")
+    assert html.Page(f"<div class=comments><p>{PROSE * 5}</div><div id=post><p>{PROSE}</div>").text([]) == PROSE
+
+
+def test_pages_whole_and_empty(spark):
+    long = "<article>" + "".join(f"<p>part {k}</p>" for k in range(40_000)) + "</article>"
+    pages = spark.createDataFrame([(1, "http://a/x", long), (2, None, None), (2, None, "")], "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text) for r in html.extract(pages).collect())
+    assert got == [(1, "\n".join(f"part {k}" for k in range(40_000))), (2, ""), (2, "")]
+    assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_mix_order_is_whole(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 40)
+    rows = [(k, f"w{k} " * 7, "en", "ab"[k % 2], 0) for k in range(300)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    mixed = mixing.mix(docs, shard_words=400)
+    taken = {r.doc_id: r.draws for r in mixed.collect()}
+    shards = collections.Counter(d.shard for own in taken.values() for d in own)
+    assert len(shards) == math.ceil(1.5 * 7 * 300 / 400)
+    out = mixing.drawn(mixed, docs.columns, shard_words=400).collect()
+    assert len(out) == sum(len(x) for x in taken.values())
+    assert sum(len(WORD.findall(r.text)) for r in out) == sum(d.words for own in taken.values() for d in own)

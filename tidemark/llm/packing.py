@@ -14,34 +14,19 @@ sequences whose lengths are powers of two, which need no padding.
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import BYTES, Encoder
 from tidemark.llm.shared import slices, small_batches
 
 POOL = 512
-#: Words whose ids a task remembers from batch to batch.
-SEEN = 100_000
-
-
-#: Punctuation that ends a word as a pre-token of its own; no apostrophe, which may start one.
-_TAIL = ".,;:!?#$%&*"
-
-
-def _strings(values: pa.Array) -> list[str]:
-    return values.to_numpy(zero_copy_only=False).tolist()
-
-
-def _codes(values: pa.DictionaryArray) -> list[int]:
-    return values.indices.fill_null(0).to_numpy(zero_copy_only=False).tolist()
 
 
 @dataclass(frozen=True)
@@ -51,75 +36,6 @@ class Limits:
     loss: int = 2048
 
 
-class WordIds:
-    """Token ids of many texts: every distinct word of a batch is tokenised once.
-
-    The vocabulary's pre-tokens never span white space, so the ids of a text are those of its
-    words in order.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        names = dict(zip(printable, map(chr, printable), strict=True))
-        for byte in range(256):  # the byte-level alphabet: other bytes take the code points from 256
-            if byte not in names:
-                names[byte] = chr(0x100 + len(names) - len(printable))
-        self.names = names
-        self.seen: dict[str, bytes] = {}
-
-    def _plain(self, word: str) -> bytes:
-        """Ids of one pre-token of lower-case letters, four bytes each."""
-        if word not in self.seen:
-            known = word if word.isascii() else "".join(self.names[b] for b in word.encode())
-            own = array("I", [t.id for t in self.model.tokenize(known)]).tobytes()
-            if len(self.seen) >= SEEN:
-                return own
-            self.seen[word] = own
-        return self.seen[word]
-
-    def _any(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False) if texts else []
-        return [array("I", x.ids).tobytes() for x in found]
-
-    def of_words(self, words: pa.Array) -> list[bytes]:
-        """Ids of each word, four bytes each."""
-        low = pc.ascii_lower(words)
-        stems = pc.ascii_rtrim(low, characters=_TAIL)
-        # letters whose lower case is one letter, composed as the normaliser would
-        plain = pc.and_(pc.match_substring_regex(stems, r"^[\p{Ll}À-ÖØ-Þ]+$"), pc.equal(stems, pc.utf8_normalize(stems, form="NFC")))
-        stems = pc.utf8_lower(stems)
-        plain = pc.and_(plain, pc.equal(stems, pc.utf8_lower(stems)))
-        tails = pc.replace_substring_regex(low, f"(?s)^.*?([{_TAIL}]*)$", r"\1")
-        stem_code, tail_code = pc.if_else(plain, stems, None).dictionary_encode(), pc.if_else(plain, tails, None).dictionary_encode()
-        heads = list(map(self._plain, _strings(stem_code.dictionary)))
-        ends = self._any(_strings(tail_code.dictionary))
-        out = [heads[a] + ends[b] for a, b in zip(_codes(stem_code), _codes(tail_code), strict=True)] if heads else [b""] * len(words)
-        other = pc.invert(plain)
-        for k, own in zip(np.flatnonzero(other.to_numpy(zero_copy_only=False)), self._any(_strings(words.filter(other))), strict=True):
-            out[k] = own
-        return out
-
-    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the bounds of each text in them. Null counts as empty."""
-        words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-        bounds = words.offsets.to_numpy(zero_copy_only=False)
-        flat = words.values.slice(bounds[0], bounds[-1] - bounds[0])
-        code = flat.dictionary_encode()
-        ids = self.of_words(code.dictionary)
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        start = np.concatenate([[0], np.cumsum(size)])
-        pool = np.frombuffer(b"".join(ids), dtype=np.uint32)
-        which = code.indices.to_numpy(zero_copy_only=False)
-        times = size[which]
-        at = np.concatenate([[0], np.cumsum(times)])
-        spread = np.repeat(start[which] - at[:-1], times) + np.arange(at[-1])
-        return pool[spread], at[bounds - bounds[0]]
-
-
 @dataclass
 class _Piece:
     row: int
@@ -159,11 +75,12 @@ class Packer:
         limits = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], dtype=np.float64)
         pieces = self.pool
         weights = np.array([(len(p.ids), 1, p.loss(len(p.ids))) for p in pieces], dtype=np.float64).reshape(-1, 3)
+        shares = weights / limits
         live = np.ones(len(pieces), dtype=bool)
         while live.sum() > keep and weights[live, 0].sum() >= limits[0]:
             room, offset = limits.copy(), 0
             while room[0] and room[1] and live.any():
-                gain = (weights / limits) @ (room / limits)
+                gain = shares @ (room / limits)
                 fits = live & (weights <= room).all(axis=1)
                 if fits.any():
                     best = int(np.argmax(np.where(fits, gain, -1)))
@@ -177,6 +94,7 @@ class Packer:
                 pieces[best] = self._place(pieces[best], length, offset)
                 left = pieces[best]
                 weights[best] = (len(left.ids), 1, left.loss(len(left.ids)))
+                shares[best] = weights[best] / limits
                 live[best] = len(left.ids) > 0
                 offset += length
                 room -= (length, 1, loss)
@@ -229,7 +147,7 @@ def pack(docs: DataFrame, vocabulary: str, limits: Limits = Limits(), end_id: in
     schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, words = Packer(limits, TaskContext.get().partitionId() << 40), WordIds(vocabulary)
+        packer, words = Packer(limits, TaskContext.get().partitionId() << 40), Encoder(vocabulary)
         known: dict[int, tuple] = {}  # rows with pieces in the pool
         number = 0
 
@@ -244,8 +162,9 @@ def pack(docs: DataFrame, vocabulary: str, limits: Limits = Limits(), end_id: in
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*cols, loss)], names)
 
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids, bounds = words.of_texts(part.column("text"))
+            for part in slices(batch, "text", BYTES):
+                ids, bounds = words.encode(part.column("text"))
+                ids = ids.astype(np.uint32)
                 for k, (ident, prompt_of) in enumerate(zip(part.column("id").to_pylist(), part.column("prompt").to_pylist(), strict=True)):
                     own = np.append(ids[bounds[k] : bounds[k + 1]], np.uint32(end_id))
                     known[number] = (ident, len(own), prompt_of)
