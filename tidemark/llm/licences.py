@@ -3,7 +3,8 @@
 Templates are notices, opening paragraphs and whole licence texts. A unit of text is normalised to lower-case words. Two units with ``a`` and ``b`` distinct bigrams
 have ``2 c / (a + b)`` of ``c`` in common, at most ``2 min / (a + b)``: templates whose size rules
 out the threshold are not compared, and units without any word that a match needs are not read
-further. Runs of lines are looked at only in texts that hold enough of a template's bigrams.
+further. Texts that hold too few bigrams of all templates together are dropped first; lines, runs
+of lines and whole texts are then read from the few that are left.
 Built-in functions only, and no shuffle.
 """
 
@@ -17,6 +18,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import written
+
 #: Usual notices and short texts of public licences.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -71,10 +74,12 @@ def bound(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
+def pairs_of(words: Column) -> Column:
+    return F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
+
+
 def bigrams_of(words: Column) -> Column:
-    return F.array_distinct(
-        F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
-    )
+    return F.array_distinct(pairs_of(words))
 
 
 def template_bigrams(templates: dict[str, str]) -> dict[str, list[str]]:
@@ -119,6 +124,11 @@ def necessary_words(known: dict[str, list[str]], least: float) -> list[str]:
     return chosen
 
 
+def _need(known: dict[str, list[str]], least: float) -> dict[str, int]:
+    """How many bigrams of each template a unit shares that reaches ``least`` with it."""
+    return {name: math.ceil(len(own) * least / (2 - least) - 1e-9) for name, own in known.items()}
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """``(id, line, last, licence, dice)``: units and their most similar template, if ``least`` or more.
 
@@ -136,7 +146,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         return reduce(lambda x, y: x | y, (F.contains(low_text, F.lit(w)) for w in words))
 
     texts = bound(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "low", F.lower("text"))
-    texts = bound(texts.where(hopeful(F.col("low"))).select("id", "low"), "lines", F.split("low", "\n", -1))
+    texts = bound(texts.where(hopeful(F.col("low"))).select("id", "low"), "words", words_of(F.col("low"))).select("id", "low", "words")
+    # a unit that reaches ``least`` holds so many bigrams of its template, and the text holds those of its units
+    every = sorted({b for own in known.values() for b in own})
+    held = F.array_distinct(F.filter(pairs_of(F.col("words")), lambda b: b.isin(every)))
+    texts = bound(texts, "held", held).where(F.size("held") >= min(_need(known, least).values())).select("id", "low", "held")
+    texts = bound(written(texts, "hopeful"), "lines", F.split("low", "\n", -1))
     runs = _runs(texts, templates, known, least)
     whole = F.when(F.size("lines") > 1, F.array("low")).otherwise(F.array(F.lit(None).cast("string")))
     units = texts.select("id", F.posexplode_outer(F.concat(whole, "lines")).alias("line", "unit"))
@@ -160,7 +175,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
 
 
 def _runs(texts: DataFrame, templates: dict[str, str], known: dict[str, list[str]], least: float) -> DataFrame:
-    """``(id, line, last, licence, dice)`` of runs of several consecutive lines in ``(id, low, lines)``.
+    """``(id, line, last, licence, dice)`` of runs of several consecutive lines in ``(id, lines, held)``.
 
     A run has at most ``(2 - least) / least`` times the words of the template. Each line that
     begins one of the template's bigrams starts a run, up to the last line that gives the greatest
@@ -169,12 +184,9 @@ def _runs(texts: DataFrame, templates: dict[str, str], known: dict[str, list[str
     overlap one taken before. Of those taken, single lines and the whole text are units of their own.
     """
     names = sorted(known)
-    need = [math.ceil(len(known[n]) * least / (2 - least) - 1e-9) for n in names]
+    need = [_need(known, least)[n] for n in names]
     longest = [math.floor(len(re.findall(r"[a-z0-9]+", templates[n].lower())) * (2 - least) / least + 1e-9) for n in names]
-    texts = bound(texts.where(F.size("lines") > 1).select("id", "low", "lines"), "words", words_of(F.col("low"))).select("id", "lines", "words")
-    # a run that reaches ``least`` holds ``need`` bigrams of the template, and so does the text
-    held = F.array_intersect(bigrams_of(F.col("words")), listed(sorted({b for own in known.values() for b in own})))
-    texts = bound(texts, "held", held).where(F.size("held") >= min(need)).select("id", "lines", "held")
+    texts = texts.where(F.size("lines") > 1).select("id", "lines", "held")
     fits = [
         F.when((F.size("held") >= n) & (F.size(F.array_intersect("held", listed(known[name]))) >= n), F.lit(k))
         for k, (name, n) in enumerate(zip(names, need, strict=True), 1)
