@@ -9,7 +9,7 @@ shard gets its exact number of draws and a random mix of sources. A shard takes
 each source's permuted blocks, disjoint from all others, and orders its documents by a hash.
 
 Documents are only counted and hashed; the tree and the quotas work on blocks, of which there are
-at most ``BLOCKS`` and one per source, whatever the size of the input. All of it is built-in
+at most ``BLOCKS``, or four a shard if that is more, and one per source. All of it is built-in
 functions. The same input gives the same mix, in any order and partitioning.
 """
 
@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import WORD, unused, written
+from tidemark.llm.shared import WORD, n_buckets, unused, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -28,6 +28,8 @@ MOST = 2
 BLOCK_WORDS = 1 << 14
 BLOCKS = 1 << 14
 SHARD_WORDS = 1 << 24
+#: Words that a task of the final order gets: a shard is cut at quantiles of its order.
+PART_WORDS = 1 << 20
 
 
 def words_in(text: Column) -> Column:
@@ -113,7 +115,9 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     """
     quota = F.sort_array(F.collect_list(F.struct("place", F.col("n").cast("long").alias("n"))))
     nodes = quotas.agg(quota.alias("own")).select(F.lit(0).alias("low"), F.lit(shards).alias("high"), "own")
-    for _ in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
+    for level in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
+        if level in (6, 12):  # enough nodes for many tasks
+            nodes = nodes.repartition("low")
         mid = F.ceil((F.col("low") + F.col("high")) / 2).cast("int")
         total = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + x["n"])
         half = F.floor(total * (mid - F.col("low")) / (F.col("high") - F.col("low")) + F.lit(0.5)).cast("long")
@@ -147,8 +151,9 @@ def _plan(sizes: DataFrame, weights, share, most, shard_words: int, seed: int) -
     """
     sources = written(source_targets(sizes, weights, share, most), "sources")
     everything = sources.agg(F.sum("source_size"), F.sum("target")).first()
-    block_words = max(BLOCK_WORDS, -(-(everything[0] or 0) // BLOCKS))
     shards = max(1, math.ceil((everything[1] or 0) / shard_words))
+    # blocks stay well below shards however many there are
+    block_words = max(BLOCK_WORDS, -(-(everything[0] or 0) // max(BLOCKS, 4 * shards)))
     sources = sources.withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long"))
     sources = sources.withColumn("taking", F.round("target").cast("long"))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("taking") / F.col("source_size"))).otherwise(0).cast("long")
@@ -223,10 +228,11 @@ def _apply(sized: DataFrame, plan: DataFrame, names: list[str], id_col: str, sou
     return plain.unionByName(edge)
 
 
-def drawn(mixed: DataFrame, names: list[str], text_col: str = "text", id_col: str = "doc_id", draws: str = "draws", size: str = "size", seed: int = 0) -> DataFrame:
+def drawn(mixed: DataFrame, names: list[str], text_col: str = "text", id_col: str = "doc_id", draws: str = "draws", size: str = "size", shard_words: int = SHARD_WORDS, seed: int = 0) -> DataFrame:
     """The mix itself: a row of ``names`` per draw, shard by shard, each in the order of a hash.
 
-    A draw in part keeps the first words of the text with the white space around them.
+    A shard's order is cut into equal ranges of its hash, so a task sorts about ``PART_WORDS``
+    words and no whole shard. A draw in part keeps the first words of the text with the white space around them.
     """
     taken = mixed.columns
     one, at, key = (unused(taken, n) for n in ("_draw", "_at", "_key"))
@@ -234,6 +240,8 @@ def drawn(mixed: DataFrame, names: list[str], text_col: str = "text", id_col: st
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col(one)["words"].cast("int")), "")
     text = F.when(F.col(one)["words"] < F.col(size), cut).otherwise(F.col(text_col))
     rows = rows.withColumn(text_col, text).withColumn(key, _hash32(F.lit(seed), F.lit("order"), F.col(one)["shard"], F.col(id_col), F.col(at)))
-    shard = unused([*taken, one, at, key], "_shard")
-    rows = rows.withColumn(shard, F.col(one)["shard"]).repartition(F.col(shard)).sortWithinPartitions(shard, key)
+    shard, part = unused([*taken, one, at, key], "_shard"), unused([*taken, one, at, key], "_part")
+    parts = max(1, shard_words // PART_WORDS)
+    rows = rows.withColumn(shard, F.col(one)["shard"]).withColumn(part, F.floor(F.col(key) * parts / float(1 << 32)))
+    rows = rows.repartition(n_buckets(rows.sparkSession), shard, part).sortWithinPartitions(shard, key)
     return rows.select(*names)
