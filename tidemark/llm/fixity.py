@@ -63,8 +63,9 @@ def audit(primary: DataFrame, replica: DataFrame, width: int = WIDTH) -> DataFra
     """``(file, offset, n_bytes, page_id, status)`` of the records that differ.
 
     Both are ``(file, offset, n_bytes, page_id, hash)``. ``status`` is ``changed``, ``missing``
-    from the replica or ``extra`` in it. Several records at one offset are compared together by
-    their smallest hash. Equal or empty tables give no rows.
+    from the replica or ``extra`` in it. Several records at one offset are compared as a multiset of
+    hashes: those of one side alone are paired in the order of their hashes, and what is left over
+    is missing or extra. Equal or empty tables give no rows.
     """
     last = primary.agg(F.max("offset")).unionByName(replica.agg(F.max("offset"))).agg(F.max("max(offset)")).first()[0] or 0
     levels = 1 + max(0, math.ceil(math.log(last // width + 1, FANOUT) - 1e-9))
@@ -82,11 +83,19 @@ def audit(primary: DataFrame, replica: DataFrame, width: int = WIDTH) -> DataFra
             sides = [s.withColumn("parent", F.floor(F.col("node") / FANOUT)).join(above, ["file", "parent"], "left_semi").drop("parent") for s in sides]
         wrong = written(differing(*sides), "wrong")
     opened = [r.withColumn("node", F.floor(F.col("offset") / width)).join(wrong, ["file", "node"], "left_semi") for r in (primary, replica)]
-    p, r = (x.groupBy("file", "offset").agg(F.min_by("n_bytes", "hash").alias("n"), F.min_by("page_id", "hash").alias("id"), F.min("hash").alias("hash")) for x in opened)
-    both = p.join(r.select("file", "offset", F.col("n").alias("r_n"), F.col("id").alias("r_id"), F.col("hash").alias("r_hash")), ["file", "offset"], "full_outer")
-    status = F.when(F.col("r_hash").isNull(), "missing").when(F.col("hash").isNull(), "extra").when(F.col("hash") != F.col("r_hash"), "changed")
-    out = both.select("file", "offset", F.coalesce("n", "r_n").alias("n_bytes"), F.coalesce("id", "r_id").alias("page_id"), status.alias("status"))
-    return out.where("status is not null")
+    alike = Window.partitionBy("file", "offset", "hash").orderBy("n_bytes", "page_id")
+    p, r = (x.withColumn("copy", F.row_number().over(alike)) for x in opened)
+    place = Window.partitionBy("file", "offset").orderBy("hash", "copy")
+
+    def alone(a: DataFrame, b: DataFrame) -> DataFrame:
+        """Records of ``a`` that ``b`` lacks, numbered per offset."""
+        own = a.join(b, ["file", "offset", "hash", "copy"], "left_anti")
+        return own.select("file", "offset", F.row_number().over(place).alias("place"), F.struct("n_bytes", "page_id").alias("record"))
+
+    both = alone(p, r).join(alone(r, p).withColumnRenamed("record", "other"), ["file", "offset", "place"], "full_outer")
+    status = F.when(F.col("other").isNull(), "missing").when(F.col("record").isNull(), "extra").otherwise("changed")
+    shown = F.coalesce("record", "other")
+    return both.select("file", "offset", shown["n_bytes"].alias("n_bytes"), shown["page_id"].alias("page_id"), status.alias("status"))
 
 
 def damaged(pages: DataFrame) -> DataFrame:
