@@ -12,6 +12,7 @@ Texts are known to the index by a hash, so copies are indexed once; a collision
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,10 +53,15 @@ def build_index(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Postings ``(trigram, key)`` of the trigrams in the rules' queries, sorted, on shared files."""
     wanted = sorted({t for r in rules for clause in query(r.pattern) for option in clause for t in option})
     low = texts.where("text is not null").select(F.xxhash64("text").alias("key"), F.lower("text").alias("low"))
-    present = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in wanted), F.lit(None).cast("string")))
-    # distinct comes before explode: a text that a third of all rows hold is one row per map task
-    rows = low.select("key", present.alias("present")).where(F.size("present") > 0).groupBy("key").agg(F.first("present").alias("present"))
-    postings = rows.select(F.explode("present").alias("trigram"), "key")
+    places = {t: (f"held_{k // 62}", 1 << (k % 62)) for k, t in enumerate(wanted)}
+    masks = sorted({m for m, _ in places.values()})
+    bits = {m: [F.when(F.contains("low", F.lit(t)), F.lit(bit)).otherwise(F.lit(0)).cast("long") for t, (own, bit) in places.items() if own == m] for m in masks}
+    held = low.select("key", *(reduce(lambda x, y: x.bitwiseOR(y), own).alias(m) for m, own in bits.items()))
+    # a text that a third of all rows hold is one row per map task; texts whose keys collide join their trigrams
+    some = reduce(lambda x, y: x | y, (F.col(m) != 0 for m in masks), F.lit(False))
+    rows = held.where(some).groupBy("key").agg(*(F.bit_or(m).alias(m) for m in masks))
+    present = F.array_compact(F.array(*(F.when(F.col(m).bitwiseAND(F.lit(bit)) != 0, F.lit(t)) for t, (m, bit) in places.items()), F.lit(None).cast("string")))
+    postings = rows.select(F.explode(present).alias("trigram"), "key")
     spread = n_buckets(texts.sparkSession, 1)
     return written(postings.repartition(spread, "trigram", F.pmod("key", F.lit(spread))).sortWithinPartitions("trigram", "key"), "postings")
 
