@@ -10,6 +10,7 @@ length together.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,8 +26,9 @@ UNDETERMINED = "und"
 #: Labelled documents per language that the model is fitted on, by a hash of their id.
 SAMPLE = 2000
 ROUNDS = 3
-LONGEST = 8  # letters of a piece, its word mark included
-PART = 48  # a longer word is scored in parts of so many letters
+PART = 48  # a longer word teaches in parts of so many letters; it is scored whole
+_CELLS = 1 << 19  # letters of the words that are scored at once
+_SMALL = 1e-100  # sums below this are scaled up
 _MARK = "▁"  # begins a word in the vocabulary
 _UNKNOWN = 1e-9  # probability of a letter that no piece covers
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -45,7 +47,8 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         texts = {model.id_to_piece(k) for k in range(model.get_piece_size())}
-        texts = {t for t in texts if len(t) <= LONGEST and t.replace(_MARK, "").isalpha() and _MARK not in t[1:]} | {_MARK}
+        texts = {t for t in texts if t.removeprefix(_MARK) and all(unicodedata.category(c)[0] in "LM" for c in t.removeprefix(_MARK))} | {_MARK}
+        self.longest = max(map(len, texts))  # letters of a piece, its word mark included
         hashes = []
         for t in sorted(texts):
             h = np.zeros(1, dtype=np.uint64)
@@ -63,7 +66,7 @@ class Pieces:
         No piece is ``len(self) + 1``; a single letter that is no piece is ``len(self)``.
         """
         out, h = [], np.zeros(codes.shape, dtype=np.uint64)
-        for k in range(1, min(LONGEST, codes.shape[1]) + 1):
+        for k in range(1, min(self.longest, codes.shape[1]) + 1):
             h = _extend(h[:, : codes.shape[1] - k + 1], codes[:, k - 1 :])
             at = np.minimum(np.searchsorted(self.hashes, h), len(self) - 1)
             out.append(np.where(self.hashes[at] == h, at, len(self) + (k > 1)))
@@ -77,8 +80,9 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if w:
             places.setdefault(len(w) + 1, []).append(k)
     for n, own in places.items():
-        for low in range(0, len(own), 50_000):
-            some = own[low : low + 50_000]
+        step = max(1, _CELLS // n)
+        for low in range(0, len(own), step):
+            some = own[low : low + step]
             text = "".join(_MARK + words[k] for k in some)
             yield np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).reshape(len(some), n).astype(np.uint64), np.array(some)
 
@@ -94,6 +98,28 @@ def forward(numbers: list[np.ndarray], p: np.ndarray) -> np.ndarray:
     return a
 
 
+def log_forward(numbers: list[np.ndarray], p: np.ndarray) -> np.ndarray:
+    """``[word, language]``: the log of the summed probability of whole words, however long.
+
+    Only the sums that the longest piece reaches back to are kept, and scaled up when they get small.
+    """
+    rows, n = numbers[0].shape
+    reach = len(numbers)
+    a = np.zeros((reach + 1, rows, p.shape[1]))
+    a[0] = 1
+    scaled = np.zeros((rows, p.shape[1]))
+    for j in range(1, n + 1):
+        now = np.zeros((rows, p.shape[1]))
+        for k in range(1, min(j, reach) + 1):
+            now += a[(j - k) % (reach + 1)] * p[numbers[k - 1][:, j - k]]
+        a[j % (reach + 1)] = now
+        small = now < _SMALL
+        if small.any():
+            a[:, small] /= _SMALL
+            scaled[small] += np.log(_SMALL)
+    return np.log(a[n % (reach + 1)]) + scaled
+
+
 def expected(numbers: list[np.ndarray], p: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """How often each language uses each piece, over ``weights[word, language]`` words."""
     a = forward(numbers, p)
@@ -142,19 +168,16 @@ class Model:
 
     def score_words(self, pieces: Pieces, words: list[str]) -> np.ndarray:
         """Log probability ``[word, language]``; 0 for an empty word."""
-        parts, home = parts_of(words)
-        out = np.zeros((len(parts), len(self.languages)))
-        for codes, places in by_length(parts):
-            out[places] = np.log(np.maximum(forward(pieces.numbers(codes), self.p)[-1], 1e-300))
-        if len(parts) == len(words):
-            return out
-        return np.stack([np.bincount(home, out[:, m], minlength=len(words)) for m in range(out.shape[1])], axis=1)
+        out = np.zeros((len(words), len(self.languages)))
+        for codes, places in by_length(words):
+            out[places] = log_forward(pieces.numbers(codes), self.p)
+        return out
 
     def predict(self, pieces: Pieces, texts: pa.Array) -> tuple[list[str], list[float]]:
         """Language and its share of the summed probability, for each text."""
         words, which, bounds = word_codes(texts)
         n, languages = len(bounds) - 1, len(self.languages)
-        filled = np.array([bool(w) for w in words], dtype=bool)
+        filled = pc.match_substring_regex(pa.array(words, pa.string()), r"\p{L}").to_numpy(zero_copy_only=False)
         home = np.repeat(np.arange(n), np.diff(bounds))
         letters = np.bincount(home, filled[which] if len(words) else None, minlength=n) > 0 if len(which) else np.zeros(n, dtype=bool)
         if not languages or not len(which):
