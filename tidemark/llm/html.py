@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import slices, small_batches, unused, written
 
 _TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -39,15 +39,21 @@ _CLOSES = {
 }
 _KEEPS_P = frozenset("button td th caption".split())
 _SCOPE = frozenset("ul ol dl table select".split())
-#: Elements, roles and words in class or id of what isn't the article.
+#: Elements and roles of what isn't the article, and words in class or id that speak for it.
 _ASIDE_TAGS = frozenset("nav header footer aside form menu dialog button search head fieldset label".split())
 _ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 _ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner nav navbar navigation menu "
-    "breadcrumb breadcrumbs sidebar sidebars aside widget widgets footer header masthead topbar cookie cookies consent gdpr notice notices "
-    "alert popup modal overlay newsletter subscribe subscription signup login register comment comments disqus respond reply replies "
-    "commentlist share sharing social related recommended pagination pager toolbar form search".split()
+    "breadcrumb breadcrumbs sidebar sidebars aside footer header masthead topbar cookie cookies consent gdpr notice notices "
+    "alert popup modal overlay newsletter subscribe subscription signup login toolbar".split()
 )
+#: Readers' comments are no article however long they are.
+_COMMENT_WORDS = frozenset("comment comments disqus respond commentlist".split())
+#: Words of articles too: what they name is left out if it is mostly links.
+_WEAK_WORDS = frozenset("widget widgets register reply replies share sharing social related recommended pagination pager form search".split())
+#: Elements that may hold a whole page.
+_WRAPPING_TAGS = frozenset("form fieldset label".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _MAIN = frozenset(("article", "main"))
 _ROOTS = frozenset(("#", "html", "body"))
 #: Below the body, these are parts of the page; anything else is text of the body itself.
@@ -55,16 +61,19 @@ _PARTS = frozenset("div section center".split())
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _LEAST_SHARE = 0.7
+_NONE, _WEAK, _DOUBTFUL, _OWN_HEADER, _FIRM = range(5)
 
 
 class Page:
     """Elements in page order, and blocks of text with the element that holds each."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.aside = [-1], ["#"], [""], [False]
+        self.parent, self.tag, self.path = [-1], ["#"], [""]
+        self.sign = [_NONE]  # how sure it is that an element isn't the article
+        self.aside = [False]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters outside links
         self._read(source)
-        self._spare_wrappers()
+        self._settle()
 
     def _read(self, source: str) -> None:
         stack, buffer, links, plain = [0], [], 0, 0
@@ -91,8 +100,6 @@ class Page:
             at = found.end()
             name = found[2] or found[5]
             if name is None:
-                if found[0].startswith("<![CDATA["):
-                    buffer.append(entities.escape(found[0][9:].removesuffix("]]>"), quote=False))
                 continue
             name, closing, attributes = name.lower(), found[1] or found[4], found[3] or found[6] or ""
             if name in _BLOCKS:
@@ -151,32 +158,66 @@ class Page:
             self.parent.append(stack[-1])
             self.tag.append(name)
             self.path.append(self.path[stack[-1]])
-            self.aside.append(False)
+            self.sign.append(_NONE)
             stack.append(len(self.tag) - 1)
             return
         own = {}
         if attributes.strip(" /"):
             for key, *values in _ATTRIBUTE.findall(attributes):
                 own.setdefault(key.lower(), next((v for v in values if v), ""))
-        words = {w.lower() for key in ("class", "id") for w in _WORDS.findall(own.get(key, ""))}
-        aside = name in _ASIDE_TAGS or own.get("role", "").lower() in _ASIDE_ROLES or (name not in ("html", "body") and not words.isdisjoint(_ASIDE_WORDS))
+        sign = _FIRM if own.get("role", "").lower() in _ASIDE_ROLES or (name in _ASIDE_TAGS and name not in _WRAPPING_TAGS) else _NONE
+        if sign == _NONE and name not in ("html", "body"):
+            sign = max([_DOUBTFUL if name in _WRAPPING_TAGS else _NONE, *(self._said(n) for key in ("class", "id") for n in own.get(key, "").split())])
         classes = sorted({_DIGITS.sub("#", c) for c in own.get("class", "").split()})
         self.parent.append(stack[-1])
         self.tag.append(name)
         self.path.append(self.path[stack[-1]] + ">" + ".".join([name, *classes]))
-        self.aside.append(aside and name not in _MAIN)
+        self.sign.append(_NONE if name in _MAIN else sign)
         stack.append(len(self.tag) - 1)
 
-    def _spare_wrappers(self) -> None:
-        """What holds an article or the main part is a wrapper, whatever it is called."""
+    @staticmethod
+    def _said(name: str) -> int:
+        """What a class or id says: its words count if they are half of it at least."""
+        words = [w.lower() for w in _WORDS.findall(name)]
+        for known, sign in ((_COMMENT_WORDS, _FIRM), (_ASIDE_WORDS, _DOUBTFUL), (_WEAK_WORDS, _WEAK)):
+            if words and 2 * sum(w in known for w in words) >= len(words):
+                return sign
+        return _NONE
+
+    def _settle(self) -> None:
+        """Decide what isn't the article.
+
+        What holds an article or the main part is a wrapper, whatever it is called. On a page with
+        neither, what holds most of the plain text is no aside, unless an element or a role says so.
+        Weak words count only where most of the text is links. Of an article's own header the headings stay.
+        """
+        inside = [False] * len(self.tag)
         for k, tag in enumerate(self.tag):
+            inside[k] = tag in _MAIN or (k > 0 and inside[self.parent[k]])
             if tag in _MAIN:
                 up = self.parent[k]
                 while up > 0 and not (self.tag[up] in _ASIDE_TAGS and self.tag[up] != "form"):
-                    self.aside[up] = False
+                    self.sign[up] = _NONE
                     up = self.parent[up]
+        plain, total = [0] * len(self.tag), [0] * len(self.tag)
+        for element, text, own in self.blocks:
+            plain[element] += min(own, len(text))
+            total[element] += len(text)
+        for k in range(len(self.tag) - 1, 0, -1):
+            plain[self.parent[k]] += plain[k]
+            total[self.parent[k]] += total[k]
+        whole = not any(inside)
+        state = [_NONE] * len(self.tag)
         for k in range(1, len(self.tag)):
-            self.aside[k] = self.aside[k] or self.aside[self.parent[k]]
+            sign, above = self.sign[k], state[self.parent[k]]
+            if sign == _WEAK:
+                sign = _NONE if 2 * plain[k] >= total[k] else _FIRM
+            elif sign == _DOUBTFUL:
+                sign = _NONE if whole and 2 * plain[k] > plain[0] else _FIRM
+            elif self.tag[k] == "header" and inside[k]:
+                sign = _OWN_HEADER
+            state[k] = _NONE if above == _OWN_HEADER and sign == _NONE and self.tag[k] in _HEADINGS else max(sign, above)
+        self.aside = [s != _NONE for s in state]
 
     def best(self) -> int:
         """The article or main part, else the outermost container, around the deepest element with most of the plain text.
