@@ -10,31 +10,34 @@ from tidemark.functions.text import instant
 from tidemark.operators.envelope import envelope, serialize_cells
 from tidemark.sources.entities import EDGE_TYPE
 
-ID = "f55c66dc-7881-55c9-889f-344992e71cb8"
-STREAM = "3f2b1c9a-0d7e-4a56-9a59-8a1f6d0c2b11"
-PROVIDER = "c444cda8-d9b5-45cc-a82d-fef28e08d55c"
-CODE_VALUE = "7c5591cf-861a-4642-861d-3b02485854a0"
-CODE = f"/Person#Acceptance:{CODE_VALUE}"
-NOW = dt.datetime(2024, 8, 20, 22, 16)
+ID = "0b9e4a57-52c1-4f08-8d33-6f1ce2a97a10"
+STREAM = "9d0c6e3b-7a14-4c5e-b1f2-2a8840d1735e"
+PROVIDER = "61f7a2d8-04be-4e9a-9c67-d5b0318ce42f"
+CODE_VALUE = "IMO-7712903"
+CODE = f"/Vessel#Registry:{CODE_VALUE}"
+NOW = dt.datetime(2025, 11, 3, 14, 5)
 VOCABULARY = {
-    "user.lastName": "Picard",
-    "user.age": "123",
-    "user.dobInDateTime": "2000-01-02T03:04:05",
-    "user.dobInDateTimeOffset": "2000-01-02T03:04:05+12:34",
+    "vessel.callSign": "MDN7",
+    "vessel.crew": "24",
+    "vessel.launched": "1998-06-07T08:09:10",
+    "vessel.refitted": "2019-03-04T05:06:07-02:30",
 }
-IN_EDGE = f"EdgeType: /EntityA; From: §C:{CODE}; To: §C:/EntityA#Somewhere:1234; Properties: 0"
-OUT_EDGE = f"EdgeType: /EntityB; From: §C:/EntityB#Somewhere:5678; To: §C:{CODE}; Properties: 0"
+OUT_KIND, IN_KIND = "/DocksAt", "/OwnedBy"
+PORT, OWNER = "/Port#Unlocode:NLRTM", "/Company#Ledger:88"
+IN_EDGE = f"EdgeType: {IN_KIND}; From: §C:{CODE}; To: §C:{OWNER}; Properties: 0"
+OUT_EDGE = f"EdgeType: {OUT_KIND}; From: §C:{PORT}; To: §C:{CODE}; Properties: 0"
+NAME = "Meridian of Delft"
 SYSTEM = {
     "Id": ID,
     "ContainerName": "test",
-    "EntityType": "/Person",
-    "Name": "Jean Luc Picard",
+    "EntityType": "/Vessel",
+    "Name": NAME,
     "OriginEntityCode": CODE,
-    "PersistHash": "etypzcezkiehwq8vw4oqog==",
+    "PersistHash": "kY3vQmB1tZpL0sXaWd9fHw==",
     "ProviderDefinitionId": PROVIDER,
-    "Timestamp": "2024-08-21T03:16:00.0000000+05:00",
+    "Timestamp": "2025-11-03T16:05:00.0000000+02:00",
 }
-EPOCH, VERSION = 1724192160000, 1
+EPOCH, VERSION = 1762178700000, 1
 
 _SCHEMA = f"""stream_id string, id string, change_type string, ts timestamp_ntz, seq bigint,
   persist_hash string, persist_version int, origin_entity_code string, entity_type string,
@@ -48,11 +51,11 @@ def _edge(kind, source, target):
 
 def entity(spark, change_type="Added", ts=NOW, seq=1, **properties):
     row = (
-        STREAM, ID, change_type, ts, seq, SYSTEM["PersistHash"], VERSION, CODE, "/Person",
-        {"Name": "Jean Luc Picard", **VOCABULARY, **properties},
-        [("/Person", "Acceptance", CODE_VALUE)],
-        [_edge("/EntityB", "/EntityB#Somewhere:5678", CODE)],
-        [_edge("/EntityA", CODE, "/EntityA#Somewhere:1234")],
+        STREAM, ID, change_type, ts, seq, SYSTEM["PersistHash"], VERSION, CODE, "/Vessel",
+        {"Name": NAME, **VOCABULARY, **properties},
+        [("/Vessel", "Registry", CODE_VALUE)],
+        [_edge(OUT_KIND, PORT, CODE)],
+        [_edge(IN_KIND, CODE, OWNER)],
     )
     return spark.createDataFrame([row], _SCHEMA)
 
@@ -61,8 +64,8 @@ def stored(entities):
     """The change as the store keeps it: cells are values or JSON text."""
     declared = dict.fromkeys(("Name", *VOCABULARY), "string")
     wide = envelope(
-        entities, declared, PROVIDER, "test", instant("2024-08-20 22:16:00"),
-        outgoing_edges=True, incoming_edges=True, offset="+05:00",
+        entities, declared, PROVIDER, "test", instant("2025-11-03 14:05:00"),
+        outgoing_edges=True, incoming_edges=True, offset="+02:00",
     )
     return serialize_cells(wide).withColumn("PersistVersion", F.col("PersistVersion").cast("int"))
 

@@ -57,7 +57,7 @@ def test_golden_row_as_json(spark, store, root, name):
         "Epoch": golden.EPOCH,
         "PersistVersion": golden.VERSION,
     }
-    assert edges["OutgoingEdges"][0]["EdgeType"] == {"Code": "/EntityB"}
+    assert edges["OutgoingEdges"][0]["EdgeType"] == {"Code": golden.OUT_KIND}
     assert edges["IncomingEdges"][0]["FromReference"]["Code"] == {"Key": golden.CODE}
 
 
@@ -76,7 +76,7 @@ def test_golden_row_as_parquet(spark, store, root, name, arrays):
         assert codes == [golden.CODE] and edges == [[golden.OUT_EDGE], [golden.IN_EDGE]]
     else:
         assert json.loads(codes) == [golden.CODE]
-        assert json.loads(edges[1])[0]["EdgeType"] == {"Code": "/EntityA"}
+        assert json.loads(edges[1])[0]["EdgeType"] == {"Code": golden.IN_KIND}
 
 
 @pytest.mark.parametrize("name", PROFILES)
@@ -94,9 +94,9 @@ def test_golden_row_as_csv(spark, store, root, name):
 
 def test_default_names(spark, store, root):
     azure = run_export(store, root, ExportProfile.azure(output_format="parquet"), STREAM, golden.NOW)
-    assert azure.file_name == f"{golden.STREAM}_20240820221600.parquet"
+    assert azure.file_name == f"{golden.STREAM}_20251103140500.parquet"
     lake = run_export(store, root, ExportProfile.onelake(output_format="parquet"), STREAM, golden.NOW)
-    assert lake.file_name == f"{golden.STREAM.replace('-', '')}_20240820221600.parquet"
+    assert lake.file_name == f"{golden.STREAM.replace('-', '')}_20251103140500.parquet"
 
 
 def test_scheduled_run_at_the_same_time_is_skipped(spark, store, root):
@@ -165,7 +165,7 @@ def test_mirror_counts_files_and_marks_rows(spark, store, root):
     store.append(golden.stored(gone), 2)
     third = run_delta(store, root, profile, STREAM, LATER + dt.timedelta(hours=3))
     (row,) = mirror_rows(spark, third)
-    assert row["__rowMarker__"] == "2" and row["Name"] == "Jean Luc Picard"
+    assert row["__rowMarker__"] == "2" and row["Name"] == golden.NAME
     assert third.file_name == "00000000000000000003.parquet"
 
 
@@ -194,7 +194,7 @@ def test_table_is_loaded_after_the_export(spark, store, root):
     name = "loaded_" + uuid.uuid4().hex
     profile = ExportProfile.onelake(output_format="parquet", load_table=True, table_name=name)
     run_export(store, root, profile, STREAM, golden.NOW)
-    assert spark.table(name).select("user_age").first()[0] == "123"
+    assert spark.table(name).select("vessel_crew").first()[0] == "24"
 
 
 def test_hooks_change_an_export(spark, store, root):
@@ -234,12 +234,12 @@ def test_store_refuses_or_adopts_new_columns(spark):
     rows = golden.stored(golden.entity(spark))
     path = scratch_path(spark, "store")
     ChangeStore(spark, path).append(rows, 0)
-    wider = rows.withColumn("user.new", F.lit("x")).withColumn("seq", F.lit(9).cast("bigint"))
-    with pytest.raises(ValueError, match="user.new"):
+    wider = rows.withColumn("vessel.new", F.lit("x")).withColumn("seq", F.lit(9).cast("bigint"))
+    with pytest.raises(ValueError, match="vessel.new"):
         ChangeStore(spark, path).append(wider, 1)
     grown = ChangeStore(spark, path, mode="evolve")
     grown.append(wider, 1)
-    values = {r["seq"]: r["user.new"] for r in grown.log().collect()}
+    values = {r["seq"]: r["vessel.new"] for r in grown.log().collect()}
     assert values == {1: None, 9: "x"}
 
 

@@ -18,6 +18,7 @@ from tidemark.catalog.sql import (
     LINEITEM,
     LINEITEM_PAYLOAD,
     hard_versions,
+    micros,
     soft_versions,
     stream,
 )
@@ -26,13 +27,15 @@ from tidemark.operators import shape
 from tidemark.operators.batches import event_batches, idle_batches
 from tidemark.operators.envelope import serialize_cells
 from tidemark.plans.export import Stream, load_table, run_delta, run_export
+from tidemark.plans.exports import run_exports
+from tidemark.plans.history import VersionHistory
 from tidemark.plans.profiles import ExportProfile
 from tidemark.plans.store import ChangeStore
 from tidemark.session import scratch_path
 from tidemark.sinks import documents, writers
 from tidemark.sinks.publish import publish
 from tidemark.sources import files
-from tidemark.sources.change_logs import events_log, lineitem_log, stream_id, table
+from tidemark.sources.change_logs import LOG_STREAMS, events_log, lineitem_log, stream_guid, stream_id, table
 
 HOUR_MILLIS = 3_600_000
 
@@ -76,6 +79,98 @@ def b7_compacted_versions(spark, folder):
     return period_text(store.materialised_versions())
 
 
+#: Every third batch gives all columns, the others lack some.
+LACKING = {0: (), 1: ("tax", "linestatus"), 2: ("quantity",)}
+
+
+def _patched_store(spark, folder) -> ChangeStore:
+    log = lineitem_log(spark, folder)
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    for batch_id, lacking in LACKING.items():
+        store.append(log.where(F.col("seq") % 3 == batch_id).drop(*lacking), batch_id)
+    return store
+
+
+def _patched_sql(soft: bool) -> str:
+    """``whole``: the log with each absent column's last value; a hard delete forgets it."""
+    cells = []
+    for c in LINEITEM_PAYLOAD:
+        absent = [str(k) for k, lacking in LACKING.items() if c in lacking]
+        given = f"seq % 3 NOT IN ({', '.join(absent)})" if absent else "true"
+        gone = "" if soft else f"WHEN change_type = 'Removed' THEN struct_pack(v := CASE WHEN false THEN {c} END) "
+        cell = f"CASE {gone}WHEN change_type <> 'Removed' AND {given} THEN struct_pack(v := {c}) END"
+        cells.append(f"(last_value({cell} IGNORE NULLS) OVER so_far).v AS {c}")
+    return f"""whole AS (SELECT stream_id, id, change_type, ts, seq, {", ".join(cells)} FROM li
+      WINDOW so_far AS (PARTITION BY stream_id, id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+@query("b7_patched_store", f"""WITH {LINEITEM}, {_patched_sql(True)}, {soft_versions('whole', LINEITEM_PAYLOAD)} {_version_sql(LI_COLS)}""")
+def b7_patched_store(spark, folder):
+    """The history of batches that lack columns: a column keeps its value where it isn't given."""
+    return period_text(_patched_store(spark, folder).versions(soft=True))
+
+
+@query("b7_patched_hard", f"""WITH {LINEITEM}, {_patched_sql(False)}, {hard_versions('whole')} {_version_sql(LI_COLS)}""")
+def b7_patched_hard(spark, folder):
+    """The same with hard deletes, which forget all values."""
+    return period_text(_patched_store(spark, folder).versions())
+
+
+@query("c1_patched_snapshot", f"""WITH {LINEITEM}, {_patched_sql(False)}, {hard_versions('whole')}
+    SELECT stream_id, id, change_type, valid_from AS ts, seq, {LI_COLS} FROM ver
+    WHERE valid_from <= TIMESTAMP '{LI_T}' AND TIMESTAMP '{LI_T}' < valid_to""")
+def c1_patched_snapshot(spark, folder):
+    return _patched_store(spark, folder).snapshot(instant(LI_T))
+
+
+@query("c2_patched_changes", f"""WITH {LINEITEM}, {_patched_sql(True)}, {soft_versions('whole', LINEITEM_PAYLOAD)}
+    SELECT stream_id, id, change_type, valid_from AS ts, seq, {LI_COLS} FROM ver
+    WHERE valid_from <= TIMESTAMP '{LI_T}' AND TIMESTAMP '{LI_T}' < valid_to AND valid_from > TIMESTAMP '{LI_LAST}'""")
+def c2_patched_changes(spark, folder):
+    return _patched_store(spark, folder).changes_since(instant(LI_T), instant(LI_LAST), soft=True)
+
+
+@query("b7_two_sources", f"""WITH {LINEITEM}, {hard_versions('li')}
+    SELECT CASE WHEN seq % 2 = 0 THEN 'even' ELSE 'odd' END AS source, stream_id, id, change_type, seq, {LI_COLS},
+      {{valid_from}} AS valid_from, {{valid_to}} AS valid_to FROM ver""".format(
+    valid_from=micros("valid_from"), valid_to=micros("valid_to")))
+def b7_two_sources(spark, folder):
+    """Two sources with the same batch numbers, one of them delivered twice; both are kept."""
+    log = lineitem_log(spark, folder)
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    for batch_id in range(2):
+        for n, source in enumerate(("even", "odd")):
+            store.append(log.where(F.col("seq") % 4 == n + 2 * batch_id), batch_id, source)
+    store.append(log.where("seq % 4 = 1"), 0, "odd")
+    source = F.when(F.col("seq") % 2 == 0, "even").otherwise("odd")
+    return period_text(store.versions()).withColumn("source", source)
+
+
+def _merged(spark, log, parts: list, soft: bool):
+    """The history of a store after merging each part of the log in turn."""
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    history = VersionHistory(store, soft)
+    for batch_id, part in enumerate(parts):
+        store.append(log.where(part), batch_id)
+        history.merge()
+    return period_text(history.versions())
+
+
+@query("b7_incremental_versions", f"WITH {LINEITEM}, {soft_versions('li', LINEITEM_PAYLOAD)} {_version_sql(LI_COLS)}")
+def b7_incremental_versions(spark, folder):
+    """Five batches in the order of time, merged one by one into the materialised history."""
+    bounds = ["1992-01-01", "1994-01-01", "1995-06-01", "1996-09-01", "1998-01-01", "9999-01-01"]
+    parts = [f"ts >= timestamp_ntz '{a}' and ts < timestamp_ntz '{b}'" for a, b in zip(bounds, bounds[1:], strict=False)]
+    parts[0] = f"ts < timestamp_ntz '{bounds[1]}'"
+    return _merged(spark, lineitem_log(spark, folder), parts, soft=True)
+
+
+@query("b7_late_versions", f"WITH {EVENTS}, {hard_versions('ev')} {_version_sql(EV_COLS)}")
+def b7_late_versions(spark, folder):
+    """Batches whose changes come in any order: entities with late changes are built anew."""
+    return _merged(spark, events_log(spark, folder), [f"seq % 3 = {k}" for k in (1, 2, 0)], soft=False)
+
+
 _ARCHIVED = stream("7")
 
 
@@ -328,6 +423,72 @@ def k2_run_export(spark, folder):
     return spark.read.parquet(result.path)
 
 
+@query("k2_patched_export", f"""WITH {LINEITEM}, {_patched_sql(False)}, {hard_versions('whole')}
+    SELECT id AS "Id", {LI_COLS} FROM ver WHERE stream_id = {stream('3')} AND valid_from <= TIMESTAMP '{LI_T}' AND TIMESTAMP '{LI_T}' < valid_to""")
+def k2_patched_export(spark, folder):
+    """An export of one stream of a store whose batches lack columns."""
+    root, profile = scratch_path(spark, "out"), ExportProfile.azure(output_format="parquet")
+    result = run_export(_patched_store(spark, folder), root, profile, Stream(stream_id(3), "orders"), _utc(LI_T), manual=True)
+    return spark.read.parquet(result.path)
+
+
+def _all_streams(spark, schedule: str = "Weekly", due: str | None = None):
+    """A control table of the log's streams, of which one is paused and one has a disabled provider."""
+    streams = spark.range(LOG_STREAMS).select(
+        stream_guid(F.col("id")).alias("stream_id"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("container_name"),
+        F.when(F.col("id") == 5, "Paused").otherwise("Started").alias("status"),
+        F.lit("Sync").alias("mode"),
+        F.lit(True).alias("cache_enabled"),
+        F.when(F.col("id") == 6, 2).otherwise(1).alias("provider_id"),
+        F.lit(schedule).alias("schedule"),
+        F.lit(due).cast("timestamp_ntz").alias("scheduled"),
+    )
+    providers = spark.createDataFrame([(1, True, _utc(LI_LAST)), (2, False, _utc(LI_LAST))], "provider_id int, is_enabled boolean, target_created_at timestamp_ntz")
+    return streams, providers
+
+
+def _exported(spark, root: str, outputs: str = "*"):
+    """Rows of the outputs below a root, with the name of their output."""
+    rows = spark.read.parquet(f"{root}/{outputs}")
+    return rows.withColumn("output", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+
+
+_NOT_EXPORTED = f"stream_id NOT IN ({stream('5')}, {stream('6')})"
+
+
+@query("k2_run_exports", f"""WITH {LINEITEM}, {hard_versions('li')}
+    SELECT stream_id || '_' || strftime(TIMESTAMP '{LI_T}', '%Y%m%d%H%M%S') || '.parquet' AS output, id AS "Id", {LI_COLS} FROM ver
+    WHERE valid_from <= TIMESTAMP '{LI_T}' AND TIMESTAMP '{LI_T}' < valid_to AND {_NOT_EXPORTED}""")
+def k2_run_exports(spark, folder):
+    """Scheduled exports of all streams in one run."""
+    store, root = _store(spark, lineitem_log(spark, folder)), scratch_path(spark, "out")
+    run_exports(store, root, ExportProfile.azure(output_format="parquet"), *_all_streams(spark, due=LI_T), _utc("1999-06-01 00:00:00"))
+    return _exported(spark, root)
+
+
+@query("k2_run_deltas", f"""WITH {LINEITEM}, {soft_versions('li', LINEITEM_PAYLOAD)}
+    SELECT '{"2".zfill(20)}.parquet' AS output, id AS "Id", {LI_COLS}, CASE change_type WHEN 'Removed' THEN '2' ELSE '4' END AS "__rowMarker__"
+    FROM ver WHERE {_DELTA_ROWS} AND {_NOT_EXPORTED}""")
+def k2_run_deltas(spark, folder):
+    """The second run over all mirrored streams carries what changed since the first."""
+    store, root = _store(spark, lineitem_log(spark, folder)), scratch_path(spark, "mirror")
+    for time in (LI_LAST, LI_T):
+        run_exports(store, root, ExportProfile.mirrored(), *_all_streams(spark, schedule="Never"), _utc(time))
+    return _exported(spark, root, f"*/{2:020d}.parquet")
+
+
+@query("k2_export_ledger", f"""WITH {LINEITEM}, {hard_versions('li')}
+    SELECT stream_id AS "StreamId", 'Weekly' AS "CronSchedule", 'Complete' AS "Status", count(*) AS "TotalRows" FROM ver
+    WHERE valid_from <= TIMESTAMP '{LI_T}' AND TIMESTAMP '{LI_T}' < valid_to AND {_NOT_EXPORTED} GROUP BY stream_id""")
+def k2_export_ledger(spark, folder):
+    """The ledger after two runs for the same instant: the second has nothing to do."""
+    store, root = _store(spark, lineitem_log(spark, folder)), scratch_path(spark, "out")
+    for _ in range(2):
+        run_exports(store, root, ExportProfile.azure(output_format="parquet"), *_all_streams(spark, due=LI_T), _utc("1999-06-01 00:00:00"))
+    return store.history().select("StreamId", "CronSchedule", "Status", "TotalRows")
+
+
 @query("i5_run_delta", f"""WITH {LINEITEM}, {soft_versions('li', LINEITEM_PAYLOAD)}
     SELECT id AS "Id", {LI_COLS}, CASE change_type WHEN 'Removed' THEN '2' ELSE '4' END AS "__rowMarker__"
     FROM ver WHERE {_DELTA_ROWS}""")

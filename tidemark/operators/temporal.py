@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import cols, field, null_safe_join
 from tidemark.operators.joins import join_lookup
 from tidemark.operators.ordered import SLICE_ROWS, Latest, running, with_slices
+from tidemark.operators.patches import SET, patched_changes_since, patched_state
 from tidemark.operators.state import STAMPED, current_state, position
 from tidemark.sources.change_logs import KEY, LOG_COLUMNS, ORDER, REMOVED, is_removed, payload_columns
 
@@ -34,8 +35,9 @@ def delta(ver: DataFrame, t: Column, last: Column) -> DataFrame:
 
 
 def snapshot(log: DataFrame, t: Column, soft: bool = False) -> DataFrame:
-    """State of every entity at ``t``, straight from the log."""
-    return current_state(log.where(F.col("ts") <= t), soft)
+    """State of every entity at ``t``, straight from the log, which may hold patches."""
+    until = log.where(F.col("ts") <= t)
+    return patched_state(until, soft) if SET in log.columns else current_state(until, soft)
 
 
 def changes_since(log: DataFrame, t: Column, last: Column, soft: bool = False) -> DataFrame:
@@ -43,8 +45,11 @@ def changes_since(log: DataFrame, t: Column, last: Column, soft: bool = False) -
 
     Only changes in ``(last, t]`` are read, except that a soft delete whose entity was
     not written in that window takes its payload from the older log. The few entities
-    concerned are found first, so the older log is filtered before it is shuffled.
+    concerned are found first, so the older log is filtered before it is shuffled. Patches need
+    the older changes of every entity that changed.
     """
+    if SET in log.columns:
+        return patched_changes_since(log, t, last, soft)
     recent = log.where((F.col("ts") > last) & (F.col("ts") <= t))
     if not soft:
         return current_state(recent)

@@ -182,7 +182,7 @@ def run_export(
         "ExporterHostName": socket.gethostname(),
     }
     store.record(entry)
-    log = store.log([stream.stream_id])
+    log = store.patches([stream.stream_id])
     last_time = None if last is None else _literal(last["DataTime"])
     rows = writers.prepare(export_rows(log, profile, _literal(data_time), last_time), profile)
     target = _target(directory, name)

@@ -2,8 +2,9 @@
 
 Layout under the root::
 
-    _state/00000001.json       schema, generation and compaction mark; highest number wins
-    changes-{generation}/stream_id=…/batch_id=…/
+    _state/00000001.json       schema, generation and compaction marks; highest number wins
+    _batches/{source}/         manifest: content and outcome of every batch of a source
+    changes-{generation}/stream_id=…/source=…/batch_id=…/
     rejected/batch_id=…/       changes that did not fit their stream
     known_keys/batch_id=…/     keys each stream was opened with
     closed/                    streams archived after a batch: their keys and rejects no longer count
@@ -11,15 +12,18 @@ Layout under the root::
     archive/{stream}_{time}/   archived streams
     ledger/                    export history entries
 
-A batch that is delivered twice replaces its own partitions, so appends are
-idempotent. One writer per store.
+Batches are numbered per source. The manifest holds a digest of each batch's content: a batch
+that was committed isn't written again, one that was interrupted is written anew, and other
+content under a known number is an error. A change is stored with the columns that its batch
+gave it, so that a column it lacks keeps its earlier value. One writer per store.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,20 +31,47 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import cols, quoted
 from tidemark.operators.envelope import known_keys, schema_guard
+from tidemark.operators import temporal
 from tidemark.operators.ledger import LEDGER_COLUMNS, LEDGER_SCHEMA, ledger_state
+from tidemark.operators.patches import SET, completed
 from tidemark.operators.versions import OPEN_END, versions
 from tidemark.sources import files
-from tidemark.sources.change_logs import ORDER
+from tidemark.sources.change_logs import LOG_COLUMNS, ORDER
 
 STRICT, EVOLVE = "strict", "evolve"
 
 
+#: The source of batches that name none.
+MAIN = "main"
+#: Beside the columns of the log: what the change sets (null: all there were) and how many columns there were.
+_OWN = (T.StructField(SET, T.ArrayType(T.StringType())), T.StructField("known", T.IntegerType()))
+_PLACE = (T.StructField("source", T.StringType()), T.StructField("batch_id", T.LongType()))
+
+
 @dataclass(frozen=True)
 class StoreState:
     schema: T.StructType
     generation: int = 0
-    #: Batches up to here were merged; delivering them again changes nothing.
-    compacted_to: int = -1
+    #: Per source: batches up to here were merged; delivering them again changes nothing.
+    compacted_to: dict[str, int] = field(default_factory=dict)
+    #: Whether some change doesn't set all columns.
+    partial: bool = False
+
+
+def digest(batch: DataFrame) -> dict:
+    """What a batch holds, whatever the order of its rows: their number and two sums of their hashes."""
+    columns = sorted(batch.schema.fields, key=lambda f: f.name)
+
+    def value(f: T.StructField) -> Column:
+        column = F.col(quoted(f.name))
+        if isinstance(f.dataType, T.MapType) and "map<" not in f.dataType.valueType.simpleString():
+            return F.array_sort(F.map_entries(column))
+        # maps inside have no hash
+        return F.to_json(F.struct(column)) if "map<" in f.dataType.simpleString() else column
+
+    key = F.xxhash64(F.lit(",".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)), *map(value, columns))
+    both = batch.select(key.alias("h")).agg(F.count("*"), F.bit_xor("h"), F.sum(F.pmod("h", F.lit((1 << 31) - 1)))).first()
+    return {"rows": both[0], "xor": both[1] or 0, "sum": both[2] or 0}
 
 
 class ChangeStore:
@@ -55,7 +86,7 @@ class ChangeStore:
             return None
         raw = files.read_json(self.spark, f"{self.path}/_state/{numbers[-1]}")
         schema = T.StructType.fromJson(raw["schema"])
-        return StoreState(schema, raw["generation"], raw["compacted_to"])
+        return StoreState(schema, raw["generation"], raw["compacted_to"], raw["partial"])
 
     def _save(self, state: StoreState) -> StoreState:
         numbers = files.names(self.spark, f"{self.path}/_state")
@@ -65,6 +96,7 @@ class ChangeStore:
                 "schema": state.schema.jsonValue(),
                 "generation": state.generation,
                 "compacted_to": state.compacted_to,
+                "partial": state.partial,
             }
         )
         target = f"{self.path}/_state/{number:08d}.json"
@@ -78,31 +110,60 @@ class ChangeStore:
     def _agree(self, batch: DataFrame) -> StoreState:
         """The state whose schema holds the batch; the first batch sets it."""
         state = self.state()
+        given = [f for f in batch.schema.fields if f.name != SET]
         if state is None:
-            fields = [T.StructField(f.name, f.dataType, True) for f in batch.schema.fields]
-            return self._save(StoreState(T.StructType(fields)))
+            fields = [T.StructField(f.name, f.dataType, True) for f in given]
+            return self._save(StoreState(T.StructType(fields), partial=SET in batch.columns))
         known = {f.name.lower() for f in state.schema.fields}
-        new = [f for f in batch.schema.fields if f.name.lower() not in known]
-        if not new:
-            return state
-        if self.mode == STRICT:
+        new = [f for f in given if f.name.lower() not in known]
+        if new and self.mode == STRICT:
             raise ValueError(f"Unknown columns: {', '.join(f.name for f in new)}")
         grown = T.StructType([*state.schema.fields, *(T.StructField(f.name, f.dataType, True) for f in new)])
-        return self._save(StoreState(grown, state.generation, state.compacted_to))
+        partial = state.partial or bool(new) or len(given) < len(grown) or SET in batch.columns
+        agreed = replace(state, schema=grown, partial=partial)
+        return state if agreed == state else self._save(agreed)
+
+    # Batches -----------------------------------------------------------------
+
+    def _entry(self, source: str, batch_id: int, outcome: str) -> str:
+        return f"{self.path}/_batches/{quote(source, safe='')}/{batch_id:020d}.{outcome}.json"
+
+    def _note(self, source: str, batch_id: int, outcome: str, digest: dict) -> None:
+        writing = f"{self.path}/_writing-batch.json"
+        files.write_text(self.spark, writing, json.dumps(digest))
+        files.rename(self.spark, writing, self._entry(source, batch_id, outcome))
+
+    def batches(self, source: str = MAIN) -> list[int]:
+        """The committed batches of a source."""
+        found = files.names(self.spark, f"{self.path}/_batches/{quote(source, safe='')}")
+        return [int(n.split(".")[0]) for n in found if n.endswith(".committed.json")]
+
+    def sources(self) -> list[str]:
+        return [unquote(n) for n in files.names(self.spark, f"{self.path}/_batches")]
 
     # Changes -----------------------------------------------------------------
 
-    def append(self, batch: DataFrame, batch_id: int) -> None:
-        """Add the changes of a batch.
+    def append(self, batch: DataFrame, batch_id: int, source: str = MAIN) -> None:
+        """Add the changes of a batch of a source.
 
-        A batch that was compacted already may be delivered again, as long as it holds no
-        change that the store lacks; a new change under its number is an error.
+        Columns of the store that the batch lacks keep their earlier values, as do those that a
+        row doesn't name in its ``set_columns``, if the batch has that array. A batch may be
+        delivered again with the same content, also after it was compacted; other content under
+        its number is an error.
         """
         state = self._agree(batch)
-        if batch_id <= state.compacted_to:
+        if batch_id <= state.compacted_to.get(source, -1):
             unknown = batch.join(self.log(), ["stream_id", "id", *ORDER], "left_anti")
             if not unknown.isEmpty():
-                raise ValueError(f"Batch {batch_id} is compacted (up to {state.compacted_to}) and holds new changes")
+                raise ValueError(f"Batch {batch_id} of {source} is compacted (up to {state.compacted_to[source]}) and holds new changes")
+            return
+        content = digest(batch)
+        begun = files.read_json(self.spark, self._entry(source, batch_id, "begun"))
+        if begun is None:
+            self._note(source, batch_id, "begun", content)
+        elif begun != content:
+            raise ValueError(f"Batch {batch_id} of {source} was delivered with other content")
+        elif files.exists(self.spark, self._entry(source, batch_id, "committed")):
             return
         present = {c.lower() for c in batch.columns}
         columns = [
@@ -111,8 +172,15 @@ class ChangeStore:
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in state.schema.fields
         ]
-        rows = batch.select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
+        given = [f.name for f in state.schema.fields if f.name.lower() in present and f.name not in LOG_COLUMNS]
+        every = F.array(*map(F.lit, given)).cast("array<string>")
+        whole = len(columns) == len([c for c in batch.columns if c != SET])
+        own = F.lit(None).cast("array<string>") if whole else every
+        if SET in batch.columns:
+            own = F.coalesce(F.array_intersect(F.col(SET), every), own)
+        rows = batch.select(*columns, own.alias(SET), F.lit(len(columns)).alias("known"), F.lit(source).alias("source"), F.lit(batch_id).cast("bigint").alias("batch_id"))
         self._write_changes(rows, state.generation)
+        self._note(source, batch_id, "committed", content)
 
     def _write_changes(self, rows: DataFrame, generation: int) -> None:
         """Files of a good size per stream: rebalancing splits large streams and joins small ones.
@@ -121,43 +189,71 @@ class ChangeStore:
         """
         (
             rows.hint("rebalance", "stream_id")
-            .sortWithinPartitions("stream_id", "batch_id", "id", *ORDER)
+            .sortWithinPartitions("stream_id", "source", "batch_id", "id", *ORDER)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("stream_id", "batch_id")
+            .partitionBy("stream_id", "source", "batch_id")
             .parquet(self._changes(generation))
         )
 
-    def log(self, streams: Sequence[str] | None = None) -> DataFrame:
-        """The change log; stream and column filters reach the scan."""
+    def stored(self) -> DataFrame:
+        """Every change with the columns it sets, its source and its batch."""
         state = self.state()
         if state is None:
             raise ValueError(f"No changes at {self.path}")
+        schema = T.StructType([*state.schema.fields, *_OWN, *_PLACE])
         path = self._changes(state.generation)
-        names = [f.name for f in state.schema.fields]
         if not files.exists(self.spark, path):
-            return self.spark.createDataFrame([], state.schema)
-        schema = T.StructType([*state.schema.fields, T.StructField("batch_id", T.LongType())])
-        log = self.spark.read.schema(schema).parquet(path).select(*cols(names))
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path).select(*cols(schema.names))
+
+    def log(self, streams: Sequence[str] | None = None) -> DataFrame:
+        """The changes as written, absent columns null; stream and column filters reach the scan."""
+        rows = self.stored()
+        log = rows.select(*cols(c for c in rows.columns if c not in (SET, "known", "source", "batch_id")))
         return log if streams is None else log.where(F.col("stream_id").isin(list(streams)))
 
-    def compact(self, batch_id: int) -> None:
-        """Merge the batches up to ``batch_id`` into the files of a new generation.
+    def patches(self, streams: Sequence[str] | None = None) -> DataFrame:
+        """The changes for point-in-time questions: with ``set_columns`` if some don't set all columns."""
+        state = self.state()
+        if state is None or not state.partial:
+            return self.log(streams)
+        rows = self.stored()
+        rows = rows if streams is None else rows.where(F.col("stream_id").isin(list(streams)))
+        return rows.select(*cols(f.name for f in state.schema.fields), self.set_columns(state).alias(SET))
+
+    def set_columns(self, state: StoreState) -> Column:
+        """What a change sets. One from before the store grew doesn't set the columns that came later."""
+        fields = [f.name for f in state.schema.fields]
+        then = F.slice(F.array(*map(F.lit, fields)), F.lit(1), F.col("known"))
+        return F.when(F.col(SET).isNull() & (F.col("known") < len(fields)), then).otherwise(F.col(SET))
+
+    def whole_log(self, soft: bool = False, streams: Sequence[str] | None = None) -> DataFrame:
+        """The changes as whole rows: a column that a change doesn't set has its earlier value."""
+        log = self.patches(streams)
+        return completed(log, soft) if SET in log.columns else log
+
+    def snapshot(self, t: Column, soft: bool = False, streams: Sequence[str] | None = None) -> DataFrame:
+        return temporal.snapshot(self.patches(streams), t, soft)
+
+    def changes_since(self, t: Column, last: Column, soft: bool = False, streams: Sequence[str] | None = None) -> DataFrame:
+        return temporal.changes_since(self.patches(streams), t, last, soft)
+
+    def compact(self, batch_id: int, source: str = MAIN) -> None:
+        """Merge the batches of a source up to ``batch_id`` into the files of a new generation.
 
         The old generation stays for readers that still use it.
         """
         state = self.state()
-        path = self._changes(state.generation)
-        schema = T.StructType([*state.schema.fields, T.StructField("batch_id", T.LongType())])
-        rows = self.spark.read.schema(schema).parquet(path)
-        merged = rows.withColumn("batch_id", F.greatest("batch_id", F.lit(batch_id).cast("bigint")))
-        self._write_changes(merged, state.generation + 1)
-        self._save(StoreState(state.schema, state.generation + 1, max(batch_id, state.compacted_to)))
+        merged = F.when(F.col("source") == source, F.greatest("batch_id", F.lit(batch_id).cast("bigint"))).otherwise(F.col("batch_id"))
+        self._write_changes(self.stored().withColumn("batch_id", merged), state.generation + 1)
+        marks = state.compacted_to | {source: max(batch_id, state.compacted_to.get(source, -1))}
+        self._save(replace(state, generation=state.generation + 1, compacted_to=marks))
 
     # History -----------------------------------------------------------------
 
     def versions(self, soft: bool = False, streams: Sequence[str] | None = None) -> DataFrame:
-        return versions(self.log(streams), soft)
+        return versions(self.whole_log(soft, streams), soft)
 
     def materialise_versions(self, soft: bool = False) -> None:
         """Write the history, open versions apart from closed ones."""
@@ -256,6 +352,12 @@ class ChangeStore:
         one = self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1)
         one.write.mode("append").parquet(f"{self.path}/ledger")
 
+    def record_all(self, entries: DataFrame) -> None:
+        """Append many ledger entries at once; columns they lack are null."""
+        empty = self.spark.createDataFrame([], LEDGER_SCHEMA)
+        rows = empty.unionByName(entries, allowMissingColumns=True).select(*LEDGER_COLUMNS)
+        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/ledger")
+
     def history(self) -> DataFrame:
         """The export history: the state of each run."""
         path = f"{self.path}/ledger"

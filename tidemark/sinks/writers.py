@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,13 @@ from tidemark.operators.envelope import serialize_cells
 from tidemark.plans.profiles import ExportProfile
 
 
+#: Commas, doubled quotes, empty for null; blanks are kept.
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def prepare(df: DataFrame, profile: ExportProfile) -> DataFrame:
     """The columns as the format of the target takes them."""
     df = shape.iso_offset(df)
@@ -53,14 +60,7 @@ def write_csv(df: DataFrame, path: str, profile: ExportProfile, mode: str = "ove
     """
     df = df.select(*(_csv_text(f).alias(f.name) for f in df.schema.fields))
     if profile.csv_line_end == "\n":
-        (
-            _sized(df, profile)
-            .mode(mode)
-            .options(header=True, quote='"', escape='"', nullValue="", emptyValue="")
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(path)
-        )
+        _sized(df, profile).mode(mode).options(**_CSV).csv(path)
         return
     line = F.concat_ws(",", *(_csv_cell(c) for c in cols(df.columns)))
     header = ",".join(_quote(c) for c in df.columns)
@@ -68,6 +68,24 @@ def write_csv(df: DataFrame, path: str, profile: ExportProfile, mode: str = "ove
     lines.write.mode(mode).option("lineSep", profile.csv_line_end).text(path)
 
 
+def write_by(df: DataFrame, path: str, profile: ExportProfile, by: str) -> None:
+    """Prepared rows as one directory for each value of ``by``, Parquet or plain CSV.
+
+    Rebalancing splits the rows of a large value over several files and tasks.
+    """
+    if profile.format == "parquet":
+        _sized(df.hint("rebalance", by), profile).mode("overwrite").partitionBy(by).parquet(path)
+        return
+    text = df.select(*(_csv_text(f).alias(f.name) for f in df.schema.fields))
+    _sized(text.hint("rebalance", by), profile).mode("overwrite").options(**_CSV).partitionBy(by).csv(path)
+
+
+def written_by(spark: SparkSession, path: str, profile: ExportProfile, schema: T.StructType) -> DataFrame:
+    """What :func:`write_by` wrote."""
+    reader = spark.read.schema(schema)
+    return reader.parquet(path) if profile.format == "parquet" else reader.options(multiLine=True, **_CSV).csv(path)
+
+
 def write_json(df: DataFrame, path: str, profile: ExportProfile, mode: str = "overwrite") -> None:
     """One JSON array per part file, or JSON lines; nulls are kept."""
     row = F.to_json(F.struct(*cols(df.columns)), {"ignoreNullFields": "false"})

@@ -33,6 +33,14 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"Cannot rename {source} to {target}")
 
 
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a file or directory to a path that does not exist yet."""
+    fs = file_system(spark, source)
+    copier = spark._jvm.org.apache.hadoop.fs.FileUtil
+    if not copier.copy(fs, _path(spark, source), fs, _path(spark, target), False, spark._jsc.hadoopConfiguration()):
+        raise OSError(f"Cannot copy {source} to {target}")
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children of a directory; none when it does not exist."""
     fs = file_system(spark, path)
