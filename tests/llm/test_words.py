@@ -171,7 +171,8 @@ def test_bpe_is_the_librarys(spark):
         ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids
         want[(r.doc_id, tuple(ids), tokenizer.decode(ids, skip_special_tokens=False))] += 1
     assert got == want
-    assert bpe.decode(bpe.encode(docs.limit(0), VOCABULARY), VOCABULARY).count() == 0
+    assert collections.Counter((r.id, tuple(r.ids), r.text) for r in bpe.round_trip(docs, VOCABULARY).collect()) == want
+    assert bpe.decode(bpe.encode(docs.limit(0), VOCABULARY), VOCABULARY).count() == 0 == bpe.round_trip(docs.limit(0), VOCABULARY).count()
     odd = spark.createDataFrame([(1, None), (2, [49407, -1, None, 10**6, 320])], "id long, ids array<int>")
     assert {r.id: r.text for r in bpe.decode(odd, VOCABULARY).collect()} == {1: "", 2: tokenizer.decode([49407, 320], skip_special_tokens=False)}
 

@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import slices, small_batches
 
 #: Bytes of text that a task encodes at once; its arrays take some thirty times as much.
-BYTES = 3 << 20
+BYTES = 4 << 20
+#: Pre-tokens whose ids a task remembers before it starts afresh.
+KNOWN = 400_000
 _NONE = np.iinfo(np.int64).max  # the rank of a pair that is not merged
 
 
@@ -178,6 +180,12 @@ class Encoder:
         probe = "it's a1b22 we'll!? x'y ''d #$% i'm_don't É'sß- ÿöø".split(" ")
         plain = [t for w in probe for t in self.TOKENS.findall(w.lower())]
         self.quick = plain == [t for w in probe for t in self.vocabulary.pre_tokens(w)]
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known pre-tokens, their ids in turn, and the bounds of each in them."""
+        self.seen = pa.array([], pa.string())
+        self.ids, self.own = np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
 
     def _words(self, words: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, list[int]]:
         """All pre-tokens of ``words`` in turn, the bounds of each word in them, and the numbers of special tokens.
@@ -207,6 +215,22 @@ class Encoder:
         bounds = np.concatenate([[0], np.cumsum(size)])
         return coded.take(pa.array(np.repeat(first - bounds[:-1], size) + np.arange(bounds[-1]))), bounds, special
 
+    def _places(self, tokens: pa.Array) -> np.ndarray:
+        """The place of each distinct pre-token among the known ones; new ones are merged and added."""
+        if len(self.seen) > KNOWN:
+            self._forget()
+        at = pc.index_in(tokens, value_set=self.seen)
+        new = at.is_null()
+        added = tokens.filter(new)
+        place = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[new.to_numpy(zero_copy_only=False)] = len(self.seen) + np.arange(len(added))
+        if len(added):
+            ids, bounds = self._ids(added)
+            self.seen = pa.concat_arrays([self.seen, added])
+            self.own = np.concatenate([self.own, len(self.ids) + bounds[1:]])
+            self.ids = np.concatenate([self.ids, ids])
+        return place
+
     def _ids(self, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pre-tokens in turn, and their bounds."""
         data, bounds = bytes_of(tokens)
@@ -226,8 +250,10 @@ class Encoder:
         bounds = split.offsets.to_numpy(zero_copy_only=False)
         words = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         tokens, per_word, special = self._words(words.dictionary)
-        ids, own = self._ids(tokens.dictionary)
-        which = tokens.indices.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place_of = self._places(tokens.dictionary)
+        ids, own = self.ids, self.own
+        which = tokens.indices.fill_null(0).to_numpy(zero_copy_only=False)
+        which = place_of[which] if len(place_of) else which.astype(np.int64)
         at = np.flatnonzero(tokens.indices.is_null().to_numpy(zero_copy_only=False))
         numbers = sorted(set(special))  # special tokens are numbered after the others
         place = {k: len(own) - 1 + i for i, k in enumerate(numbers)}
@@ -261,6 +287,29 @@ def token_texts(path: str) -> list[str | None]:
     return [known.get(k) for k in range(max(known) + 1)]
 
 
+def _lists(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    ids, bounds = encoder.encode(texts)
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _joined(lists: pa.ListArray, names: pa.StringArray) -> pa.Array:
+    """The text of each list of ids."""
+    lists = pc.fill_null(lists, pa.scalar([], lists.type))
+    bounds = lists.offsets.to_numpy(zero_copy_only=False)
+    flat = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).cast(pa.int64())
+    inside = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(names)))
+    tokens = names.take(pc.if_else(pc.fill_null(inside, False), flat, None))
+    known = pc.is_valid(tokens).to_numpy(zero_copy_only=False)
+    upto = np.concatenate([[0], np.cumsum(known)])
+    words = pa.LargeListArray.from_arrays(pa.array(upto[bounds - bounds[0]], pa.int64()), tokens.drop_null().cast(pa.large_string()))
+    return pc.binary_join(words, pa.scalar(" ", pa.large_string())).cast(pa.string())
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession, 2000)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, ids``: the token ids of each whole text.
 
@@ -268,17 +317,14 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     or one of blanks, has no ids. A special token's text in a text is that token. Repeated rows
     are encoded each, a null id stays null, and an empty table gives no rows.
     """
-    small_batches(docs.sparkSession, 2000)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = _rows(docs, id_col, text_col)
     schema = rows.select("id", F.array().cast("array<int>").alias("ids")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for whole in batches:
             for batch in slices(whole, "text", BYTES):
-                ids, bounds = encoder.encode(batch.column("text"))
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(encoder, batch.column("text"))], ["id", "ids"])
 
     return rows.mapInArrow(run, schema)
 
@@ -289,23 +335,34 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     That is what the library returns for a file without a decoder; a file with one is refused. An
     id outside the vocabulary and a null id give nothing; null for a list counts as an empty one.
     """
+    refuse_decoder(vocabulary)
     schema = encoded.select("id", "ids", F.lit("").alias("text")).schema
-    with open(vocabulary, encoding="utf-8") as file:
-        if json.load(file).get("decoder"):
-            raise ValueError("the vocabulary has a decoder of its own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = pa.array(token_texts(vocabulary), pa.string())
+        names = pa.array(token_texts(vocabulary), pa.string())
         for batch in batches:
-            lists = pc.fill_null(batch.column("ids"), pa.scalar([], batch.column("ids").type))
-            bounds = lists.offsets.to_numpy(zero_copy_only=False)
-            flat = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).cast(pa.int64())
-            inside = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(texts)))
-            tokens = texts.take(pc.if_else(pc.fill_null(inside, False), flat, None))
-            known = pc.is_valid(tokens).to_numpy(zero_copy_only=False)
-            upto = np.concatenate([[0], np.cumsum(known)])
-            words = pa.LargeListArray.from_arrays(pa.array(upto[bounds - bounds[0]], pa.int64()), tokens.drop_null().cast(pa.large_string()))
-            joined = pc.binary_join(words, pa.scalar(" ", pa.large_string())).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("ids"), joined], ["id", "ids", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("ids"), _joined(batch.column("ids"), names)], ["id", "ids", "text"])
 
     return encoded.mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, ids, text``: :func:`decode` of :func:`encode`, in one step of a task."""
+    refuse_decoder(vocabulary)
+    rows = _rows(docs, id_col, text_col)
+    schema = rows.select("id", F.array().cast("array<int>").alias("ids"), F.lit("").alias("text")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, names = Encoder(vocabulary), pa.array(token_texts(vocabulary), pa.string())
+        for whole in batches:
+            for batch in slices(whole, "text", BYTES):
+                lists = _lists(encoder, batch.column("text"))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), lists, _joined(lists, names)], ["id", "ids", "text"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def refuse_decoder(vocabulary: str) -> None:
+    with open(vocabulary, encoding="utf-8") as file:
+        if json.load(file).get("decoder"):
+            raise ValueError("the vocabulary has a decoder of its own")

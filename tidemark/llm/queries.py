@@ -282,9 +282,7 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op13_bpe_round_trip")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
-    vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe.encode(table(spark, folder, "documents", "doc_id", "text"), vocabulary)
-    both = bpe.decode(encoded, vocabulary)
+    both = bpe.round_trip(table(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
     return both.select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
