@@ -224,9 +224,9 @@ def train(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: st
     for _ in range(rounds if m else 0):
         shared = spark.sparkContext.broadcast(Model(vocabulary, languages, np.zeros(m), p))
         sums = counts.mapInArrow(_expected_rows(shared), "language int, piece int, n double").groupBy("language", "piece").agg(F.sum("n").alias("n"))
-        found = sums.toPandas()
+        found = sums.toArrow()
         used = np.full((len(pieces), m), 0.05)  # a piece not seen is rare, not impossible
-        np.add.at(used, (found["piece"].to_numpy(), found["language"].to_numpy()), found["n"].to_numpy())
+        np.add.at(used, (found.column("piece").to_numpy(), found.column("language").to_numpy()), found.column("n").to_numpy())
         p = np.vstack([used / used.sum(axis=0), p[-2:]])
     prior = np.log(np.array([n / total for _, n in sizes])) if m else np.zeros(0)
     return Model(vocabulary, languages, prior, p)

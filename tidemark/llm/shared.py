@@ -67,10 +67,10 @@ class KeyFilter:
             .select((slot / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int")).alias("bit"))
             .groupBy("word")
             .agg(F.bit_or("bit").alias("bit"))
-            .toPandas()
+            .toArrow()
         )
         field = np.zeros(bits // 64, dtype=np.uint64)
-        field[words["word"].to_numpy(dtype=np.int64)] = words["bit"].to_numpy(dtype=np.int64).view(np.uint64)
+        field[words.column("word").to_numpy()] = words.column("bit").to_numpy().view(np.uint64)
         self.field = keys.sparkSession.sparkContext.broadcast(field)
 
     def slot(self, column: Column) -> Column:
