@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from tidemark.operators.batches import event_batches, idle_batches
 from tidemark.plans.store import ChangeStore
 from tidemark.session import scratch_path
 from tidemark.sinks import documents
+from tidemark.sources import files
+from tidemark.streaming.clock import stream_clocked
 from tidemark.streaming.flows import EventStream, stream_docs, stream_sync
 
 
@@ -128,3 +131,58 @@ def test_documents_are_written_by_shard(spark):
     back = spark.read.schema("id string, path string, doc string, shard1 string, shard2 string").json(path)
     assert back.count() == docs.count()
     assert back.where("path <> concat(shard1, '/', shard2, '/', id, '.json')").isEmpty()
+
+
+def arrival_batches(log, n):
+    """Batches by count, in the order of arrival."""
+    targets = {}
+    for row in log:
+        targets.setdefault(row[0], []).append(row[4])
+    return {t: [tuple(s[k : k + n]) for k in range(0, len(s), n)] for t, s in targets.items()}
+
+
+def seqs(rows):
+    return sorted((r["stream_id"], r["closed_by"], tuple(i["seq"] for i in json.loads(r["content"]))) for r in rows)
+
+
+def test_a_quiet_source_is_flushed_by_the_clock(spark, arrivals):
+    """Full batches come by count; the rest falls idle while nothing at all arrives."""
+    log, source = arrivals
+    out, offsets = scratch_path(spark, "clocked"), scratch_path(spark, "offsets")
+    want = sorted((t, "count" if len(b) == 7 else "idle", b) for t, own in arrival_batches(log, 7).items() for b in own)
+    assert sum(w[1] == "idle" for w in want) == 2
+
+    def run(until_idle):
+        running = stream_clocked(source, out, offsets, ["stream_id"], F.col("stream_id"), 7, 3_000, interval="500 milliseconds")
+        try:
+            stop = time.monotonic() + 60
+            while time.monotonic() < stop and len(read("closed_by = 'idle'" if until_idle else "true")) < (2 if until_idle else 1):
+                time.sleep(0.5)
+        finally:
+            running.stop()
+
+    def read(condition):
+        return spark.read.parquet(out).where(condition).collect() if files.exists(spark, f"{out}/_spark_metadata/0") else []
+
+    run(until_idle=False)
+    # a stream that is stopped goes on with what waited
+    run(until_idle=True)
+    rows = read("true")
+    assert seqs(rows) == want
+    assert all(r["items"] == len(json.loads(r["content"])) and r["file_name"].startswith(r["stream_id"] + ".2024-01-01 ") for r in rows)
+
+
+def test_clocked_batches_of_a_null_target(spark):
+    path = scratch_path(spark, "in")
+    log = [(None, "e", "Added", START, k, None, k) for k in range(5)] + [("s", None, "Removed", START, 9, None, None)]
+    spark.createDataFrame(log, LOG_SCHEMA).coalesce(1).write.parquet(path)
+    source = spark.readStream.schema(spark.createDataFrame(log, LOG_SCHEMA).schema).parquet(path)
+    out = scratch_path(spark, "clocked")
+    running = stream_clocked(source, out, scratch_path(spark, "offsets"), ["stream_id"], F.lit("box"), 2, 600_000)
+    try:
+        stop = time.monotonic() + 60
+        while time.monotonic() < stop and not files.exists(spark, f"{out}/_spark_metadata/0"):
+            time.sleep(0.5)
+    finally:
+        running.stop()
+    assert [(r["stream_id"], r["items"]) for r in spark.read.parquet(out).collect()] == [(None, 2), (None, 2)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,19 +51,23 @@ def idle_batches(
     return drop_slices(rows).select(*cols(log.columns), "session", batch)
 
 
+def event_document(columns: Iterable[str]) -> Column:
+    """A change as it stands in a batch: all its columns, the type of the change last."""
+    rest = cols(c for c in columns if c != "change_type")
+    return F.to_json(F.struct(*rest, F.col("change_type").alias("ChangeType")), {"ignoreNullFields": "false"})
+
+
+def batch_name(container: Column, flushed_at: Column) -> Column:
+    """The file name of a batch: its container and its latest time."""
+    return F.concat(container, F.lit("."), F.date_format(flushed_at, "yyyy-MM-dd HH-mm-ss.SSSSSSS"), F.lit(".json"))
+
+
 def event_batches(batched: DataFrame, target: Sequence[str], container: Column) -> DataFrame:
     """One row per batch: its file name, number of items and JSON array.
 
     A batch holds at most ``n`` items, so what is gathered stays small.
     """
-    hidden = {"session", "batch"}
-    document = F.to_json(
-        F.struct(
-            *cols(c for c in batched.columns if c not in hidden and c != "change_type"),
-            F.col("change_type").alias("ChangeType"),
-        ),
-        {"ignoreNullFields": "false"},
-    )
+    document = event_document(c for c in batched.columns if c not in ("session", "batch"))
     items = batched.select(
         *target, "session", "batch", container.alias("container"), "ts",
         F.struct(*ORDER, document.alias("document")).alias("item"),
@@ -74,13 +78,12 @@ def event_batches(batched: DataFrame, target: Sequence[str], container: Column)
         F.count("*").alias("items"),
         F.array_sort(F.collect_list("item")).alias("all"),
     )
-    stamp = F.date_format(F.col("flushed_at"), "yyyy-MM-dd HH-mm-ss.SSSSSSS")
     documents = F.transform("all", lambda item: item["document"])
     return grouped.select(
         *target,
         "session",
         "batch",
-        F.concat("container", F.lit("."), stamp, F.lit(".json")).alias("file_name"),
+        batch_name(F.col("container"), F.col("flushed_at")).alias("file_name"),
         "items",
         F.concat(F.lit("["), F.array_join(documents, ","), F.lit("]")).alias("content"),
     )
