@@ -92,6 +92,12 @@ def test_golden_row_as_csv(spark, store, root, name):
     }
 
 
+def test_columns_come_by_name(spark, store, root):
+    result = run_export(store, root, ExportProfile.azure(output_format="parquet"), STREAM, golden.NOW)
+    names = spark.read.parquet(result.path).columns
+    assert names == ["Id", *sorted(names[1:])]
+
+
 def test_default_names(spark, store, root):
     azure = run_export(store, root, ExportProfile.azure(output_format="parquet"), STREAM, golden.NOW)
     assert azure.file_name == f"{golden.STREAM}_20251103140500.parquet"

@@ -16,6 +16,7 @@ from tidemark.plans.history import VersionHistory
 from tidemark.plans.profiles import ExportProfile
 from tidemark.plans.store import ChangeStore
 from tidemark.session import scratch_path
+from tidemark.sinks import landing
 from tidemark.sources import files
 
 PATCH_SCHEMA = LOG_SCHEMA + ", set_columns array<string>"
@@ -264,3 +265,36 @@ def test_a_run_of_many_streams_has_one_plan(spark, many):
         run_exports(many, "/nowhere", ExportProfile.azure(), *control(spark, []), NOW)
     none = run_exports(many, scratch_path(spark, "none"), ExportProfile.azure(output_format="csv"), *control(spark, []), NOW)
     assert none.count() == 0 and many.history().count() == 0
+
+
+def flat(spark, zone):
+    return [n for n in files.names(spark, zone) if not n.startswith("_")]
+
+
+@pytest.mark.parametrize("output_format", ["parquet", "csv"])
+def test_landed_files_are_numbered_through(spark, monkeypatch, output_format):
+    zone, profile = scratch_path(spark, "zone"), ExportProfile.mirrored(output_format=output_format)
+    rows_ = spark.range(40).select(F.col("id").alias("Id"), F.lit("a,\nb").alias("note"))
+    first = landing.land_numbered(rows_.where("Id < 10"), zone, profile, "r1")
+    moved = files.rename
+
+    def stop(spark, source, target):
+        if target.endswith(f".{output_format}"):
+            raise OSError("lost")
+        moved(spark, source, target)
+
+    # the plan is written, the moves are not
+    monkeypatch.setattr(files, "rename", stop)
+    with pytest.raises(OSError, match="lost"):
+        landing.land_numbered(rows_.where("Id >= 10"), zone, profile, "r2")
+    assert flat(spark, zone) == first
+    monkeypatch.setattr(files, "rename", moved)
+    second = landing.land_numbered(rows_.limit(0), zone, profile, "r2")
+    assert landing.land_numbered(rows_, zone, profile, "r2") == second
+    assert landing.land_numbered(rows_.limit(0), zone, profile, "r3") == []
+    third = landing.land_numbered(rows_.limit(1), zone, profile, "r4")
+    names = [*first, *second, *third]
+    assert flat(spark, zone) == names == [f"{n:020d}.{output_format}" for n in range(1, len(names) + 1)]
+    reader = spark.read.schema("Id long, note string")
+    back = reader.parquet(zone) if output_format == "parquet" else reader.options(header=True, quote='"', escape='"', multiLine=True, lineSep="\r\n").csv(zone)
+    assert back.count() == 41 and back.where("note = 'a,\nb'").count() == 41

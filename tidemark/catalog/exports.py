@@ -32,7 +32,7 @@ from tidemark.plans.history import VersionHistory
 from tidemark.plans.profiles import ExportProfile
 from tidemark.plans.store import ChangeStore
 from tidemark.session import scratch_path
-from tidemark.sinks import documents, writers
+from tidemark.sinks import documents, landing, writers
 from tidemark.sinks.publish import publish
 from tidemark.sources import files
 from tidemark.sources.change_logs import LOG_STREAMS, events_log, lineitem_log, stream_guid, stream_id, table
@@ -355,6 +355,22 @@ def e8_load_table(spark, folder):
     return spark.table(name)
 
 
+@query("e9_landing_zone", """SELECT 'first' AS run, event_id, event_type, true AS numbered FROM events WHERE event_id % 2 = 0
+    UNION ALL SELECT 'second', event_id, event_type, true FROM events WHERE event_id % 2 = 1""")
+def e9_landing_zone(spark, folder):
+    """Two runs land flat files; the second is repeated. Each file's number follows the one before."""
+    rows = table(spark, folder, "events").select("event_id", "event_type")
+    profile, zone = ExportProfile.mirrored(max_records_per_file=300), scratch_path(spark, "zone")
+    names = []
+    for n, run in ((0, "first"), (1, "second"), (1, "second")):
+        own = landing.land_numbered(rows.where(F.col("event_id") % 2 == n), zone, profile, run)
+        names += [(name, run) for name in own if (name, run) not in names]
+    numbered = [int(name.split(".")[0]) for name, _ in names] == list(range(1, len(names) + 1))
+    runs = spark.createDataFrame(names, "name string, run string")
+    back = spark.read.parquet(zone).withColumn("name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    return back.join(runs, "name").select("run", "event_id", "event_type", F.lit(numbered).alias("numbered"))
+
+
 @query("e11_entity_docs", f"""WITH {LINEITEM}, keyed AS (
     SELECT * REPLACE (md5(id) AS id) FROM li), last AS (SELECT * FROM keyed QUALIFY {_LAST})
     SELECT id, substr(id, 1, 2) AS shard1, substr(id, 3, 2) AS shard2,

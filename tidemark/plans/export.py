@@ -14,7 +14,7 @@ from tidemark.functions import names
 from tidemark.functions.schedule import NEVER
 from tidemark.functions.text import instant
 from tidemark.operators import ledger, shape, temporal
-from tidemark.operators.envelope import CHANGE_TYPE
+from tidemark.operators.envelope import CHANGE_TYPE, order_columns
 from tidemark.plans.profiles import ExportProfile
 from tidemark.plans.store import ChangeStore
 from tidemark.sinks import landing, writers
@@ -107,12 +107,16 @@ def export_rows(
         rows = temporal.changes_since(log, data_time, last_time, soft)
     else:
         rows = temporal.snapshot(log, data_time, soft)
+    return shaped(rows, profile, initial=last_time is None)
+
+
+def shaped(rows: DataFrame, profile: ExportProfile, initial: bool) -> DataFrame:
+    """The columns of an export: ``Id``, the others by name, and the marker of a mirror last."""
     if profile.delta_mode and CHANGE_TYPE not in rows.columns:
         rows = rows.withColumn(CHANGE_TYPE, F.col("change_type"))
     rows = shape.entity_columns(rows)
-    initial = last_time is None
     rows = shape.skip_removed(rows, profile.delta_mode, initial)
-    rows = shape.export_columns(rows, profile.delta_mode)
+    rows = order_columns(shape.export_columns(rows, profile.delta_mode))
     if profile.mirror:
         rows = shape.row_marker(rows, first=initial)
     return profile.fields(rows) if profile.fields else rows

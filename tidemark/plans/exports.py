@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from tidemark.functions import names
 from tidemark.functions.schedule import NEVER
 from tidemark.functions.text import instant
-from tidemark.operators import ledger, shape, streams
-from tidemark.operators.envelope import CHANGE_TYPE
+from tidemark.operators import ledger, streams
 from tidemark.operators.joins import join_lookup
 from tidemark.operators.patches import SET, patched_state
 from tidemark.operators.state import current_state
+from tidemark.plans.export import shaped
 from tidemark.plans.profiles import ExportProfile
 from tidemark.plans.store import ChangeStore
 from tidemark.session import settle
@@ -136,18 +136,13 @@ def _write_group(store: ChangeStore, root: str, profile: ExportProfile, group: D
     """Write first or later exports in one job and put each in its place: StreamId, TotalRows."""
     spark = store.spark
     rows = planned_rows(store.patches(), group, soft=profile.delta_mode)
-    if profile.delta_mode and CHANGE_TYPE not in rows.columns:
-        rows = rows.withColumn(CHANGE_TYPE, F.col("change_type"))
     rows = rows.withColumn(STREAM, F.col("stream_id")).drop("LastTime")
-    rows = shape.export_columns(shape.skip_removed(shape.entity_columns(rows), profile.delta_mode, first), profile.delta_mode)
-    rows = shape.row_marker(rows, first) if profile.mirror else rows
-    rows = profile.fields(rows) if profile.fields else rows
-    shaped = writers.prepare(rows, profile)
+    own = writers.prepare(shaped(rows, profile, first), profile)
     staged = f"{root}/_staged-{'first' if first else 'later'}"
     nothing = f"{staged}-empty"
-    writers.write_by(shaped, staged, profile, STREAM)
-    writers.write(shaped.drop(STREAM).limit(0), nothing, profile)
-    found = writers.written_by(spark, staged, profile, shaped.schema)
+    writers.write_by(own, staged, profile, STREAM)
+    writers.write(own.drop(STREAM).limit(0), nothing, profile)
+    found = writers.written_by(spark, staged, profile, own.schema)
     counts = found.groupBy(F.col(STREAM).alias("StreamId")).agg(F.count("*").alias("TotalRows"))
     counts = settle(group.select("StreamId").join(counts, "StreamId", "left").fillna(0, ["TotalRows"]))
     have = set(files.names(spark, staged))
