@@ -135,3 +135,13 @@ def test_never_has_no_instants(spark):
     assert value(spark, schedule.next_instant(instant("2024-08-21 03:16:00"), "Never")) is None
     with pytest.raises(ValueError):
         schedule.next_instant(instant("2024-08-21 03:16:00"), "Yearly")
+
+
+def test_text_that_does_not_parse_is_set_aside(spark):
+    rows = [(1, "7", "2024-01-02"), (2, "x", None), (3, None, "soon"), (4, "7.5.1", "never"), (5, None, None)]
+    df = spark.createDataFrame(rows, "k int, `a.n` string, t string")
+    fits, aside = env.split_unparsed(env.parse_types(df, {"a.n": "int", "t": "DateTime"}))
+    assert [(r["k"], r["a.n"], r["t"]) for r in fits.orderBy("k").collect()] == [(1, 7, dt.datetime(2024, 1, 2)), (5, None, None)]
+    got = {r["k"]: (r["unparsed"], r["as_given"]) for r in aside.collect()}
+    assert got == {2: (["a.n"], '{"a.n":"x"}'), 3: (["t"], '{"t":"soon"}'), 4: (["a.n", "t"], '{"a.n":"7.5.1","t":"never"}')}
+    assert fits.columns == df.columns and env.parse_types(df.limit(0), {"t": "DateTime"}).count() == 0

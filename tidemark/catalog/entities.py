@@ -80,6 +80,34 @@ def a2_apply_types(spark, folder):
     )
 
 
+@query("a2_rejected", """SELECT event_id, concat_ws(',', CASE WHEN event_id % 3 = 0 THEN 'whole' END, CASE WHEN event_id % 2 = 0 THEN 'number' END) AS unparsed,
+    CASE WHEN event_id % 2 = 0 THEN event_type END AS number_text FROM events WHERE event_id % 3 = 0 OR event_id % 2 = 0""")
+def a2_rejected(spark, folder):
+    """Rows with text that is no number, set aside with the names of the columns and their text."""
+    events = table(spark, folder, "events")
+    kind = F.col("event_type")
+    text = events.select(
+        "event_id",
+        F.when(F.col("event_id") % 3 == 0, "12x").when(F.col("event_id") % 5 != 0, "12").alias("whole"),
+        F.when(F.col("event_id") % 2 == 0, kind).otherwise(F.col("event_id").cast("string")).alias("number"),
+    )
+    fits, aside = env.split_unparsed(env.parse_types(text, {"whole": "int", "number": "long"}))
+    number = F.get_json_object("as_given", "$.number")
+    return aside.select("event_id", F.array_join("unparsed", ",").alias("unparsed"), F.when(F.col("event_id") % 2 == 0, number).alias("number_text"))
+
+
+@query("a2_accepted", """SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN 12 END AS whole, event_id AS number
+    FROM events WHERE event_id % 3 <> 0 AND event_id % 2 <> 0""")
+def a2_accepted(spark, folder):
+    """The rows beside them: typed, a null text is no failure."""
+    text = table(spark, folder, "events").select(
+        "event_id",
+        F.when(F.col("event_id") % 3 == 0, "12x").when(F.col("event_id") % 5 != 0, "12").alias("whole"),
+        F.when(F.col("event_id") % 2 == 0, "none").otherwise(F.col("event_id").cast("string")).alias("number"),
+    )
+    return env.split_unparsed(env.parse_types(text, {"whole": "int", "number": "long"}))[0]
+
+
 @query("a3_event_time", f"""SELECT {ORDER_ID} AS id,
   CASE WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.0000000+00:00'
     ELSE '2024-08-20T22:16:00.0000000+00:00' END AS "Timestamp",

@@ -37,6 +37,30 @@ def apply_types(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
     )
 
 
+#: Names of the columns whose text did not parse.
+UNPARSED = "unparsed"
+
+
+def parse_types(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
+    """:func:`apply_types`, with the names of the columns whose text isn't null and does not parse.
+
+    ``split_unparsed`` tells such rows from the others; they keep their text in ``as_given``.
+    """
+    typed = {name: F.col(quoted(name)).try_cast(column_type(kind)) for name, kind in declared.items()}
+    failed = F.array_compact(
+        F.array(*(F.when(F.col(quoted(n)).isNotNull() & t.isNull(), F.lit(n)) for n, t in typed.items()), F.lit(None).cast("string"))
+    )
+    given = F.struct(*(F.col(quoted(n)).cast("string").alias(n) for n in declared))
+    rows = df.withColumns({UNPARSED: failed, "as_given": F.when(F.size(failed) > 0, F.to_json(given))})
+    return rows.withColumns(typed)
+
+
+def split_unparsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that parsed, and the others to be kept aside with what failed and their text as JSON."""
+    fits = parsed.where(F.size(UNPARSED) == 0).drop(UNPARSED, "as_given")
+    return fits, parsed.where(F.size(UNPARSED) > 0)
+
+
 def with_event_time(
     df: DataFrame, now: Column, properties: str = "properties", offset: str = "+00:00"
 ) -> DataFrame:
