@@ -1,18 +1,3 @@
-from pyspark.sql import SparkSession
+from tidemark.session import local_session
 
-
-def local_session(cores: int = 8) -> SparkSession:
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("tidemark")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.warehouse.dir", "/tmp/tidemark-warehouse")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+__all__ = ["local_session"]

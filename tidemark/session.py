@@ -42,3 +42,21 @@ def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage and continue from the written rows."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def local_session(cores: int = 8) -> SparkSession:
+    """A session on this machine, as the tests, the checks and the bench use it."""
+    spark = (
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName("tidemark")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", "/tmp/tidemark-warehouse")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
