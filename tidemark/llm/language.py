@@ -28,6 +28,7 @@ SAMPLE = 2000
 ROUNDS = 3
 PART = 48  # a longer word teaches in parts of so many letters; it is scored whole
 _CELLS = 1 << 19  # letters of the words that are scored at once
+_SHORT = 4  # pieces of more letters are rare at any one place
 _SMALL = 1e-100  # sums below this are scaled up
 _MARK = "▁"  # begins a word in the vocabulary
 _UNKNOWN = 1e-9  # probability of a letter that no piece covers
@@ -56,6 +57,8 @@ class Pieces:
                 h = _extend(h, np.array([ord(c)], dtype=np.uint64))
             hashes.append(h[0])
         self.hashes = np.unique(np.array(hashes, dtype=np.uint64))
+        self.some = np.zeros(1 << 21, dtype=bool)
+        self.some[self.hashes >> np.uint64(43)] = True
 
     def __len__(self) -> int:
         return len(self.hashes)
@@ -68,8 +71,13 @@ class Pieces:
         out, h = [], np.zeros(codes.shape, dtype=np.uint64)
         for k in range(1, min(self.longest, codes.shape[1]) + 1):
             h = _extend(h[:, : codes.shape[1] - k + 1], codes[:, k - 1 :])
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self) - 1)
-            out.append(np.where(self.hashes[at] == h, at, len(self) + (k > 1)))
+            # the first bits rule out most; the sorted hashes decide the rest
+            own = np.full(h.shape, len(self) + (k > 1), dtype=np.int64)
+            maybe = np.nonzero(self.some[h >> np.uint64(43)])
+            found = h[maybe]
+            at = np.minimum(np.searchsorted(self.hashes, found), len(self) - 1)
+            own[maybe] = np.where(self.hashes[at] == found, at, len(self) + (k > 1))
+            out.append(own)
         return out
 
 
@@ -87,14 +95,32 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).reshape(len(some), n).astype(np.uint64), np.array(some)
 
 
+class Places:
+    """Which words have a piece of k letters at place i: all for short pieces, few for long ones."""
+
+    def __init__(self, numbers: list[np.ndarray], none: int):
+        self.few = []
+        for own in numbers[_SHORT:]:
+            place, word = np.nonzero(own.T != none)
+            self.few.append((np.searchsorted(place, np.arange(own.shape[1] + 1)), word))
+
+    def words(self, k: int, i: int) -> slice | np.ndarray:
+        if k <= _SHORT:
+            return slice(None)
+        bounds, word = self.few[k - _SHORT - 1]
+        return word[bounds[i] : bounds[i + 1]]
+
+
 def forward(numbers: list[np.ndarray], p: np.ndarray) -> np.ndarray:
     """``[j, word, language]``: the summed probability of the first j letters."""
     rows, n = numbers[0].shape
+    places = Places(numbers, len(p) - 1)
     a = np.zeros((n + 1, rows, p.shape[1]))
     a[0] = 1
     for j in range(1, n + 1):
         for k in range(1, min(j, len(numbers)) + 1):
-            a[j] += a[j - k] * p[numbers[k - 1][:, j - k]]
+            at = places.words(k, j - k)
+            a[j][at] += a[j - k][at] * p[numbers[k - 1][at, j - k]]
     return a
 
 
@@ -104,14 +130,15 @@ def log_forward(numbers: list[np.ndarray], p: np.ndarray) -> np.ndarray:
     Only the sums that the longest piece reaches back to are kept, and scaled up when they get small.
     """
     rows, n = numbers[0].shape
-    reach = len(numbers)
+    reach, places = len(numbers), Places(numbers, len(p) - 1)
     a = np.zeros((reach + 1, rows, p.shape[1]))
     a[0] = 1
     scaled = np.zeros((rows, p.shape[1]))
     for j in range(1, n + 1):
         now = np.zeros((rows, p.shape[1]))
         for k in range(1, min(j, reach) + 1):
-            now += a[(j - k) % (reach + 1)] * p[numbers[k - 1][:, j - k]]
+            at = places.words(k, j - k)
+            now[at] += a[(j - k) % (reach + 1)][at] * p[numbers[k - 1][at, j - k]]
         a[j % (reach + 1)] = now
         small = now < _SMALL
         if small.any():
@@ -123,18 +150,25 @@ def log_forward(numbers: list[np.ndarray], p: np.ndarray) -> np.ndarray:
 def expected(numbers: list[np.ndarray], p: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """How often each language uses each piece, over ``weights[word, language]`` words."""
     a = forward(numbers, p)
-    n, rows, languages = a.shape[0] - 1, a.shape[1], a.shape[2]
+    places = Places(numbers, len(p) - 1)
+    n, languages = a.shape[0] - 1, a.shape[2]
     b = np.zeros_like(a)
     b[n] = weights / np.maximum(a[n], 1e-300)
     for i in range(n - 1, -1, -1):
         for k in range(1, min(n - i, len(numbers)) + 1):
-            b[i] += b[i + k] * p[numbers[k - 1][:, i]]
+            at = places.words(k, i)
+            b[i][at] += b[i + k][at] * p[numbers[k - 1][at, i]]
     out = np.zeros_like(p)
     for k, own in enumerate(numbers, 1):
         for i in range(n - k + 1):
-            use = a[i] * p[own[:, i]] * b[i + k]
+            at = places.words(k, i)
+            piece = own[at, i]
+            use = a[i][at] * p[piece] * b[i + k][at]
+            if k > _SHORT:
+                np.add.at(out, piece, use)
+                continue
             for m in range(languages):
-                out[:, m] += np.bincount(own[:, i], use[:, m], minlength=len(p))
+                out[:, m] += np.bincount(piece, use[:, m], minlength=len(p))
     return out
 
 
