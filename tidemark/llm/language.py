@@ -27,7 +27,7 @@ UNDETERMINED = "und"
 SAMPLE = 2000
 ROUNDS = 3
 PART = 48  # a longer word teaches in parts of so many letters; it is scored whole
-_CELLS = 1 << 19  # letters of the words that are scored at once
+_CELLS = 1 << 18  # letters of the words that are scored at once
 _SHORT = 4  # pieces of more letters are rare at any one place
 _SMALL = 1e-100  # sums below this are scaled up
 _MARK = "▁"  # begins a word in the vocabulary
