@@ -526,3 +526,31 @@ def test_mix_order_is_whole(spark, monkeypatch):
     out = mixing.drawn(mixed, docs.columns, shard_words=400).collect()
     assert len(out) == sum(len(x) for x in taken.values())
     assert sum(len(WORD.findall(r.text)) for r in out) == sum(d.words for own in taken.values() for d in own)
+
+
+def _traced_peak(run) -> float:
+    """MB that ``run`` holds at once, as Python and numpy count them."""
+    import tracemalloc
+
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_shingling_holds_little_at_once():
+    words = [f"w{k * k % 9973}" for k in range(600)]
+    texts = pa.array([" ".join(words[k:] + words[:k]) for k in range(600)] * 2, pa.string())
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    assert _traced_peak(lambda: [None for _ in shingles.sets(texts)]) < 20
+    assert _traced_peak(lambda: [None for _ in jaccard._count_blobs(48)(iter([batch] * 3))]) < 35
+
+
+def test_workers_of_the_pipeline_do_without_pandas():
+    import subprocess
+    import sys
+
+    modules = ("language", "exact", "jaccard", "mixing", "packing")
+    code = "import sys; " + "; ".join(f"import tidemark.llm.{m}" for m in modules) + "; print('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.strip() == "False"

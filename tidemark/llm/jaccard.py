@@ -46,7 +46,7 @@ FREQUENT = 1 << 19
 COMMON = 4
 STAR_ROUNDS = 2
 PARITY = 1024  # slots of a set's parity
-_FLUSH = 1 << 20
+_FLUSH = 1 << 19  # keys that a task holds before it packs them
 _SHIFT = np.uint64(64 - KEY_BITS)
 
 

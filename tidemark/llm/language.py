@@ -72,7 +72,7 @@ class Pieces:
         for k in range(1, min(self.longest, codes.shape[1]) + 1):
             h = _extend(h[:, : codes.shape[1] - k + 1], codes[:, k - 1 :])
             # the first bits rule out most; the sorted hashes decide the rest
-            own = np.full(h.shape, len(self) + (k > 1), dtype=np.int64)
+            own = np.full(h.shape, len(self) + (k > 1), dtype=np.int32)
             maybe = np.nonzero(self.some[h >> np.uint64(43)])
             found = h[maybe]
             at = np.minimum(np.searchsorted(self.hashes, found), len(self) - 1)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,9 +80,10 @@ class KeyFilter:
         """The test as a column."""
         field = self.field
 
-        @F.pandas_udf("boolean")
-        def member(slots: pd.Series) -> pd.Series:
-            return pd.Series(hits(field.value, slots.fillna(-1).to_numpy(dtype=np.int64)))
+        # on Arrow, as pandas would take a worker some 25 MB for nothing else
+        @F.arrow_udf("boolean")
+        def member(slots: pa.Array) -> pa.Array:
+            return pa.array(hits(field.value, slots.fill_null(-1).to_numpy()))
 
         return member(self.slot(column))
 
@@ -103,3 +103,4 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator
         high = max(low + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(low, high - low)
         low = high
+    pa.default_memory_pool().release_unused()  # else a worker keeps what its largest batch took

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 SHINGLE = 5
-_CHUNK = 1 << 20  # bytes hashed at once, or one text
+_CHUNK = 1 << 18  # bytes hashed at once, or one text; a byte takes some 60 while it is hashed
 
 _BASE = 0x9E3779B97F4A7C15 | 5
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -100,6 +100,7 @@ def sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 yield mixed(np.array([short], dtype=np.uint64))
             else:
                 yield np.zeros(0, dtype=np.uint64)
+    pa.default_memory_pool().release_unused()  # else a worker keeps what its largest batch took
 
 
 def pack(values: np.ndarray) -> bytes:
