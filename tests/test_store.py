@@ -298,3 +298,21 @@ def test_landed_files_are_numbered_through(spark, monkeypatch, output_format):
     reader = spark.read.schema("Id long, note string")
     back = reader.parquet(zone) if output_format == "parquet" else reader.options(header=True, quote='"', escape='"', multiLine=True, lineSep="\r\n").csv(zone)
     assert back.count() == 41 and back.where("note = 'a,\nb'").count() == 41
+
+
+def test_landing_many_files_asks_the_file_system_once_per_move(spark, monkeypatch):
+    zone, profile = scratch_path(spark, "zone"), ExportProfile.mirrored(max_records_per_file=1)
+    calls = {"names": 0, "exists": 0, "rename": 0, "_path": 0}
+    for name in calls:
+        def counted(*args, name=name, own=getattr(files, name)):
+            calls[name] += 1
+            return own(*args)
+
+        monkeypatch.setattr(files, name, counted)
+    rows_ = spark.range(60).select(F.col("id").alias("Id"))
+    landed = landing.land_numbered(rows_, zone, profile, "r1")
+    assert landed == [f"{n:020d}.parquet" for n in range(1, 61)]
+    # a file is moved with one call, and none asks for its path's class anew
+    assert calls["rename"] == 61 and calls["exists"] + calls["names"] < 20
+    assert landing.land_numbered(rows_, zone, profile, "r1") == landed and calls["rename"] == 61
+    assert files._path_class(spark._jvm) is files._path_class(spark._jvm)

@@ -361,12 +361,12 @@ def e9_landing_zone(spark, folder):
     """Two runs land flat files; the second is repeated. Each file's number follows the one before."""
     rows = table(spark, folder, "events").select("event_id", "event_type")
     profile, zone = ExportProfile.mirrored(max_records_per_file=300), scratch_path(spark, "zone")
-    names = []
+    names = {}
     for n, run in ((0, "first"), (1, "second"), (1, "second")):
         own = landing.land_numbered(rows.where(F.col("event_id") % 2 == n), zone, profile, run)
-        names += [(name, run) for name in own if (name, run) not in names]
+        names |= {(name, run): None for name in own}
     numbered = [int(name.split(".")[0]) for name, _ in names] == list(range(1, len(names) + 1))
-    runs = spark.createDataFrame(names, "name string, run string")
+    runs = spark.createDataFrame(list(names), "name string, run string")
     back = spark.read.parquet(zone).withColumn("name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
     return back.join(runs, "name").select("run", "event_id", "event_type", F.lit(numbered).alias("numbered"))
 

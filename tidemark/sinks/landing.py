@@ -76,22 +76,23 @@ def land_numbered(rows: DataFrame, directory: str, profile: ExportProfile, run:
     spark = rows.sparkSession
     plan, staged = f"{directory}/{RUNS}/{run}.json", f"{directory}/_staged-{run}"
     parts = files.read_json(spark, plan)
-    if parts is None:
+    if parts is not None:
+        left = set(files.output_names(spark, staged))
+    else:
         files.delete(spark, staged)
         seen = Observation()
         # rebalanced, so that parts are of a good size
         writers.write(rows.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("rows")), staged, profile)
         # an empty result is one part without rows
-        found = [n for n in files.names(spark, staged) if n.startswith("part-")] if seen.get["rows"] else []
+        found = [n for n in files.output_names(spark, staged) if n.startswith("part-")] if seen.get["rows"] else []
         earlier = [files.read_json(spark, f"{directory}/{RUNS}/{n}") for n in _plans(spark, directory)]
         last = max((int(name.split(".")[0]) for own in earlier for name in own), default=0)
         extension = profile.extension(profile.format) if profile.extension else profile.format
         parts = {f"{last + k:020d}.{extension.lower()}": part for k, part in enumerate(found, 1)}
         files.write_text(spark, f"{directory}/_plan-{run}.json", json.dumps(parts))
         files.rename(spark, f"{directory}/_plan-{run}.json", plan)
-    for name, part in parts.items():
-        if files.exists(spark, f"{staged}/{part}"):
-            files.rename(spark, f"{staged}/{part}", f"{directory}/{name}")
+        left = set(found)
+    files.rename_all(spark, ((f"{staged}/{part}", f"{directory}/{name}") for name, part in parts.items() if part in left))
     files.delete(spark, staged)
     return list(parts)
 

@@ -3,13 +3,26 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Files moved at once.
+MOVERS = 16
+
+
+@lru_cache(maxsize=1)
+def _path_class(jvm):
+    """Looked up once: each part of its name is a call to the JVM."""
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+    return _path_class(spark._jvm)(path)
 
 
 def file_system(spark: SparkSession, path: str):
@@ -49,6 +62,20 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(_path(spark, path)))
 
 
+def output_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files that readers see under a path, however many; none when it does not exist."""
+    if not exists(spark, path):
+        return []
+    return sorted(list_outputs(spark, path).select("name").toArrow().column("name").to_pylist())
+
+
+def rename_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
+    """Move many files, several at a time: most of a move is waiting for the file system."""
+    with ThreadPoolExecutor(MOVERS) as pool:
+        for _ in pool.map(lambda move: rename(spark, *move), moves):
+            pass
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     out = file_system(spark, path).create(_path(spark, path), True)
     try:
