@@ -122,14 +122,15 @@ class VersionHistory:
         if not number:
             rows, rebuilt = self._ended(self._as_changes(log)), None
         else:
-            first = new.groupBy(*KEY).agg(F.min(position()).alias("_first"))
-            heads = null_safe_join(self.heads(number), first, keys, "inner")
-            late = settle(heads.where(F.col("_first") < position()).select(*keys))
-            seeds = self._as_seeds(null_safe_join(heads, late, keys, "left_anti").drop("_first"))
-            fresh = null_safe_join(self._as_changes(new), late, keys, "left_anti")
-            again = None if late.isEmpty() else join_lookup(self._as_changes(log), late, keys, "left_semi")
-            rows, rebuilt = seeds.unionByName(fresh), late
-            rows = self._ended(rows if again is None else rows.unionByName(again))
+            touched = settle(self._touched(new, number))
+            late = touched.where(F.col("_first") < position()).select(*keys)
+            seeds = self._as_seeds(touched.where(F.col("_first") >= position()))
+            if late.isEmpty():
+                rows, rebuilt = self._ended(seeds.unionByName(self._as_changes(new))), None
+            else:
+                fresh = null_safe_join(self._as_changes(new), late, keys, "left_anti")
+                again = join_lookup(self._as_changes(log), late, keys, "left_semi")
+                rows, rebuilt = self._ended(seeds.unionByName(fresh).unionByName(again)), late
         # one write gives what ended and the heads, so the window runs once
         path = f"{self.path}/merging/merge={number + 1}"
         rows.withColumn("is_head", F.col("_next").isNull()).write.mode("overwrite").partitionBy("is_head").parquet(path)
@@ -138,8 +139,24 @@ class VersionHistory:
         self._write(done.where("is_head").select(*cols(self._head_schema().names)).hint("rebalance"), "heads", number + 1)
         if rebuilt is not None:
             self._write(rebuilt, "rebuilt", number + 1)
+        else:
+            files.delete(spark, f"{self.path}/rebuilt/merge={number + 1}")  # of an attempt that failed
         files.delete(spark, path)
 
+    def _touched(self, new: DataFrame, number: int) -> DataFrame:
+        """The heads of the entities of new changes, with the position of the first of these.
+
+        One aggregation over heads and changes together, with partial combine: no join shuffles the
+        heads again, and an entity without the one or the other ends in it.
+        """
+        heads = self._read("heads", self._head_schema(), number)
+        names = [c for c in heads.columns if c not in (*KEY, "merge")]
+        old = heads.select(*KEY, "merge", F.struct(*cols(names)).alias("head"), F.lit(None).cast(new.select(position()).schema[0].dataType).alias("first"))
+        come = new.select(*KEY, F.lit(None).cast("int").alias("merge"), F.lit(None).cast(old.schema["head"].dataType).alias("head"), position().alias("first"))
+        entity = old.unionByName(come).groupBy(*KEY).agg(F.max_by("head", "merge").alias("head"), F.min("first").alias("_first"))
+        both = entity.where(F.col("head").isNotNull() & F.col("_first").isNotNull())
+        return both.select(*KEY, *(F.col(f"head.{quoted(c)}").alias(c) for c in names), "_first")
+
     def _as_changes(self, log: DataFrame) -> DataFrame:
         return log.withColumns({"_was": F.lit(None).cast("string"), LIVE: ~is_removed()})
 
