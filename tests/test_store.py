@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.logs import LOG_SCHEMA, START, histories, model_versions, random_log
 from tidemark.functions.text import instant
-from tidemark.operators import patches, temporal
+from tidemark.operators import ordered, patches, temporal
 from tidemark.operators.state import current_state
 from tidemark.operators.versions import versions
 from tidemark.plans.exports import export_plan, planned_rows, run_exports
@@ -316,3 +316,28 @@ def test_landing_many_files_asks_the_file_system_once_per_move(spark, monkeypatc
     assert calls["rename"] == 61 and calls["exists"] + calls["names"] < 20
     assert landing.land_numbered(rows_, zone, profile, "r1") == landed and calls["rename"] == 61
     assert files._path_class(spark._jvm) is files._path_class(spark._jvm)
+
+
+def test_whole_rows_and_versions_share_one_look_for_cuts(spark, monkeypatch):
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    log = spark.createDataFrame(random_log(5), LOG_SCHEMA)
+    store.append(log.where("seq % 2 = 0"), 0)
+    store.append(log.where("seq % 2 = 1").drop("note"), 1)
+    want = rows(store.versions(soft=True).select("id", "valid_from", "valid_to", "seq", "note", "amount"))
+    looks, own = [], ordered.cut_points
+    monkeypatch.setattr(ordered, "cut_points", lambda df, keys, order, n: looks.append(n) or own(df, keys, order, 10))
+    assert rows(store.versions(soft=True).select("id", "valid_from", "valid_to", "seq", "note", "amount")) == want
+    assert len(looks) == 1
+
+
+def test_a_merge_without_late_changes_rebuilds_nothing(spark):
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    history = VersionHistory(store, soft=True)
+    log = spark.createDataFrame(random_log(6), LOG_SCHEMA)
+    middle = "timestamp_ntz '2024-01-01 00:50:00'"
+    for batch_id, part in enumerate((f"ts < {middle}", f"ts >= {middle}")):
+        store.append(log.where(part), batch_id)
+        history.merge()
+    assert files.names(spark, f"{history.path}/rebuilt") == []
+    columns = ("id", "stream_id", "valid_from", "valid_to", "seq", "note", "amount")
+    assert rows(history.versions(), columns) == rows(versions(log, soft=True), columns)

@@ -96,9 +96,15 @@ def cut_points(
 
 
 def with_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int = SLICE_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int | None = SLICE_ROWS
 ) -> DataFrame:
-    """Number the slices of hot keys; a log without hot keys comes back unchanged."""
+    """Number the slices of hot keys; a log without hot keys comes back unchanged.
+
+    So does one that was looked at before (``slice_rows`` None): cuts are found by reading the log,
+    which would run all that made it once more.
+    """
+    if slice_rows is None:
+        return df
     cuts = cut_points(df, keys, order, slice_rows)
     most = None if cuts is None else cuts.agg(F.max(F.size("_cuts"))).first()[0]
     if most is None:
@@ -114,6 +120,10 @@ def with_slices(
     return rows.select(*cols(df.columns), SLICE, F.col("_cuts").isNotNull().alias(HOT))
 
 
+def slice_columns(df: DataFrame) -> list[str]:
+    return [c for c in (SLICE, HOT) if c in df.columns]
+
+
 def drop_slices(df: DataFrame) -> DataFrame:
     return df.drop(SLICE, HOT)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import cols, quoted
 from tidemark.operators.joins import join_lookup
-from tidemark.operators.ordered import SLICE_ROWS, Latest, Running, drop_slices, running, with_slices
+from tidemark.operators.ordered import HOT, SLICE, SLICE_ROWS, Latest, Running, running, slice_columns, with_slices
 from tidemark.operators.state import STAMPED, position
 from tidemark.sources.change_logs import KEY, LOG_COLUMNS, ORDER, REMOVED, is_removed, payload_columns
 
@@ -24,7 +24,7 @@ SET = "set_columns"
 
 
 def patched_columns(log: DataFrame) -> list[str]:
-    return [c for c in payload_columns(log) if c != SET]
+    return [c for c in payload_columns(log) if c not in (SET, SLICE, HOT)]
 
 
 def sets(name: str) -> Column:
@@ -49,12 +49,16 @@ def cells(log: DataFrame, soft: bool) -> dict[str, Running]:
     return out
 
 
-def completed(log: DataFrame, soft: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """The log with whole rows: each change with the value of every column after it."""
+def completed(log: DataFrame, soft: bool = False, slice_rows: int | None = SLICE_ROWS) -> DataFrame:
+    """The log with whole rows: each change with the value of every column after it.
+
+    A log that comes with its slices (``slice_rows`` None) keeps them, for the operator after this one.
+    """
     payload = patched_columns(log)
     rows = running(with_slices(log, KEY, ORDER, slice_rows), KEY, ORDER, cells(log, soft))
     whole = [F.col(f"_cell_{n}.v").alias(c) for n, c in enumerate(payload)]
-    return drop_slices(rows.select(*LOG_COLUMNS, *whole))
+    kept = [] if slice_rows is not None else slice_columns(rows)
+    return rows.select(*LOG_COLUMNS, *whole, *kept)
 
 
 def patched_state(log: DataFrame, soft: bool = False) -> DataFrame:

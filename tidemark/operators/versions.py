@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import quoted
 from tidemark.functions.text import instant
-from tidemark.operators.ordered import SLICE_ROWS, Following, Latest, running, with_slices
+from tidemark.operators.ordered import HOT, SLICE, SLICE_ROWS, Following, Latest, running, with_slices
 from tidemark.operators.state import STAMPED
 from tidemark.sources.change_logs import KEY, ORDER, is_removed, payload_columns
 
@@ -17,14 +17,14 @@ from tidemark.sources.change_logs import KEY, ORDER, is_removed, payload_columns
 OPEN_END = "9999-12-31 00:00:00"
 
 
-def versions(log: DataFrame, soft: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def versions(log: DataFrame, soft: bool = False, slice_rows: int | None = SLICE_ROWS) -> DataFrame:
     """Every version of every entity.
 
     Each change closes the version before it. A hard delete opens nothing; a soft
     delete opens a version that keeps the last live payload. Changes at the same time
     give versions of zero length, which no point in time can see.
     """
-    payload = payload_columns(log)
+    payload = [c for c in payload_columns(log) if c not in (SLICE, HOT)]
     kept = [c for c in payload if c not in STAMPED] if soft else []
     specs = {"_next": Following(F.col("ts"))}
     if soft:

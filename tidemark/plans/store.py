@@ -33,10 +33,11 @@ from tidemark.functions.columns import cols, quoted
 from tidemark.operators.envelope import known_keys, schema_guard
 from tidemark.operators import temporal
 from tidemark.operators.ledger import LEDGER_COLUMNS, LEDGER_SCHEMA, ledger_state
+from tidemark.operators.ordered import with_slices
 from tidemark.operators.patches import SET, completed
 from tidemark.operators.versions import OPEN_END, versions
 from tidemark.sources import files
-from tidemark.sources.change_logs import LOG_COLUMNS, ORDER
+from tidemark.sources.change_logs import KEY, LOG_COLUMNS, ORDER
 
 STRICT, EVOLVE = "strict", "evolve"
 
@@ -253,7 +254,11 @@ class ChangeStore:
     # History -----------------------------------------------------------------
 
     def versions(self, soft: bool = False, streams: Sequence[str] | None = None) -> DataFrame:
-        return versions(self.whole_log(soft, streams), soft)
+        log = self.patches(streams)
+        if SET not in log.columns:
+            return versions(log, soft)
+        # both windows take the cuts of the log as it was written, so it is completed once
+        return versions(completed(with_slices(log, KEY, ORDER), soft, slice_rows=None), soft, slice_rows=None)
 
     def materialise_versions(self, soft: bool = False) -> None:
         """Write the history, open versions apart from closed ones."""
