@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.logs import LOG_SCHEMA, START, histories, model_versions, random_log
 from tidemark.functions.text import instant
 from tidemark.operators import ordered, series, state, temporal
+from tidemark.operators.streams import restrict
 from tidemark.operators.versions import patch_versions as versions_of
 from tidemark.operators.versions import versions
 from tidemark.sources.change_logs import KEY, ORDER
@@ -226,3 +227,11 @@ def test_golden_counts(spark):
     assert temporal.snapshot(items, t).count() == 885
     assert temporal.snapshot(items, t, True).count() == 1167
     assert temporal.changes_since(items, t, last, True).count() == 577
+
+
+def test_many_eligible_streams_do_not_shuffle_the_log(spark):
+    log = spark.range(1000).select(F.concat(F.lit("s"), F.col("id") % 4).alias("stream_id"), F.col("id"))
+    eligible = spark.range(2, 120_002).select(F.concat(F.lit("s"), F.col("id")).alias("stream_id"))
+    kept = restrict(log, eligible)
+    assert "BroadcastHashJoin" in kept._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert sorted(r[0] for r in kept.groupBy("stream_id").count().collect()) == ["s2", "s3"] and kept.count() == 500

@@ -163,7 +163,7 @@ def schema_guard(
 ) -> tuple[DataFrame, DataFrame]:
     """Split a log into changes that fit the schema of their stream and changes that do not."""
     known = known_keys(log, properties) if known is None else known
-    rows = join_lookup(log, known, ["stream_id"])
+    rows = join_lookup(log, known, ["stream_id"], few_keys=True)
     unknown = F.array_except(F.map_keys(properties), "known_keys")
     rows = rows.withColumn("unknown_keys", F.coalesce(unknown, F.array().cast("array<string>")))
     fits = F.size("unknown_keys") == 0

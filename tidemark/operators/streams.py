@@ -19,7 +19,7 @@ def eligible_streams(streams: DataFrame, providers: DataFrame) -> DataFrame:
 
 def restrict(log: DataFrame, eligible: DataFrame) -> DataFrame:
     """The changes of eligible streams."""
-    return join_lookup(log, eligible.select("stream_id").distinct(), ["stream_id"], "left_semi")
+    return join_lookup(log, eligible.select("stream_id").distinct(), ["stream_id"], "left_semi", few_keys=True)
 
 
 def obsolete_streams(history: DataFrame, streams: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def planned_rows(log: DataFrame, plan: DataFrame, soft: bool) -> DataFrame:
     """
     times = plan.select(F.col("StreamId").alias("stream_id"), "DataTime", "LastTime")
     log_columns = log.columns
-    rows = join_lookup(log, times, ["stream_id"], "inner").where(F.col("ts") <= F.col("DataTime"))
+    rows = join_lookup(log, times, ["stream_id"], "inner", few_keys=True).where(F.col("ts") <= F.col("DataTime"))
     if not soft and SET not in log_columns:
         rows = rows.where(F.col("LastTime").isNull() | (F.col("ts") > F.col("LastTime")))
     rows = rows.select(*(F.col(f"`{c}`") for c in log_columns))
