@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, exact, fixity, html, jaccard, kdtree, language, licences, mixing, packing, secrets, shingles, trigrams
+from tidemark.llm.components import components
 
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -554,3 +555,19 @@ def test_workers_of_the_pipeline_do_without_pandas():
     modules = ("language", "exact", "jaccard", "mixing", "packing")
     code = "import sys; " + "; ".join(f"import tidemark.llm.{m}" for m in modules) + "; print('pandas' in sys.modules)"
     assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.strip() == "False"
+
+
+def test_small_components_take_few_tasks(spark):
+    keys = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.createDataFrame([(4 * k + j, 4 * k + j - 1) for k in range(100) for j in (1, 2, 3)], "a long, b long")
+        found = components(edges)
+        assert {r.id: r.component for r in found.collect()} == {k: k // 4 * 4 for k in range(400)}
+        # each task that had rows has left a file
+        assert len(found.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

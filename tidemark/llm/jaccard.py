@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import KeyFilter, hits, n_buckets, slices, small_batches, unused, written
+from tidemark.llm.shared import KeyFilter, hits, in_few_tasks, n_buckets, slices, small_batches, unused, written
 from tidemark.llm.shingles import mixed, pack, pack_sorted, parity, sets, unpack, unpack_sorted
 
 PERCENT = 75
@@ -45,6 +45,8 @@ FREQUENT = 1 << 19
 #: A shingle that fewer documents hold isn't called frequent.
 COMMON = 4
 STAR_ROUNDS = 2
+#: Entries of a document, about, by which tasks are counted.
+LISTED = 16
 PARITY = 1024  # slots of a set's parity
 _FLUSH = 1 << 19  # keys that a task holds before it packs them
 _SHIFT = np.uint64(64 - KEY_BITS)
@@ -97,16 +99,16 @@ def _frequent(rows: pa.Table) -> pa.Table:
     return pa.table({"key": keys[first][often].astype(np.int64), "n": total[often].astype(np.int64)})
 
 
-def frequent_shingles(texts: DataFrame) -> DataFrame:
-    """``(key, n)`` of the shingles that ``COMMON`` documents or more hold; ``texts`` has text."""
+def frequent_shingles(texts: DataFrame, held: int) -> DataFrame:
+    """``(key, n)`` of the shingles that ``COMMON`` documents or more hold; ``texts`` has text in ``held`` rows."""
     blobs = texts.select("text").mapInArrow(_count_blobs(n_buckets(texts.sparkSession)), "bucket int, keys binary, n binary")
-    return written(blobs.groupBy("bucket").applyInArrow(_frequent, "key long, n long"), "frequent")
+    return written(in_few_tasks(blobs.groupBy("bucket").applyInArrow(_frequent, "key long, n long"), LISTED * held), "frequent")
 
 
 def _levels(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent keys, sorted, with the power of two of their counts; at most FREQUENT."""
     power = F.floor(F.log2("n")).cast("int")
-    sizes = {r[0]: r[1] for r in frequent.groupBy(power).count().collect()}
+    sizes = {r[0]: r[1] for r in in_few_tasks(frequent.groupBy(power).count(), 64).collect()}
     least, held = 64, 0
     for p in sorted(sizes, reverse=True):
         held += sizes[p]
@@ -206,8 +208,10 @@ def _one_of_each(entries: DataFrame) -> DataFrame:
 
     What a shared shingle's places rule out isn't similar, so a similar pair passes in each of its lists.
     """
-    lead = written(entries.groupBy("total", "odd").agg(F.min("key").alias("key")).select("key"), "leads")
-    return entries.drop("total", "odd").join(lead, "key", "left_semi")
+    rows = entries.count()
+    lead = entries.groupBy("total", "odd").agg(F.min("key").alias("key")).select("key")
+    lead = written(in_few_tasks(lead, rows), "leads")
+    return in_few_tasks(entries.drop("total", "odd").join(lead, "key", "left_semi"), rows)
 
 
 def _set_rows(first, second):
@@ -253,12 +257,12 @@ def _alike(percent: int):
     return run
 
 
-def _hopeful(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` that their parities (``signs``: id, n, signs; an id may repeat) don't rule out."""
+def _hopeful(pairs: DataFrame, rows: int, signs: DataFrame, percent: int) -> DataFrame:
+    """``pairs``, some ``rows``, that their parities (``signs``: id, n, signs; an id may repeat) don't rule out."""
     x = signs.select(F.col("id").alias("a"), F.col("n").alias("x_n"), F.col("signs").alias("x"))
     y = signs.select(F.col("id").alias("b"), F.col("n").alias("y_n"), F.col("signs").alias("y"))
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("x_n") + F.col("y_n")).alias("sizes"))
-    return written(both.mapInArrow(_alike(percent), "a long, b long").distinct(), "hopeful")
+    both = in_few_tasks(in_few_tasks(pairs.join(x, "a"), rows).join(y, "b"), rows).select("a", "b", "x", "y", (F.col("x_n") + F.col("y_n")).alias("sizes"))
+    return written(in_few_tasks(both.mapInArrow(_alike(percent), "a long, b long").distinct(), rows), "hopeful")
 
 
 def _folded(x: np.ndarray, size: int) -> np.ndarray:
@@ -293,8 +297,9 @@ def _not_ruled_out(pairs: DataFrame, finer: DataFrame, percent: int) -> DataFram
     """
     x = finer.select(F.col("id").alias("a"), F.col("n").alias("x_n"), F.col("finer").alias("x"))
     y = finer.select(F.col("id").alias("b"), F.col("n").alias("y_n"), F.col("finer").alias("y"))
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("x_n") + F.col("y_n")).alias("sizes"))
-    return written(both.mapInArrow(_still_alike(percent), "a long, b long").distinct(), "alike")
+    rows = pairs.count()
+    both = in_few_tasks(in_few_tasks(pairs.join(x, "a"), rows).join(y, "b"), rows).select("a", "b", "x", "y", (F.col("x_n") + F.col("y_n")).alias("sizes"))
+    return written(in_few_tasks(both.mapInArrow(_still_alike(percent), "a long, b long").distinct(), rows), "alike")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -304,7 +309,8 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     sets_of = written(rows.where("shingles is not null"), "sets")
     x = sets_of.where("is_a").select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     y = sets_of.where("is_b").select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    rows = pairs.count()
+    both = in_few_tasks(in_few_tasks(pairs.join(x, "a"), rows).join(y, "b"), rows).select("a", "b", "x", "y")
     return written(both.mapInArrow(_verify(percent), "a long, b long"), "links")
 
 
@@ -319,7 +325,7 @@ def _side(df: DataFrame, side: str) -> DataFrame:
     return df.select(*(F.col(c).alias(f"{side}_{c}") for c in df.columns))
 
 
-def _star(lists: DataFrame, turn: int, percent: int) -> DataFrame:
+def _star(lists: DataFrame, rows: int, turn: int, percent: int) -> DataFrame:
     """Each member with the leader of its list in its own size band and in the next lower one.
 
     First the leader is the member with the fewest rarer shingles, which the others of a group of
@@ -332,27 +338,28 @@ def _star(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     r = _side(leaders, "r")
     near = lists.withColumn("to", F.explode(F.array("band", F.col("band") - 1)))
     met = _side(near, "l").join(r, (F.col("l_key") == F.col("r_key")) & (F.col("l_to") == F.col("r_band")))
-    return _pairs(met, percent)
+    return _pairs(met, rows, percent)
 
 
-def _pairs(met: DataFrame, percent: int) -> DataFrame:
+def _pairs(met: DataFrame, rows: int, percent: int) -> DataFrame:
     met = met.where((F.col("l_id") != F.col("r_id")) & (F.col("l_component") != F.col("r_component")) & _fits(percent))
-    return met.select(F.greatest("l_id", "r_id").alias("a"), F.least("l_id", "r_id").alias("b")).distinct()
+    met = in_few_tasks(met.select(F.greatest("l_id", "r_id").alias("a"), F.least("l_id", "r_id").alias("b")), rows)
+    return in_few_tasks(met.distinct(), rows)
 
 
-def _rest(lists: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+def _rest(lists: DataFrame, rows: int, signs: DataFrame, percent: int) -> DataFrame:
     """All pairs of a list in different components: members outside its largest one with all.
 
     The parities are compared in the join itself, so pairs that they rule out are never rows.
     """
-    parts = lists.groupBy("key", "component").agg(F.count("*").alias("held"))
+    parts = in_few_tasks(lists.groupBy("key", "component").agg(F.count("*").alias("held")), rows)
     most = parts.groupBy("key").agg(F.max_by("component", F.struct("held", "component")).alias("main"), F.count("*").alias("parts"))
-    mixed = lists.join(most.where("parts > 1").drop("parts"), "key").join(signs, ["id", "n"])
+    mixed = in_few_tasks(in_few_tasks(lists.join(most.where("parts > 1").drop("parts"), "key"), rows).join(signs, ["id", "n"]), rows)
     few = _side(mixed.where("component <> main"), "l").withColumn("l_to", F.explode(F.sequence(F.col("l_band") - 1, F.col("l_band") + 1)))
     met = few.join(_side(mixed, "r"), (F.col("l_key") == F.col("r_key")) & (F.col("l_to") == F.col("r_band")))
     words = (F.bit_count(F.get("l_signs", F.lit(k)).bitwiseXOR(F.get("r_signs", F.lit(k)))) for k in range(PARITY // 64))
     apart = reduce(lambda x, y: x + y, words)
-    return _pairs(met.where((100 + percent) * apart <= (100 - percent) * (F.col("l_n") + F.col("r_n"))), percent)
+    return _pairs(met.where((100 + percent) * apart <= (100 - percent) * (F.col("l_n") + F.col("r_n"))), rows, percent)
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -364,27 +371,30 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    shared = spark.sparkContext.broadcast(_levels(frequent_shingles(texts)))
+    held = texts.count()
+    shared = spark.sparkContext.broadcast(_levels(frequent_shingles(texts, held)))
     sketches = written(texts.mapInArrow(_sketches(shared, percent), "id long, n long, digest binary, signs array<long>, finer binary, prefix binary"), "sketches")
 
     nodes = sketches.where("n > 0 and id is not null").withColumn("mark", F.md5("prefix"))
     classes = nodes.groupBy("digest", "n", "mark").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
+    classes = in_few_tasks(classes, held)
     groups = classes.groupBy("n", "mark").agg(F.min("rep").alias("gid"), F.sum("rows").alias("held"), F.count("*").alias("members"))
-    classes = written(classes.join(groups, ["n", "mark"]), "classes")
+    classes = written(in_few_tasks(classes.join(groups, ["n", "mark"]), held), "classes")
     several = classes.where("held > 1")
     crowd = nodes.select("id", "digest", "n").join(several.select("digest", "n", "rep"), ["digest", "n"])
-    copies = written(crowd.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "copies")
+    crowd = in_few_tasks(crowd.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")), held)
+    copies = written(in_few_tasks(crowd.distinct(), held), "copies")
 
     # one head stands for each group; rows alone in their group pass without a shuffle
     place = F.xxhash64("mark", "n")
     shared_prefix = KeyFilter(several.withColumn("at", place), "at")
     doubtful = nodes.where(shared_prefix.column(place)).select("id", "n", "mark", "prefix").join(classes.select("n", "mark", F.col("gid").alias("id")).distinct(), ["n", "mark", "id"], "left_semi")
-    doubtful = written(doubtful.groupBy("n", "mark", "id").agg(F.first("prefix").alias("prefix")), "doubtful")
+    doubtful = written(in_few_tasks(doubtful.groupBy("n", "mark", "id").agg(F.first("prefix").alias("prefix")), held), "doubtful")
     alone = nodes.select(F.col("id").alias("gid"), "n", "prefix", shared_prefix.slot(place).alias("slot"))
     heads = alone.unionByName(doubtful.select(F.col("id").alias("gid"), "n", "prefix", F.lit(None).cast("long").alias("slot")))
     blobs = heads.mapInArrow(_list_blobs(n_buckets(spark), shared_prefix.field), "bucket int, keys binary, gid binary, n binary, place binary")
     entries = "key long, gid long, n long, place long, total long, odd long"
-    group_lists = _one_of_each(written(blobs.groupBy("bucket").applyInArrow(_lists(percent), entries), "entries"))
+    group_lists = _one_of_each(written(in_few_tasks(blobs.groupBy("bucket").applyInArrow(_lists(percent), entries), LISTED * held), "entries"))
     members = classes.where("members > 1").select("gid", F.col("rep").alias("id"), "n")
     # members of one group share their whole prefix: a list of their own, under a key no shingle has
     inside = members.select((-F.col("gid") - 1).alias("key"), "id", "n", F.lit(0).cast("long").alias("place"))
@@ -392,19 +402,21 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = group_lists.withColumnRenamed("gid", "id").unionByName(others).unionByName(inside)
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int")
     lists = written(lists.withColumn("band", band), "lists")
-    signs = nodes.join(lists.select("id").distinct(), "id", "left_semi").select("id", "n", "signs").distinct()
-    finer = nodes.join(lists.select("id").distinct(), "id", "left_semi").select("id", "n", "finer").distinct()
+    rows = lists.count()
+    listed = nodes.join(lists.select("id").distinct(), "id", "left_semi").select("id", "n", "signs", "finer")
+    parities = written(in_few_tasks(in_few_tasks(listed, held).distinct(), held), "parities")
+    signs, finer = parities.select("id", "n", "signs"), parities.select("id", "n", "finer")
 
     edges, labels, tested = copies, None, None
     for turn in range(STAR_ROUNDS + 1):
         if turn and labels is None:
             labels = written(components(edges), "labels")
         own = lists.join(labels, "id", "left") if labels else lists.withColumn("component", F.lit(None).cast("long"))
-        own = own.withColumn("component", F.coalesce("component", "id"))
-        pairs = _star(own, turn, percent) if turn < STAR_ROUNDS else _rest(own, signs, percent)
+        own = in_few_tasks(own.withColumn("component", F.coalesce("component", "id")), rows)
+        pairs = _star(own, rows, turn, percent) if turn < STAR_ROUNDS else _rest(own, rows, signs, percent)
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = _hopeful(pairs, signs, percent) if turn < STAR_ROUNDS else written(pairs, "pairs")
+            pairs = in_few_tasks(pairs.join(tested, ["a", "b"], "left_anti"), rows)
+        pairs = _hopeful(pairs, rows, signs, percent) if turn < STAR_ROUNDS else written(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         if not pairs.isEmpty():
             edges, labels = edges.unionByName(_links(_not_ruled_out(pairs, finer, percent), texts, percent)), None

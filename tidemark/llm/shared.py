@@ -24,6 +24,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows for which a task is worth its start.
+ROWS = 20_000
+
+
+def in_few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more tasks than so many ``rows`` are worth, at least two a core.
+
+    Shuffle partitions follow the whole input. A small table takes a task for each of them in every
+    step, and their starts cost more than its rows, unless adaptive execution puts them together.
+    """
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, rows // ROWS))
+
+
 def unused(taken: list[str], name: str) -> str:
     """``name``, lengthened until it clashes with no column in ``taken``, whatever the letter case."""
     low = {c.lower() for c in taken}
@@ -61,13 +74,13 @@ class KeyFilter:
     def __init__(self, keys: DataFrame, key: str, bits: int = 1 << 25):
         self.bits = bits
         slot = self.slot(F.col(key))
-        words = (
+        words = in_few_tasks(
             keys.where(F.col(key).isNotNull())
             .select((slot / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int")).alias("bit"))
             .groupBy("word")
-            .agg(F.bit_or("bit").alias("bit"))
-            .toArrow()
-        )
+            .agg(F.bit_or("bit").alias("bit")),
+            bits // 64,
+        ).toArrow()
         field = np.zeros(bits // 64, dtype=np.uint64)
         field[words.column("word").to_numpy()] = words.column("bit").to_numpy().view(np.uint64)
         self.field = keys.sparkSession.sparkContext.broadcast(field)
