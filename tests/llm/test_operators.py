@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, exact, fixity, html, jaccard, kdtree, language, licences, mixing, packing, secrets, shingles, trigrams
+from tidemark.llm import bpe, exact, fixity, html, jaccard, kdtree, language, licences, mixing, packing, secrets, shared, shingles, trigrams
 from tidemark.llm.components import components
 
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -557,6 +557,39 @@ def test_workers_of_the_pipeline_do_without_pandas():
     assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.strip() == "False"
 
 
+def test_packing_encodes_little_at_once():
+    texts = pa.array([" ".join(f"w{k}x{j * 7919 % 100_003}" for j in range(500)) for k in range(700)], pa.string())
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    assert texts.nbytes > 3 << 20
+    encoder = bpe.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert _traced_peak(lambda: [encoder.encode(part.column("text"))[1] for part in shared.slices(batch, "text", packing.BYTES)]) < 100
+
+
+def test_slices_give_memory_back():
+    import subprocess
+    import sys
+
+    code = """
+        import re
+        import pyarrow as pa
+        import pyarrow.compute
+        from tidemark.llm import shared
+
+        def held():
+            with open("/proc/self/status") as file:
+                return int(re.search(r"RssAnon:\\s+(\\d+)", file.read())[1]) / 1024
+
+        parts = [b"x" * (2000 + k % 2) for k in range(50_000)]
+        parts = parts[::100]  # what is freed lies between what is held
+        before = held()
+        batch = pa.RecordBatch.from_arrays([pa.array(["a", "b"])], ["text"])
+        assert sum(part.num_rows for part in shared.slices(batch, "text")) == 2
+        print(before - held())
+    """
+    freed = subprocess.run([sys.executable, "-c", textwrap.dedent(code)], capture_output=True, text=True, check=True)
+    assert float(freed.stdout) > 50
+
+
 def test_small_components_take_few_tasks(spark):
     keys = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     old = {k: spark.conf.get(k) for k in keys}

@@ -23,10 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import BYTES, Encoder
+from tidemark.llm.bpe import Encoder
 from tidemark.llm.shared import slices, small_batches
 
 POOL = 512
+#: Bytes of text that a task encodes at once: half of what encoding alone takes, as the pool is held beside it.
+BYTES = 2 << 20
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,6 +108,13 @@ def hits(field: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (((field[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)) > 0) & (slots >= 0)
 
 
+def give_back() -> None:
+    """Free memory goes back to the system, else a worker keeps what its largest batch took, even when it is idle."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc only
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose ``column`` holds ``limit`` bytes at most, or one row."""
     ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -116,4 +124,4 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator
         high = max(low + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(low, high - low)
         low = high
-    pa.default_memory_pool().release_unused()  # else a worker keeps what its largest batch took
+    give_back()

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tidemark.llm.shared import give_back
+
 SHINGLE = 5
 _CHUNK = 1 << 18  # bytes hashed at once, or one text; a byte takes some 60 while it is hashed
 
@@ -100,7 +102,7 @@ def sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 yield mixed(np.array([short], dtype=np.uint64))
             else:
                 yield np.zeros(0, dtype=np.uint64)
-    pa.default_memory_pool().release_unused()  # else a worker keeps what its largest batch took
+    give_back()
 
 
 def pack(values: np.ndarray) -> bytes:
