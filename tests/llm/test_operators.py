@@ -565,6 +565,16 @@ def test_packing_encodes_little_at_once():
     assert _traced_peak(lambda: [encoder.encode(part.column("text"))[1] for part in shared.slices(batch, "text", packing.BYTES)]) < 100
 
 
+def test_encoding_many_words_holds_little():
+    words = ["".join(chr(97 + (k * 48271 % 2147483647 >> 3 * j) % 26) for j in range(8)) for k in range(120_000)]
+    texts = pa.array([" ".join(words[k : k + 300]) for k in range(0, len(words), 300)], pa.string())
+    path, out = public_tokenizers.path("word_bpe_49k.json"), []
+    encoder = bpe.Encoder(path)
+    assert _traced_peak(lambda: out.append(encoder.encode(texts))) < 80
+    (ids, bounds), library = out[0], Tokenizer.from_file(path)
+    assert all(ids[bounds[k] : bounds[k + 1]].tolist() == library.encode(texts[k].as_py(), add_special_tokens=False).ids for k in range(0, len(texts), 50))
+
+
 def test_slices_give_memory_back():
     import subprocess
     import sys

@@ -30,7 +30,9 @@ from tidemark.llm.shared import slices, small_batches
 BYTES = 4 << 20
 #: Pre-tokens whose ids a task remembers before it starts afresh.
 KNOWN = 400_000
-_NONE = np.iinfo(np.int64).max  # the rank of a pair that is not merged
+_NONE = np.iinfo(np.int32).max  # the rank of a pair that is not merged
+_LOOK = 1 << 16  # pairs whose ranks are looked up at once
+_LINES = 1 << 13  # words that are Python strings at once
 
 
 def _slot(key: np.ndarray) -> np.ndarray:
@@ -45,7 +47,6 @@ class Vocabulary:
 
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
-        self.tokenizer = Tokenizer.from_file(path)
         ids, mark = data["model"]["vocab"], data["model"].get("end_of_word_suffix") or ""
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in data["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
@@ -54,24 +55,27 @@ class Vocabulary:
         if len(made) < len(merges) or any(made.get(x, -1) > rank for rank, pair in enumerate(merges) for x in pair):
             raise ValueError("a symbol is made by two merges, or merged before it is made")
         keys = np.array([ids[a] * self.size + ids[b] for a, b in merges], dtype=np.int64)
-        self.ranks = np.argsort(keys, kind="stable")
+        self.ranks = np.argsort(keys, kind="stable").astype(np.int32)
         self.keys = keys[self.ranks]
         self.hashed = np.zeros(1 << 21, dtype=bool)
         self.hashed[_slot(self.keys)] = True
         self.twins = np.array([a == b for a, b in merges], dtype=bool)
-        self.products = np.array([ids[a + b] for a, b in merges], dtype=np.int64)
+        self.products = np.array([ids[a + b] for a, b in merges], dtype=np.int32)
         #: Symbols of each byte, inside a pre-token and at its end; a byte that can't be shown has a code point from 256.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         names = {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(sorted(set(range(0x100)) - set(shown)))}
-        self.inner = np.array([ids.get(names[b], -1) for b in range(0x100)], dtype=np.int64)
-        self.last = np.array([ids.get(names[b] + mark, -1) for b in range(0x100)], dtype=np.int64)
+        self.inner = np.array([ids.get(names[b], -1) for b in range(0x100)], dtype=np.int32)
+        self.last = np.array([ids.get(names[b] + mark, -1) for b in range(0x100)], dtype=np.int32)
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        # the library normalises and cuts only, so it gets no vocabulary of its own
+        cutting = data | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None}
+        self.tokenizer = Tokenizer.from_str(json.dumps(cutting))
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of symbols."""
-        key = left * self.size + right
+        key = left.astype(np.int64) * self.size + right
         # a table of hashes rules out most pairs; the sorted keys decide the rest
-        out = np.full(len(key), _NONE)
+        out = np.full(len(key), _NONE, dtype=np.int32)
         maybe = np.flatnonzero(self.hashed[_slot(key)])
         if len(maybe):
             key = key[maybe]
@@ -102,12 +106,15 @@ class PairIndex:
         self.next[ends - 1] = -1
         self.before[ends[ends < n]] = -1
         self.alive = np.ones(n, dtype=bool)
-        self.rank = np.full(n, _NONE)
-        self._look(np.arange(n))
+        self.rank = np.full(n, _NONE, dtype=np.int32)
+        for low in range(0, n, _LOOK):
+            self._look(np.arange(low, min(n, low + _LOOK)))
         # positions by rank; what merging adds goes to ``more``
         known = np.flatnonzero(self.rank != _NONE)
         self.order = known[np.argsort(self.rank[known], kind="stable")]
-        active, starts = np.unique(self.rank[self.order], return_index=True)
+        ranks = self.rank[self.order]
+        starts = np.flatnonzero(np.diff(ranks, prepend=np.int32(-1)))
+        active = ranks[starts]
         stops = np.append(starts, len(self.order))[1:]
         self.slot = {k: (a, b) for k, a, b in zip(active.tolist(), starts.tolist(), stops.tolist(), strict=True)}
         self.more: dict[int, list[np.ndarray]] = defaultdict(list)
@@ -185,7 +192,7 @@ class Encoder:
     def _forget(self) -> None:
         """Known pre-tokens, their ids in turn, and the bounds of each in them."""
         self.seen = pa.array([], pa.string())
-        self.ids, self.own = np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.ids, self.own = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
     def _words(self, words: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, list[int]]:
         """All pre-tokens of ``words`` in turn, the bounds of each word in them, and the numbers of special tokens.
@@ -195,8 +202,11 @@ class Encoder:
         plain = pc.match_substring_regex(words, self.PLAIN).to_numpy(zero_copy_only=False) & self.quick
         for text in self.vocabulary.special:
             plain &= ~pc.match_substring(words, text).to_numpy(zero_copy_only=False)
-        lines = pc.utf8_lower(words.filter(pa.array(plain))).to_numpy(zero_copy_only=False).tolist()
-        found = self.TOKENS.findall("\n".join([*lines, ""]))
+        lines, found = pc.utf8_lower(words.filter(pa.array(plain))), [pa.array([], pa.string())]
+        for low in range(0, len(lines), _LINES):
+            some = lines.slice(low, _LINES).to_numpy(zero_copy_only=False).tolist()
+            found.append(pa.array(self.TOKENS.findall("\n".join([*some, ""])), pa.string()))
+        tokens = pa.concat_arrays(found)
         # the words outside the plain alphabet follow, then both are put in the order of ``words``
         rest, special, ends = [], [], []
         for word in words.filter(pa.array(~plain)).to_numpy(zero_copy_only=False).tolist():
@@ -204,12 +214,11 @@ class Encoder:
             rest += [t if isinstance(t, str) else None for t in own]
             special += [t for t in own if not isinstance(t, str)]
             ends.append(len(rest))
-        tokens = pa.array(found, pa.string())
-        line_ends = np.flatnonzero(pc.equal(tokens, "\n").to_numpy(zero_copy_only=False)) if found else np.zeros(0, dtype=np.int64)
+        line_ends = np.flatnonzero(pc.equal(tokens, "\n").to_numpy(zero_copy_only=False))
         first, stop = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
         first[plain], stop[plain] = np.concatenate([[0], line_ends + 1])[: len(line_ends)], line_ends
-        ends = len(found) + np.array(ends, dtype=np.int64)
-        first[~plain], stop[~plain] = np.concatenate([[len(found)], ends])[: len(ends)], ends
+        ends = len(tokens) + np.array(ends, dtype=np.int64)
+        first[~plain], stop[~plain] = np.concatenate([[len(tokens)], ends])[: len(ends)], ends
         coded = pa.concat_arrays([tokens, pa.array(rest, pa.string())]).dictionary_encode()
         size = stop - first
         bounds = np.concatenate([[0], np.cumsum(size)])
@@ -258,8 +267,9 @@ class Encoder:
         numbers = sorted(set(special))  # special tokens are numbered after the others
         place = {k: len(own) - 1 + i for i, k in enumerate(numbers)}
         which[at] = [place[k] for k in special]
-        ids, own = np.concatenate([ids, np.array(numbers, dtype=np.int64)]), np.concatenate([own, own[-1] + 1 + np.arange(len(numbers))])
+        ids, own = np.concatenate([ids, np.array(numbers, dtype=np.int32)]), np.concatenate([own, own[-1] + 1 + np.arange(len(numbers))])
         flat, per_word = spread(which, per_word, ids, own)
+        del tokens, place_of, which, ids, own
         return spread(words.indices.to_numpy(zero_copy_only=False), bounds - bounds[0], flat, per_word)
 
 
@@ -275,7 +285,12 @@ def spread(which: np.ndarray, bounds: np.ndarray, values: np.ndarray, own: np.nd
     """Replace each item of ``which`` by its run ``values[own[k]:own[k + 1]]``; ``bounds`` are kept in step."""
     size = np.diff(own)[which] if len(which) else np.zeros(0, dtype=np.int64)
     at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    source = np.repeat(own[:-1][which] - at[:-1], size) + np.arange(at[-1]) if len(which) else np.zeros(0, dtype=np.int64)
+    if not len(which):
+        return values[:0], at[bounds]
+    # places take half the room where 32 bits hold them
+    kind = np.int32 if max(at[-1], len(values)) <= np.iinfo(np.int32).max else np.int64
+    source = np.repeat((own[:-1][which] - at[:-1]).astype(kind), size)
+    source += np.arange(at[-1], dtype=kind)
     return values[source], at[bounds]
 
 
